@@ -490,6 +490,12 @@ select transaction_id, rolling_7d_amount, cast(rolling_7d_count as double) as ro
         f'{score(ev)} select cast(risk_score >= 25 as integer) as label, count(*) as "count" from scored group by 1'
     )
 
+    sql["ml_split_counts"] = f"""{score(ev)}
+select case when ('0x' || substr(md5(transaction_id || '/split42'), 1, 8))::bigint % 10000 < 2000
+            then 'test' else 'train' end as part,
+  cast(risk_score >= 25 as integer) as label, count(*) as "count"
+from scored group by 1, 2"""
+
     # stream and messages
     sql["decode_events_json"] = (
         "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events "

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.config import MODEL_FEATURES, Rules, Scale
+from tidewatch.config import Rules, Scale
 from tidewatch.functions import scalars as S
 from tidewatch.operators import quality as Q
 from tidewatch.operators import ranking as K
@@ -16,6 +17,7 @@ from tidewatch.operators.history import with_history
 from tidewatch.operators.rules import features, score_transactions
 from tidewatch.plans import detection as D
 from tidewatch.plans import reports as R
+from tidewatch.plans import training as M
 from tidewatch.schema import RAW_COLUMNS
 from tidewatch.session import widen_shuffle, work_folder
 from tidewatch.sinks import run_log, tables
@@ -27,6 +29,7 @@ Source = Callable[[SparkSession, str], DataFrame]
 
 EVENTS, ORDERS, NEAR_LIMIT = adapters.txn_events, adapters.txn_orders, adapters.txn_structuring
 RULES = Rules()
+SETTINGS = M.TrainingSettings()
 THREE_VALUED = replace(RULES, null_safe_countries=False)
 # Splits customers from 20 rows on, so that the plan for busy customers runs on
 # any size of input.
@@ -222,20 +225,71 @@ def _score_counts(scored: DataFrame) -> DataFrame:
     return K.score_counts(scored, "risk_score", F.col("is_flagged_source"), few_values=True)
 
 
-def model_columns(scored: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """The model's inputs as doubles, unknown values kept, and its label."""
-    return scored.select(
-        "transaction_id",
-        *[
-            (F.col(c).cast("int") if c.startswith(("is_", "involves_")) else F.col(c)).cast("double").alias(c)
-            for c in MODEL_FEATURES
-        ],
-        R.is_alert(rules).cast("int").alias("label"),
-    )
+# --- model ------------------------------------------------------------------
+
+_FITTED: dict[tuple[str, str], tuple[str, PipelineModel]] = {}
+
+
+def _feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model inputs with their split, stored once: boosting reads them often,
+    and a lost executor then costs a re-read and not the windows again."""
+    return spark.read.parquet(_fitted(spark, sf_dir)[0])
+
+
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[str, PipelineModel]:
+    """Feature table and model of one data set, kept for the session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        path = work_folder(spark, "model-inputs")
+        scored = score_transactions(EVENTS(spark, sf_dir), RULES)
+        tables.write_parquet(M.with_split(M.model_inputs(scored, RULES), SETTINGS), path)
+        _FITTED[key] = (path, M.fit(spark.read.parquet(path), SETTINGS))
+    return _FITTED[key]
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, model = _fitted(spark, sf_dir)
+    return M.predict(model, M.test_part(spark.read.parquet(path)))
+
+
+def _split_counts(scored: DataFrame) -> DataFrame:
+    return M.split_counts(M.with_split(M.model_inputs(scored, RULES), SETTINGS))
 
 
-def _label_balance(scored: DataFrame) -> DataFrame:
-    return scored.groupBy(R.is_alert(RULES).cast("int").alias("label")).count()
+def _cross_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.cross_validate(_feature_table(spark, sf_dir), SETTINGS)
+
+
+def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, model = _fitted(spark, sf_dir)
+    return M.permutation_importance(model, M.test_part(spark.read.parquet(path)))
+
+
+def _explained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, model = _fitted(spark, sf_dir)
+    return M.local_explanations(model, spark.read.parquet(path))
+
+
+def _reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save, load and evaluate on rows scored afresh."""
+    path = work_folder(spark, "model")
+    M.save(_fitted(spark, sf_dir)[1], path, RULES, SETTINGS)
+    return M.reload_and_evaluate(score_transactions(EVENTS(spark, sf_dir), RULES), path)
+
+
+def model_queries() -> dict[str, Query]:
+    return {
+        "ml_features": _scored(lambda s: M.model_inputs(s, RULES)),
+        "ml_label_balance": _scored(lambda s: M.label_balance(M.model_inputs(s, RULES))),
+        "ml_split_counts": _scored(_split_counts),
+        "ml_train_score": _predictions,
+        "ml_metrics": lambda spark, sf_dir: M.evaluate(_predictions(spark, sf_dir)),
+        "top3_risk": lambda spark, sf_dir: M.top_risks(_predictions(spark, sf_dir)),
+        "ml_cv": _cross_validated,
+        "ml_feature_importance": _importance,
+        "ml_local_explanations": _explained,
+        "ml_reload_evaluate": _reloaded,
+    }
 
 
 # --- streams and messages --------------------------------------------------
@@ -402,12 +456,10 @@ def relational_queries() -> dict[str, Query]:
         "test_alert_min_score": _on(
             EVENTS, lambda t: Q.minimum_score(D.mart_alert_queue(t, RULES), RULES.alert_threshold)
         ),
-        # rank metrics and model inputs
+        # rank metrics
         "auc_gini": _scored(lambda s: K.auc_gini(_score_counts(s))),
         "ks_statistic": _scored(lambda s: K.ks_statistic(_score_counts(s))),
         "roc_curve": _scored(lambda s: K.roc_points(_score_counts(s))),
-        "ml_features": _scored(model_columns),
-        "ml_label_balance": _scored(_label_balance),
         # messages and streams
         "decode_events_json": _props,
         "encode_events_json": _messages_roundtrip,
