@@ -5,9 +5,6 @@ All of them are built-in Spark expressions, so they stay inside generated code.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,7 +29,7 @@ def minor_units(amount: str | Column) -> Column:
     same however the rows are split over tasks.
     """
     value = F.col(amount) if isinstance(amount, str) else amount
-    return F.round(value * 100).cast("long")
+    return F.rint(value * 100).cast("long")
 
 
 def major_units(total: Column) -> Column:
@@ -56,23 +53,28 @@ def share(part: Column, whole: Column) -> Column:
 
 def calendar_columns(ts: str = "timestamp") -> dict[str, Column]:
     """Date, hour and weekday (1 = Sunday) with the two derived Booleans."""
-    hour, weekday = F.hour(ts), F.dayofweek(ts)
     return {
         "date": F.to_date(ts),
-        "hour": hour,
-        "day_of_week": weekday,
-        "is_weekend": weekday.isin(1, 7),
-        "is_offhours": ~hour.between(6, 21),
+        "hour": F.hour(ts),
+        "day_of_week": F.dayofweek(ts),
+        "is_weekend": F.expr(f"dayofweek(`{ts}`) in (1, 7)"),
+        "is_offhours": F.expr(f"hour(`{ts}`) not between 6 and 21"),
     }
 
 
+def _listed(country: str, rules: Rules) -> str:
+    codes = ", ".join("'" + code.replace("\\", "\\\\").replace("'", "\\'") + "'" for code in rules.high_risk_countries)
+    test = f"`{country}` in ({codes})" if codes else "false"
+    return f"coalesce({test}, false)" if rules.null_safe_countries else f"({test})"
+
+
 def high_risk_leg(country: str, rules: Rules) -> Column:
-    listed = F.col(country).isin(*rules.high_risk_countries)
-    return F.coalesce(listed, F.lit(False)) if rules.null_safe_countries else listed
+    return F.expr(_listed(country, rules))
 
 
 def touches_high_risk(rules: Rules) -> Column:
-    return high_risk_leg("originator_country", rules) | high_risk_leg("beneficiary_country", rules)
+    legs = (_listed(c, rules) for c in ("originator_country", "beneficiary_country"))
+    return F.expr(" or ".join(legs))
 
 
 def ratio_to_average(amount: Column, average: Column) -> Column:
@@ -81,15 +83,15 @@ def ratio_to_average(amount: Column, average: Column) -> Column:
 
 def weighted(flags_to_points: dict[str, int]) -> Column:
     """Sum of points of the raised flags; null as soon as one flag is unknown."""
-    return reduce(add, (F.col(name).cast("int") * int(p) for name, p in flags_to_points.items()))
+    return F.expr(" + ".join(f"int(`{flag}`) * {int(p)}" for flag, p in flags_to_points.items()))
 
 
-def tier(score: Column, rules: Rules) -> Column:
-    return (
-        F.when(score >= rules.high_score, "HIGH")
-        .when(score >= rules.medium_score, "MEDIUM")
-        .when(score > 0, "LOW")
-        .otherwise("NONE")
+def tier(score: str, rules: Rules) -> Column:
+    """The tier of the score column; an unknown score has tier NONE."""
+    return F.expr(
+        f"case when `{score}` >= {rules.high_score} then 'HIGH' "
+        f"when `{score}` >= {rules.medium_score} then 'MEDIUM' "
+        f"when `{score}` > 0 then 'LOW' else 'NONE' end"
     )
 
 

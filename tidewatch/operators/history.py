@@ -82,15 +82,14 @@ def busy_customers(txn: DataFrame, scale: Scale = Scale()) -> DataFrame:
 
 
 def _finish(rows: DataFrame, keep: list[str]) -> DataFrame:
-    amount = F.when(F.col("_roll_k") > 0, S.major_units(F.col("_roll_cents")))
-    return rows.select(
-        *keep,
-        amount.alias("rolling_7d_amount"),
-        F.col("_roll_n").alias("rolling_7d_count"),
-        (amount / F.when(F.col("_roll_k") > 0, F.col("_roll_k"))).alias("rolling_7d_avg"),
-        S.major_units(F.col("_cum_cents")).alias("cumulative_amount"),
-        F.col("_cum_n").alias("cumulative_count"),
-        F.col("_prev_ts").alias("prev_timestamp"),
+    return rows.selectExpr(
+        *[f"`{name}`" for name in keep],
+        "case when _roll_k > 0 then _roll_cents / 100D end as rolling_7d_amount",
+        "_roll_n as rolling_7d_count",
+        "case when _roll_k > 0 then _roll_cents / 100D / _roll_k end as rolling_7d_avg",
+        "_cum_cents / 100D as cumulative_amount",
+        "_cum_n as cumulative_count",
+        "_prev_ts as prev_timestamp",
     )
 
 

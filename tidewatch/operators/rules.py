@@ -46,17 +46,16 @@ def features(
 
 def rule_conditions(rules: Rules) -> dict[str, Column]:
     """The five typologies as conditions over the feature columns."""
-    ratio, gap = F.col("amount_vs_7d_avg_ratio"), F.col("seconds_since_last_txn")
-    count = F.col("rolling_7d_count")
-    near_limit = F.col("amount").between(rules.structuring_low, rules.structuring_high)
-    return {
-        "flag_structuring": near_limit & (count >= rules.structuring_count),
-        "flag_high_velocity": (count >= rules.velocity_count)
-        & (F.col("rolling_7d_amount") >= rules.velocity_amount),
-        "flag_high_risk_country": F.col("involves_high_risk_country"),
-        "flag_amount_spike": F.coalesce(ratio >= rules.spike_ratio, F.lit(False)),
-        "flag_rapid_succession": F.coalesce(gap <= rules.rapid_seconds, F.lit(False)),
+    near_limit = f"amount between {rules.structuring_low}D and {rules.structuring_high}D"
+    conditions = {
+        "flag_structuring": f"{near_limit} and rolling_7d_count >= {rules.structuring_count}",
+        "flag_high_velocity": f"rolling_7d_count >= {rules.velocity_count} "
+        f"and rolling_7d_amount >= {rules.velocity_amount}D",
+        "flag_high_risk_country": "involves_high_risk_country",
+        "flag_amount_spike": f"coalesce(amount_vs_7d_avg_ratio >= {rules.spike_ratio}D, false)",
+        "flag_rapid_succession": f"coalesce(seconds_since_last_txn <= {rules.rapid_seconds}, false)",
     }
+    return {flag: F.expr(text) for flag, text in conditions.items()}
 
 
 def flagged(featured: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -64,14 +63,11 @@ def flagged(featured: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def scored(flags: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    score = S.weighted(rules.points)
-    return flags.withColumns(
-        {
-            "flag_count": S.weighted(dict.fromkeys(rules.points, 1)),
-            "risk_score": score,
-            "risk_tier": S.tier(score, rules),
-        }
-    )
+    counted = {
+        "flag_count": S.weighted(dict.fromkeys(rules.points, 1)),
+        "risk_score": S.weighted(rules.points),
+    }
+    return flags.withColumns(counted).withColumn("risk_tier", S.tier("risk_score", rules))
 
 
 def score_transactions(

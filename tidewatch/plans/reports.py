@@ -66,7 +66,7 @@ def customer_risk_profile(scored: DataFrame, rules: Rules = Rules(), ordered: bo
         F.count_distinct("beneficiary_country").alias("distinct_beneficiary_countries"),
         F.count_distinct("beneficiary_account").alias("distinct_beneficiary_accounts"),
     )
-    profile = profile.withColumn("customer_risk_tier", S.tier(F.col("peak_risk_score"), rules))
+    profile = profile.withColumn("customer_risk_tier", S.tier("peak_risk_score", rules))
     return profile.orderBy(F.desc("cumulative_risk_score"), "customer_id") if ordered else profile
 
 

@@ -178,29 +178,27 @@ def top_risks(predictions: DataFrame, n: int = 3) -> DataFrame:
 
 
 def evaluate(predictions: DataFrame) -> DataFrame:
-    """One row: AUC, Gini, KS, precision, recall, F1, confusion counts, size."""
-    truth, guess = F.col("label") == 1, F.col("predicted") == 1
-    counts = K.score_counts(predictions, "probability", truth)
-    confusion = predictions.agg(
-        S.count_where(truth & guess).alias("tp"),
-        S.count_where(~truth & guess).alias("fp"),
-        S.count_where(~truth & ~guess).alias("tn"),
-        S.count_where(truth & ~guess).alias("fn"),
+    """One row: AUC, Gini, KS, precision, recall, F1, confusion counts, size.
+
+    All of it follows from the counts per distinct probability, so the
+    predictions are read once.
+    """
+    counts = K.score_counts(predictions, "probability", F.col("label") == 1)
+
+    def cell(kind: str, guess: Column) -> Column:
+        return F.coalesce(F.sum(F.when(guess, F.col(kind))), F.lit(0))
+
+    high = F.col("score") >= 0.5
+    row = counts.agg(
+        *[value.alias(f"test_{name}") for name, value in K.curve_metrics().items()],
+        cell("positives", high).alias("tp"),
+        cell("negatives", high).alias("fp"),
+        cell("negatives", ~high).alias("tn"),
+        cell("positives", ~high).alias("fn"),
     )
     n_test = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
-    return precision_recall(confusion).select(
-        K.auc_gini(counts).select("auc").scalar().alias("test_auc"),
-        K.auc_gini(counts).select("gini").scalar().alias("test_gini"),
-        K.ks_statistic(counts).select("ks").scalar().alias("test_ks"),
-        "precision",
-        "recall",
-        "f1",
-        "tp",
-        "fp",
-        "tn",
-        "fn",
-        n_test.alias("n_test"),
-        S.share(F.col("tp") + F.col("fn"), n_test).alias("pos_rate_test"),
+    return precision_recall(row).withColumns(
+        {"n_test": n_test, "pos_rate_test": S.share(F.col("tp") + F.col("fn"), n_test)}
     )
 
 
