@@ -10,10 +10,9 @@ from conftest import START, txn
 from pyspark.sql import functions as F
 
 from tidewatch.config import Rules, Scale
-from tidewatch.operators.history import _PART, _sliced, busy_customers, with_history
+from tidewatch.operators.history import busy_customers, row_cutoff, with_history
 from tidewatch.operators.prefix import prefix_scan
 from tidewatch.operators.rules import score_transactions
-from tidewatch.functions import scalars as S
 
 WEEK = 7 * 86_400
 ALL_SPLIT = Scale(busy_rows=0)
@@ -97,7 +96,7 @@ def expected(rows, open_window):
 
 
 @pytest.mark.parametrize("open_window", [False, True])
-@pytest.mark.parametrize("cutoff", [None, 0, 100, 10**9])
+@pytest.mark.parametrize("cutoff", [None, 0, 12, 100, 10**9])
 def test_all_plans_match_the_definitions(frame, open_window, cutoff):
     rows = crowd(7)
     how = {"split": False} if cutoff is None else {"split": True, "scale": Scale(busy_rows=cutoff)}
@@ -116,22 +115,21 @@ def test_all_plans_match_the_definitions(frame, open_window, cutoff):
 
 def test_busy_list_has_only_the_busy_and_is_bounded(frame):
     rows = frame(crowd(3))
-    assert [r.customer_id for r in busy_customers(rows, Scale(busy_rows=100)).collect()] == ["HOT"]
-    # 41 customers pass a cut-off of 0, but no more than 3 can hold over a third.
-    bounded = busy_customers(rows, Scale(busy_rows=0, max_busy_customers=3)).count()
-    assert bounded <= 3
 
+    def busy(scale):
+        return [r.customer_id for r in busy_customers(rows, row_cutoff(rows, scale)).collect()]
 
-def test_parts_of_a_busy_customer_stay_small(frame):
-    """Rows of one customer at one instant are cut by id slice."""
+    assert busy(Scale(busy_rows=100)) == ["HOT"]
+    assert len(busy(Scale(busy_rows=0))) == 41
+    # However low the limit, no more than 3 customers can hold over a third.
+    assert len(busy(Scale(busy_rows=0, max_busy_customers=3))) <= 3
+
+
+def test_many_rows_of_one_instant_are_cut_by_id(frame):
     rows = frame([txn(i * 250_000, 0, 1.0, "HOT") for i in range(400)])
-    keyed = rows.withColumns(
-        {"_s": S.epoch_second("timestamp"), "_us": S.epoch_micros("timestamp"), "_cents": S.minor_units("amount")}
-    )
-    largest = _sliced(keyed).groupBy(*_PART).count().agg(F.max("count")).first()[0]
-    assert largest == 4  # 10^6 consecutive ids share a slice
-    got = with_history(rows, split=True, scale=ALL_SPLIT).select("cumulative_count").collect()
+    got = with_history(rows, split=True, scale=ALL_SPLIT).select("cumulative_count", "rolling_7d_count").collect()
     assert sorted(r[0] for r in got) == list(range(1, 401))
+    assert {r[1] for r in got} == {400}
 
 
 def test_small_inputs_are_not_split_and_unknown_sizes_are(spark, sf_dir, frame):

@@ -8,10 +8,11 @@ the window; both frames start at the first row, so Spark extends them row by
 row and the cost does not grow with the number of rows per window.
 
 *Split customer.* A customer may hold a large part of all rows. Such customers
-are found by counting first and their rows are spread by (day, second,
-timestamp, id slice), with running totals carried between the parts by
-``prefix_scan``. Seven-day sums there are running totals of amounts entering
-and leaving the window.
+are found by counting first. Each of their rows is also sent to the moment it
+leaves the seven-day window, so that a rolling sum becomes the running total
+of what entered and what left. Running totals are taken per day and carried
+from day to day; a day that is itself too big for one task is cut further, by
+second, instant and id slice, with ``prefix_scan``.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ def with_history(
     later rows of the same instant.
 
     Rows must have a customer and a time, which the quality gate and the
-    stream's reject output ensure.
+    stream's reject output ensure. Rows of one instant follow their ids.
     """
     if split is None:
         size = estimated_bytes(txn)
@@ -62,23 +63,32 @@ def with_history(
     whole = _open_whole if open_window else _whole
     if not split:
         return _finish(whole(rows, rules), txn.columns)
-    busy = F.broadcast(busy_customers(txn, scale))
-    parted = _open_split if open_window else _split
+    cutoff = row_cutoff(txn, scale)
+    busy = F.broadcast(busy_customers(txn, cutoff))
     calm_part = whole(rows.join(busy, KEY, "left_anti"), rules)
-    busy_part = parted(rows.join(busy, KEY, "left_semi"), rules)
+    busy_part = _split(rows.join(busy, KEY, "left_semi"), txn.columns, rules, cutoff, open_window)
     return _finish(calm_part, txn.columns).unionByName(_finish(busy_part, txn.columns))
 
 
-def busy_customers(txn: DataFrame, scale: Scale = Scale()) -> DataFrame:
-    """Customers with too many rows for one task, at most ``max_busy_customers``.
+def _sizes(txn: DataFrame) -> DataFrame:
+    return txn.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
 
-    The cut-off is never below total / max_busy_customers, which is what makes
-    the list safe to broadcast.
+
+def row_cutoff(txn: DataFrame, scale: Scale = Scale()) -> Column:
+    """The most rows one task may get, as a one-value subquery.
+
+    Never below total / max_busy_customers: at most that many groups of a
+    partition of the rows can be larger, so lists of such groups are safe to
+    broadcast.
     """
-    sizes = txn.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.sum("n").alias("n")).scalar()
-    cutoff = F.greatest(F.lit(scale.busy_rows), F.ceil(total / F.lit(scale.max_busy_customers)))
-    return sizes.where(F.col("n") > cutoff).select(KEY)
+    total = _sizes(txn).agg(F.sum("n")).scalar()
+    share = F.ceil(total / F.lit(scale.max_busy_customers))
+    return F.greatest(F.lit(scale.busy_rows).cast("long"), share)
+
+
+def busy_customers(txn: DataFrame, cutoff: Column) -> DataFrame:
+    """Customers with more rows than the cut-off."""
+    return _sizes(txn).where(F.col("n") > cutoff).select(KEY)
 
 
 def _finish(rows: DataFrame, keep: list[str]) -> DataFrame:
@@ -153,118 +163,150 @@ def _open_whole(rows: DataFrame, rules: Rules) -> DataFrame:
 
 # --- split customers -------------------------------------------------------
 
-_SUMS = {"_cents": "sum", "_n": "sum", "_k": "sum"}
-_SUMS_AND_LAST = {**_SUMS, "_last": "max"}
-_PART = [KEY, "_day", "_s", "_us", "_slice"]
 _DAY = 86_400
+_MEASURES = ("_cents", "_n", "_k")
+_NET = tuple(f"_net{m}" for m in _MEASURES)
+_LIVE_SCAN = {**dict.fromkeys(_MEASURES, "sum"), "_last": "max"}
+_NET_SCAN = dict.fromkeys(_NET, "sum")
+_DAY_KEYS = [KEY, "_day"]
+_PART = [*_DAY_KEYS, "_s", "_us", "_slice"]
 
 
-def _sliced(rows: DataFrame) -> DataFrame:
-    """Name the part a row belongs to: its instant, and there its id slice.
+def _moves(rows: DataFrame, payload: list[str], rules: Rules, open_window: bool) -> DataFrame:
+    """Two rows per transaction: it enters (``_sign`` 1), later it leaves (-1).
 
-    Dropping a fixed number of trailing characters keeps the order of ids of
-    equal length, so the slices of one instant follow each other as their ids
-    do, and unique ids bound the rows of a slice.
+    The leaving row carries nothing but its measures. A closed window is left
+    one second after its last whole second, an open one at the exact instant.
     """
-    head = F.greatest(F.length("transaction_id") - _SLICE_TAIL, F.lit(0))
-    return rows.withColumns(
-        {
-            "_day": F.floor(F.col("_s") / _DAY),
-            "_slice": F.substring(F.col("transaction_id"), F.lit(1), head),
-            "_n": F.lit(1).cast("long"),
-            "_k": F.col("_cents").isNotNull().cast("long"),
-            "_last": F.col("timestamp"),
-        }
+    twice = rows.withColumn("_sign", F.explode(F.array(F.lit(1), F.lit(-1))))
+    enters = F.col("_sign") == 1
+    if open_window:
+        gone_us = F.col("_us") + rules.lookback_seconds * S.MICROS
+        gone_s = F.floor(gone_us / S.MICROS)
+    else:
+        gone_s = F.col("_s") + rules.lookback_seconds + 1
+        gone_us = gone_s * S.MICROS
+    known = F.col("_cents").isNotNull().cast("long")
+    amounts = {"_cents": F.coalesce("_cents", F.lit(0)), "_n": F.lit(1).cast("long"), "_k": known}
+    moved = twice.select(
+        KEY,
+        "_sign",
+        F.when(enters, F.col("_s")).otherwise(gone_s).alias("_s"),
+        F.when(enters, F.col("_us")).otherwise(gone_us).alias("_us"),
+        *[F.when(enters, F.col(c)).alias(c) for c in payload if c != KEY],
+        *[F.when(enters, v).otherwise(0).alias(m) for m, v in amounts.items()],
+        *[(F.col("_sign") * v).alias(f"_net{m}") for m, v in amounts.items()],
     )
+    return moved.withColumns({"_day": F.floor(F.col("_s") / _DAY), "_last": F.col("timestamp")})
 
 
-def _summed(rows: DataFrame, *by: str) -> DataFrame:
-    return rows.groupBy(*by).agg(*[F.sum(m).alias(m) for m in _SUMS])
-
-
-def _through(name: str) -> Column:
-    """Inclusive running value of a scanned measure."""
-    return F.col(f"before_{name}") + F.coalesce(F.col(name), F.lit(0))
+def _day_totals(moves: DataFrame) -> DataFrame:
+    """One row per customer and day; summed within each task before the shuffle."""
+    return moves.groupBy(*_DAY_KEYS).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(m).alias(m) for m in (*_MEASURES, *_NET)],
+        F.max("_last").alias("_last"),
+    )
 
 
-def _parts(rows: DataFrame) -> DataFrame:
-    """One row per part with the totals before it and the last earlier time."""
-    parts = rows.groupBy(*_PART).agg(
-        *[F.sum(m).alias(m) for m in _SUMS], F.max("_last").alias("_last")
+def _split(
+    rows: DataFrame, payload: list[str], rules: Rules, cutoff: Column, open_window: bool
+) -> DataFrame:
+    moves = _moves(rows, payload, rules, open_window)
+    totals = _day_totals(moves)
+    carry = prefix_scan(totals, [KEY], [["_day"]], {**_LIVE_SCAN, **_NET_SCAN}).select(
+        *_DAY_KEYS, *[F.col(f"before_{m}").alias(f"_past{m}") for m in (*_LIVE_SCAN, *_NET_SCAN)]
     )
-    scanned = prefix_scan(parts, [KEY], [["_day"], ["_s"], ["_us", "_slice"]], _SUMS_AND_LAST)
-    return scanned.select(*_PART, *[f"before_{m}" for m in _SUMS_AND_LAST])
-
-
-def _placed(rows: DataFrame, parts: DataFrame, extra: tuple[str, ...]) -> DataFrame:
-    """Rows with their running totals; ``extra`` columns come from ``parts``."""
-    placed = with_carry(rows, _PART, ["transaction_id"], parts, _SUMS_AND_LAST)
-    return placed.select(
-        *rows.columns,
-        *extra,
-        F.when(
-            F.col("before__k") + F.col("_k") > 0, _through("_cents")
-        ).alias("_cum_cents"),
-        _through("_n").alias("_cum_n"),
-        _through("_k").alias("_cum_k"),
-        F.col("before__last").alias("_prev_ts"),
+    # Entering and leaving rows together are twice the rows, so at most
+    # 2 * max_busy_customers days can pass the cut-off.
+    crowded = F.broadcast(totals.where(F.col("_rows") > cutoff).select(*_DAY_KEYS))
+    calm = _calm_days(moves.join(crowded, _DAY_KEYS, "left_anti"), open_window)
+    dense = _crowded_days(moves.join(crowded, _DAY_KEYS, "left_semi"), payload, open_window)
+    done = [_with_past(part, carry, payload) for part in (calm, dense)]
+    return done[0].unionByName(done[1])
+
+
+def _with_past(day: DataFrame, carry: DataFrame, payload: list[str]) -> DataFrame:
+    """Add what earlier days left to values that start at midnight."""
+    rows = day.join(carry, _DAY_KEYS, "left")
+
+    def total(name: str, within: str) -> Column:
+        return F.col(f"_past{name}") + F.col(within)
+
+    return rows.select(
+        *payload,
+        F.when(total("_k", "_day_k") > 0, total("_cents", "_day_cents")).alias("_cum_cents"),
+        total("_n", "_day_n").alias("_cum_n"),
+        *[total(f"_net{m}", f"_day_net{m}").alias(f"_roll{m}") for m in _MEASURES],
+        F.coalesce("_day_last", "_past_last").alias("_prev_ts"),
     )
 
 
-def _split(rows: DataFrame, rules: Rules) -> DataFrame:
-    rows = _sliced(rows)
-    ticks = _summed(rows, KEY, "_s")
-    leaves = rules.lookback_seconds + 1
-    changes = ticks.select(
-        KEY,
-        F.inline(
-            F.array(
-                F.struct(F.col("_s"), *[F.col(m) for m in _SUMS]),
-                F.struct((F.col("_s") + leaves).alias("_s"), *[(-F.col(m)).alias(m) for m in _SUMS]),
-            )
-        ),
-    )
-    net = _summed(changes, KEY, "_s").withColumn("_day", F.floor(F.col("_s") / _DAY))
-    scanned = prefix_scan(net, [KEY], [["_day"], ["_s"]], _SUMS)
-    rolling = scanned.select(
-        KEY,
-        "_s",
-        _through("_cents").alias("_roll_cents"),
-        _through("_n").alias("_roll_n"),
-        _through("_k").alias("_roll_k"),
+def _calm_days(moves: DataFrame, open_window: bool) -> DataFrame:
+    """Running values within each day, all from one sort."""
+    in_order = Window.partitionBy(*_DAY_KEYS).orderBy("_s", "_us", "_sign", "transaction_id")
+    to_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    rows = moves.select(
+        "*",
+        *[F.sum(m).over(to_here).alias(f"_day{m}") for m in _MEASURES],
+        F.max("_last").over(before).alias("_day_last"),
+        *([F.sum(m).over(to_here).alias(f"_day{m}") for m in _NET] if open_window else []),
     )
-    parts = _parts(rows).join(rolling, [KEY, "_s"], "left")
-    return _placed(rows, parts, ("_roll_cents", "_roll_n", "_roll_k"))
+    if not open_window:
+        by_second = (
+            Window.partitionBy(*_DAY_KEYS)
+            .orderBy("_s")
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        rows = rows.select("*", *[F.sum(m).over(by_second).alias(f"_day{m}") for m in _NET])
+    return rows.where(F.col("_sign") == 1)
 
 
-def _open_split(rows: DataFrame, rules: Rules) -> DataFrame:
-    rows = _sliced(rows)
-    instants = _summed(rows, KEY, "_us")
-    marks = instants.select(
-        KEY,
-        F.inline(
-            F.array(
-                F.struct(F.col("_us"), *[F.lit(0).cast("long").alias(m) for m in _SUMS]),
-                F.struct(
-                    (F.col("_us") + rules.lookback_seconds * S.MICROS).alias("_us"),
-                    *[F.col(m) for m in _SUMS],
-                ),
-            )
-        ),
+def _crowded_days(moves: DataFrame, payload: list[str], open_window: bool) -> DataFrame:
+    """The same for days too big for one task, which are cut into parts.
+
+    Dropping a fixed number of trailing characters keeps the order of ids of
+    equal length, so the slices of one instant follow each other as their ids
+    do, and unique ids bound the rows of a slice.
+    """
+    head = F.greatest(F.length("transaction_id") - _SLICE_TAIL, F.lit(0))
+    live = moves.where(F.col("_sign") == 1).withColumn(
+        "_slice", F.substring(F.col("transaction_id"), F.lit(1), head)
     )
-    second = F.floor(F.col("_us") / S.MICROS)
-    gone = _summed(marks, KEY, "_us").withColumns(
-        {"_s": second, "_day": F.floor(second / _DAY)}
+    parts = live.groupBy(*_PART).agg(
+        *[F.sum(m).alias(m) for m in _MEASURES], F.max("_last").alias("_last")
     )
-    scanned = prefix_scan(gone, [KEY], [["_day"], ["_s"], ["_us"]], _SUMS)
-    left_window = scanned.select(
-        KEY, "_us", *[_through(m).alias(f"_gone{m}") for m in _SUMS]
+    scanned = prefix_scan(parts, _DAY_KEYS, [["_s"], ["_us", "_slice"]], _LIVE_SCAN)
+    place = [*_DAY_KEYS, "_s", "_us"] if open_window else [*_DAY_KEYS, "_s"]
+    net = (_gone_by_instant if open_window else _net_by_second)(moves)
+    carry = scanned.select(*_PART, *[f"before_{m}" for m in _LIVE_SCAN]).join(net, place, "left")
+    rows = with_carry(live, _PART, ["transaction_id"], carry, _LIVE_SCAN)
+    own = {f"_day{m}": F.col(f"before_{m}") + F.col(m) for m in _MEASURES}
+    if open_window:
+        # Entered so far minus left so far.
+        net_columns = {f"_day_net{m}": own[f"_day{m}"] + F.col(f"_through_net{m}") for m in _MEASURES}
+    else:
+        net_columns = {f"_day_net{m}": F.col(f"_through_net{m}") for m in _MEASURES}
+    return rows.withColumns({**own, **net_columns, "_day_last": F.col("before__last")})
+
+
+def _inclusive(scanned: DataFrame, place: list[str]) -> DataFrame:
+    return scanned.select(
+        *place, *[(F.col(f"before_{m}") + F.col(m)).alias(f"_through{m}") for m in _NET]
     )
-    parts = _parts(rows).join(left_window, [KEY, "_us"], "left")
-    placed = _placed(rows, parts, tuple(f"_gone{m}" for m in _SUMS))
-    return placed.select(
-        "*",
-        (F.coalesce("_cum_cents", F.lit(0)) - F.col("_gone_cents")).alias("_roll_cents"),
-        (F.col("_cum_n") - F.col("_gone_n")).alias("_roll_n"),
-        (F.col("_cum_k") - F.col("_gone_k")).alias("_roll_k"),
+
+
+def _net_by_second(moves: DataFrame) -> DataFrame:
+    place = [*_DAY_KEYS, "_s"]
+    seconds = moves.groupBy(*place).agg(*[F.sum(m).alias(m) for m in _NET])
+    return _inclusive(prefix_scan(seconds, _DAY_KEYS, [["_s"]], _NET_SCAN), place)
+
+
+def _gone_by_instant(moves: DataFrame) -> DataFrame:
+    place = [*_DAY_KEYS, "_s", "_us"]
+    leaving = F.col("_sign") == -1
+    instants = moves.groupBy(*place).agg(
+        *[F.sum(F.when(leaving, F.col(m)).otherwise(0)).alias(m) for m in _NET]
     )
+    return _inclusive(prefix_scan(instants, _DAY_KEYS, [["_s"], ["_us"]], _NET_SCAN), place)
