@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import HIGH_RISK_COUNTRIES, Rules, Scale
 from tidewatch.schema import RAW_COLUMNS, TRANSACTIONS
-from tidewatch.session import estimated_bytes, widen_shuffle, work_folder
+from tidewatch.session import estimated_bytes, fit_session, work_folder
 from tidewatch.sinks import run_log, tables
 from tidewatch.sources import files, generator, reference_set
 
@@ -161,17 +161,24 @@ def test_json_report(spark, tmp_path):
     assert json.loads(text) == {"n": 1, "auc": 0.5}
 
 
-def test_shuffle_only_widens(spark, sf_dir):
+def test_session_is_fitted_to_the_input(spark, sf_dir):
     from tidewatch.sources.adapters import txn_events
 
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = {name: spark.conf.get(name) for name in names}
     df = txn_events(spark, sf_dir)
-    assert widen_shuffle(df) == int(before)
+    assert estimated_bytes(df) < 1_000_000
+    width = int(before[names[0]])
     try:
-        assert widen_shuffle(df, Scale(shuffle_task_bytes=1_000)) > int(before)
+        assert fit_session(df) == width
+        assert {name: spark.conf.get(name) for name in names} == before
+        assert fit_session(df, Scale(shuffle_task_bytes=1_000, max_shuffle_tasks=width + 5)) == width + 5
+        assert fit_session(df, Scale(shuffle_task_bytes=10**12)) == width + 5  # never lowered
+        fit_session(df, Scale(scan_task_bytes=10, max_scan_tasks=100))
+        assert int(spark.conf.get(names[1])) == -(-estimated_bytes(df) // 100)
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert estimated_bytes(df) < 1_000_000
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 class FakeSession:

@@ -101,8 +101,11 @@ class Scale:
     small_input_bytes: int = 128 << 20
     busy_rows: int = 1_000_000
     max_busy_customers: int = 100_000
-    # A shuffle task should handle about this much input.
+    # A shuffle task should handle about this much input, a scan task the other.
     shuffle_task_bytes: int = 192 << 20
+    scan_task_bytes: int = 128 << 20
+    max_shuffle_tasks: int = 20_000
+    max_scan_tasks: int = 200_000
 
 
 @dataclass(frozen=True)

@@ -199,27 +199,22 @@ def risk_flagged(txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale())
     )
 
 
-def mart_alert_queue(
-    txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale(), ordered: bool = False
-) -> DataFrame:
-    """Alert mart: scored rows at or above the threshold, with the day to
-    partition by. The order of a table is not stored, so sorting is optional."""
-    table = scored(risk_flagged(txn, rules, scale), rules)
-    alerts = table.where(F.col("risk_score") >= rules.alert_threshold)
-    if ordered:
-        alerts = alerts.orderBy(F.desc("risk_score"), F.desc("amount"), "transaction_id")
-    return alerts
+def warehouse_model(txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale()) -> DataFrame:
+    """The intermediate model with its score; both marts select from it. Store
+    it when several results are wanted, so the windows run once."""
+    return scored(risk_flagged(txn, rules, scale), rules)
 
 
-def mart_customer_profile(
-    txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale(), ordered: bool = False
-) -> DataFrame:
-    """Customer mart over all transactions, with the four-level customer tier."""
-    table = scored(risk_flagged(txn, rules, scale), rules)
+def alert_mart(model: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    return model.where(F.col("risk_score") >= rules.alert_threshold)
+
+
+def customer_mart(model: DataFrame) -> DataFrame:
+    """One row per customer over all transactions, with the four-level tier."""
     cents = F.sum(S.minor_units("amount"))
     peak = F.col("max_risk_score")
-    profile = (
-        table.groupBy("customer_id")
+    return (
+        model.groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("total_transactions"),
             S.major_units(cents).alias("total_amount"),
@@ -233,6 +228,23 @@ def mart_customer_profile(
             F.when(peak >= 75, "Critical").when(peak >= 50, "High").when(peak >= 25, "Medium").otherwise("Low"),
         )
     )
+
+
+def mart_alert_queue(
+    txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale(), ordered: bool = False
+) -> DataFrame:
+    """Alert mart from raw transactions. A stored table keeps no order, so
+    sorting is for presentation only."""
+    alerts = alert_mart(warehouse_model(txn, rules, scale), rules)
+    if ordered:
+        alerts = alerts.orderBy(F.desc("risk_score"), F.desc("amount"), "transaction_id")
+    return alerts
+
+
+def mart_customer_profile(
+    txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale(), ordered: bool = False
+) -> DataFrame:
+    profile = customer_mart(warehouse_model(txn, rules, scale))
     if ordered:
         profile = profile.orderBy(F.desc("max_risk_score"), F.desc("total_amount"), "customer_id")
     return profile

@@ -12,7 +12,7 @@ from tidewatch.operators.quality import enforce_gate
 from tidewatch.operators.rules import score_transactions
 from tidewatch.plans import reports
 from tidewatch.plans import training as M
-from tidewatch.session import widen_shuffle, work_folder
+from tidewatch.session import fit_session, work_folder
 from tidewatch.sinks import run_log, tables
 from tidewatch.sources import files, generator, reference_set
 
@@ -46,7 +46,7 @@ def detect(
     """
     rules = reference_set.with_current_codes(spark, paths.reference_set, rules)
     txn = files.read_transactions(spark, paths.raw)
-    widen_shuffle(txn, scale)
+    fit_session(txn, scale)
     tables.write_parquet(score_transactions(txn, rules, scale), paths.scored)
     scored = files.read_parquet(spark, paths.scored)
     profile = reports.customer_risk_profile(scored, rules, ordered=False)
@@ -66,7 +66,7 @@ def export(spark: SparkSession, paths: Paths, rules: Rules = Rules(), files_out:
     output for small results.
     """
     scored = files.read_parquet(spark, paths.scored)
-    widen_shuffle(scored)
+    fit_session(scored)
     tables.write_parquet(reports.alert_queue(scored, rules), paths.alerts_out, files_out)
     profiles = files.read_parquet(spark, paths.customer_risk)
     tables.write_parquet(profiles, paths.customer_risk_out, files_out)
@@ -111,6 +111,15 @@ def evaluate(spark: SparkSession, paths: Paths, report_path: str | None = None)
     return spark.read.json(out).first().asDict()
 
 
+def build_scored_transactions(
+    spark: SparkSession, n: int = 2_000, customers: int = 300, seed: int = 42, rules: Rules = Rules()
+) -> DataFrame:
+    """The dashboard's frame: log-normal transactions scored with the open
+    window and exact gaps."""
+    txn = generator.synthesize_lognormal(generator.row_ids(spark, n), seed, customers)
+    return score_transactions(txn, rules, elapsed_gap=True, open_window=True)
+
+
 def load(
     spark: SparkSession,
     parquet: str,

@@ -44,18 +44,23 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return None if size >= 2**62 else size
 
 
-def widen_shuffle(df: DataFrame, scale: Scale = Scale()) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` to suit the size of ``df``.
+def fit_session(df: DataFrame, scale: Scale = Scale()) -> int:
+    """Suit the width of shuffles and scans to the size of ``df``.
 
-    Never lowers it: adaptive execution merges small partitions, but it cannot
-    cut the width of a shuffle that was planned too narrow.
+    Shuffle partitions are only ever raised: adaptive execution merges small
+    ones, but it cannot widen a shuffle that was planned too narrow. Both task
+    counts have a ceiling, above which tasks get larger instead, since the
+    blocks of a shuffle grow with their product. Returns the shuffle width.
     """
     conf = df.sparkSession.conf
     current = int(conf.get("spark.sql.shuffle.partitions"))
     size = estimated_bytes(df)
     if size is None:
         return current
-    wanted = math.ceil(size / scale.shuffle_task_bytes)
+    split_bytes = math.ceil(size / scale.max_scan_tasks)
+    if split_bytes > scale.scan_task_bytes:
+        conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    wanted = min(math.ceil(size / scale.shuffle_task_bytes), scale.max_shuffle_tasks)
     if wanted > current:
         conf.set("spark.sql.shuffle.partitions", str(wanted))
         return wanted
