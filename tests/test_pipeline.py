@@ -83,6 +83,23 @@ def test_load_job(spark, paths, done, tmp_path):
         pipeline.load(spark, str(tmp_path / "none"), "pipeline_db")
 
 
+def test_report_job(spark, paths, done):
+    names = pipeline.report(spark, paths)
+    got = {n: spark.read.json(f"{paths.output_dir}/reports/{n}").collect() for n in names}
+    assert got["alert_rate"][0].alerts == done["alert_count"]
+    assert sum(r["count"] for r in got["tier_distribution"]) == 10_000
+    assert len(got["top_customers"]) == 15 and len(got["top_flagged"]) == 20
+    assert got["rank_metrics"][0].gini == pytest.approx(2 * got["rank_metrics"][0].auc - 1)
+    assert all(got.values())
+
+
+def test_simulated_dashboard_frame(spark):
+    frame = pipeline.build_scored_transactions(spark, n=2_000, customers=50)
+    assert frame.count() == 2_000
+    assert frame.select("customer_id").distinct().count() == 50
+    assert frame.where("rolling_7d_count > cumulative_count").count() == 0
+
+
 def test_train_and_evaluate_jobs(spark, paths, done, tmp_path):
     settings = M.TrainingSettings(rounds=4, folds=2)
     report = pipeline.train(spark, paths, Rules(), settings)
@@ -102,6 +119,16 @@ def test_train_and_evaluate_jobs(spark, paths, done, tmp_path):
     assert local.select("rank").distinct().count() == 3 and local.count() == 30
 
 
+def test_training_without_positives_still_reports(spark, frame, tmp_path):
+    names = ("raw", "scored", "customer_risk", "output_dir", "run_log", "reference_set")
+    calm = Paths(**{n: str(tmp_path / n) for n in names})
+    pipeline.ingest(spark, calm, source=frame([txn(i, i * 1_000, customer=f"C{i}") for i in range(40)]))
+    pipeline.detect(spark, calm)
+    got = pipeline.train(spark, calm, Rules(), M.TrainingSettings(rounds=1, folds=2))
+    assert got["test_auc"] is None and got["tp"] == 0 and got["f1"] == 0.0
+    assert pipeline.evaluate(spark, calm)["test_auc"] is None
+
+
 def test_command_line_defaults():
     args = parser().parse_args(["load", "--parquet", "p", "--database", "d"])
     assert (args.table, args.create_database) == ("transactions", False)

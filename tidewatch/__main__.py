@@ -23,6 +23,7 @@ def parser() -> argparse.ArgumentParser:
     jobs.add_parser("detect", help="score stored transactions")
     export = jobs.add_parser("export", help="write alert queue and profiles")
     export.add_argument("--files", type=int, default=None)
+    jobs.add_parser("report", help="write all reports over scored transactions")
     train = jobs.add_parser("train", help="fit and explain the classifier")
     train.add_argument("--rounds", type=int, default=M.FULL_SETTINGS.rounds)
     train.add_argument("--folds", type=int, default=M.FULL_SETTINGS.folds)
@@ -53,6 +54,8 @@ def run(argv: list[str] | None = None):
         return pipeline.detect(spark, paths, rules)
     if args.job == "export":
         return pipeline.export(spark, paths, rules, args.files)
+    if args.job == "report":
+        return pipeline.report(spark, paths, rules)
     if args.job == "train":
         chosen = replace(M.FULL_SETTINGS, rounds=args.rounds, folds=args.folds)
         return pipeline.train(spark, paths, rules, chosen)

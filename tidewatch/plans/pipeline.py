@@ -1,4 +1,4 @@
-"""The batch jobs: ingest, detect, export, train, evaluate, load."""
+"""The batch jobs: ingest, detect, export, report, train, evaluate, load."""
 
 from __future__ import annotations
 
@@ -6,8 +6,10 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewatch.config import Paths, Rules, Scale
+from tidewatch.operators import ranking as K
 from tidewatch.operators.quality import enforce_gate
 from tidewatch.operators.rules import score_transactions
 from tidewatch.plans import reports
@@ -84,18 +86,21 @@ def train(
     scored = files.read_parquet(spark, paths.scored)
     tables.write_parquet(M.with_split(M.model_inputs(scored, rules), settings), inputs)
     split = spark.read.parquet(inputs)
-    cv = M.cross_validate(split, settings).first().asDict()
+    folds = M.cross_validate(split, settings)
     model = M.fit(split, settings)
     M.save(model, f"{paths.output_dir}/risk_model", rules, settings)
     test = M.test_part(split)
-    metrics = M.evaluate(M.predict(model, test)).first().asDict()
-    report = {**cv, **metrics}
-    tables.write_json(spark.createDataFrame([report]), f"{paths.output_dir}/metrics")
+    evaluated = M.evaluate(M.predict(model, test))
+    metrics = evaluated.first()
+    schema = StructType([*folds.schema, *evaluated.schema])
+    row = spark.createDataFrame([(*folds.first(), *metrics)], schema)
+    tables.write_json(row, f"{paths.output_dir}/metrics")
+    report = row.first().asDict()
     tables.write_json(M.permutation_importance(model, test), f"{paths.output_dir}/feature_importance")
     tables.write_json(M.local_explanations(model, split), f"{paths.output_dir}/local_explanations")
     run_id = datetime.now(timezone.utc).strftime("train_%Y%m%d_%H%M%S")
     counts = spark.createDataFrame(
-        [(metrics["n_test"], metrics["tp"] + metrics["fp"])], "record_count long, alert_count long"
+        [(metrics.n_test, metrics.tp + metrics.fp)], "record_count long, alert_count long"
     )
     details = M.run_details(settings, rules, report)
     run_log.append_run(run_log.run_record(counts, run_id, details=details), paths.run_log)
@@ -105,10 +110,49 @@ def train(
 def evaluate(spark: SparkSession, paths: Paths, report_path: str | None = None) -> dict:
     """Re-evaluate the stored model on its test rows and write the report."""
     scored = files.read_parquet(spark, paths.scored)
-    report = M.reload_and_evaluate(scored, f"{paths.output_dir}/risk_model")
+    evaluated = M.reload_and_evaluate(scored, f"{paths.output_dir}/risk_model")
+    row = evaluated.first()
     out = report_path or f"{paths.output_dir}/evaluation"
-    tables.write_json(report, out)
-    return spark.read.json(out).first().asDict()
+    tables.write_json(spark.createDataFrame([tuple(row)], evaluated.schema), out)
+    return row.asDict()
+
+
+def rule_reports(scored: DataFrame, rules: Rules = Rules()) -> dict[str, DataFrame]:
+    """Every report over scored rows; each is small, whatever the size of the input."""
+    counts = K.score_counts(scored, "risk_score", F.col("is_flagged_source"), few_values=True)
+    return {
+        "count_by_currency": reports.counts_by(scored, "currency"),
+        "count_by_channel": reports.counts_by(scored, "channel"),
+        "flag_totals": reports.flag_totals(scored, rules),
+        "flag_breakdown": reports.flag_breakdown(scored, rules),
+        "tier_distribution": reports.tier_distribution_filled(scored),
+        "overview": reports.overview_kpis(scored, rules),
+        "alert_rate": reports.alert_rate(scored, rules),
+        "high_tier_top": reports.high_tier_top(scored),
+        "top_flagged": reports.top_flagged(scored, rules),
+        "top_customers": reports.top_customers(scored, rules),
+        "monthly_trend": reports.monthly_trend(scored, rules),
+        "daily_alerts": reports.daily_alerts(scored, rules),
+        "score_histogram": reports.score_histogram(scored),
+        "rule_evaluation": reports.precision_recall(reports.rule_confusion(scored, rules)),
+        "classification_report": reports.rule_classification_report(scored, rules),
+        "rank_metrics": counts.agg(*[v.alias(k) for k, v in K.curve_metrics().items()]),
+        "roc_curve": K.roc_points(counts),
+    }
+
+
+def report(spark: SparkSession, paths: Paths, rules: Rules = Rules()) -> list[str]:
+    """Write all reports as JSON below the output folder.
+
+    They read the stored scored table, each only the columns it needs, so
+    nothing has to be held in memory between them.
+    """
+    scored = files.read_parquet(spark, paths.scored)
+    fit_session(scored)
+    made = rule_reports(scored, rules)
+    for name, frame in made.items():
+        tables.write_json(frame, f"{paths.output_dir}/reports/{name}")
+    return list(made)
 
 
 def build_scored_transactions(
