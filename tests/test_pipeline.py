@@ -68,10 +68,13 @@ def test_stored_countries_change_the_result(spark, paths, tmp_path, done):
     assert scored.where(F.col("flag_high_risk_country") != expected).count() == 0
 
 
-def test_failed_gate_stores_nothing(spark, frame, tmp_path):
+@pytest.mark.parametrize(
+    "second, why", [({}, "repeated"), ({"transaction_id": "X", "customer_id": None}, "customer_id")]
+)
+def test_failed_gate_stores_nothing(spark, frame, tmp_path, second, why):
     target = Paths(raw=str(tmp_path / "raw"))
-    with pytest.raises(QualityError):
-        pipeline.ingest(spark, target, source=frame([txn(1), txn(1)]))
+    with pytest.raises(QualityError, match=why):
+        pipeline.ingest(spark, target, source=frame([txn(1), txn(1, **second)]))
     assert not (tmp_path / "raw").exists()
 
 

@@ -29,7 +29,7 @@ def ingest(
     """
     txn = source if source is not None else generator.synthesize(generator.row_ids(spark, n), seed)
     staged = work_folder(spark, "ingest")
-    tables.write_parquet(tables.typed(txn), staged)
+    tables.write_parquet(tables.typed(txn, required=False), staged)
     checked = enforce_gate(files.read_transactions(spark, staged))
     tables.write_parquet(checked, paths.raw)
     return files.read_transactions(spark, paths.raw)

@@ -34,13 +34,13 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
 
 
-def typed(df: DataFrame, schema: StructType = TRANSACTIONS) -> DataFrame:
-    """Cast to ``schema``; a null in a required column fails the job that
-    reads it, so the check needs no pass of its own."""
+def typed(df: DataFrame, schema: StructType = TRANSACTIONS, required: bool = True) -> DataFrame:
+    """Cast to ``schema``. With ``required`` a null in a required column fails
+    the job that reads it, so the check needs no pass of its own."""
     columns = []
     for field in schema:
         value = F.col(field.name).cast(field.dataType)
-        if not field.nullable:
+        if required and not field.nullable:
             value = F.coalesce(
                 value, F.raise_error(F.lit(f"null in required column {field.name}")).cast(field.dataType)
             )
