@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +58,26 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    bundle = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(bundle, "w") as archive:
+        for source in package.rglob("*.py"):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(bundle))
+    _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the tasks."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)

@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm.language_id import op10_language_id
+from tidewatch.llm.lm_scoring import op7_lm_scoring
 from tidewatch.llm.mix import OP1_SQL, op1_mix
 from tidewatch.llm.quality_rules import op5_quality_rules
+from tidewatch.llm.sentencepiece_codec import op3_sentencepiece
+
+
+QUERIES = (op1_mix, op3_sentencepiece, op5_quality_rules, op7_lm_scoring, op10_language_id)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_mix, op5_quality_rules)}
+    return {query.__name__: query for query in QUERIES}
 
 
 def llm_oracles() -> dict[str, str]:
