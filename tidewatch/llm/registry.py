@@ -11,9 +11,18 @@ from tidewatch.llm.lm_scoring import op7_lm_scoring
 from tidewatch.llm.mix import OP1_SQL, op1_mix
 from tidewatch.llm.quality_rules import op5_quality_rules
 from tidewatch.llm.sentencepiece_codec import op3_sentencepiece
+from tidewatch.llm.url_filter import OP2_SQL, op2_url_filters
+from tidewatch.llm.warc import OP6_SQL, op6_warc
 
-
-QUERIES = (op1_mix, op3_sentencepiece, op5_quality_rules, op7_lm_scoring, op10_language_id)
+QUERIES = (
+    op1_mix,
+    op2_url_filters,
+    op3_sentencepiece,
+    op5_quality_rules,
+    op6_warc,
+    op7_lm_scoring,
+    op10_language_id,
+)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,4 +30,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_mix": OP1_SQL}
+    return {"op1_mix": OP1_SQL, "op2_url_filters": OP2_SQL, "op6_warc": OP6_SQL}
