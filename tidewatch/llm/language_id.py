@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewatch.llm.common import fold, fresh, map_arrow, table
 from tidewatch.llm.words import slices, text_bytes
@@ -224,7 +225,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
     marked = kept.withColumn(letter, has_letter(F.col("text")))
     place = marked.columns.index("text")
     fields = [*kept.columns, "lang_pred", "score"]
-    schema = kept.schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType(list(kept.schema.fields)).add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch.llm.language_id import op10_language_id
 from tidewatch.llm.lm_scoring import op7_lm_scoring
 from tidewatch.llm.mix import OP1_SQL, op1_mix
+from tidewatch.llm.quality_model import op4_quality_model
 from tidewatch.llm.quality_rules import op5_quality_rules
 from tidewatch.llm.sentencepiece_codec import op3_sentencepiece
 from tidewatch.llm.url_filter import OP2_SQL, op2_url_filters
@@ -18,6 +19,7 @@ QUERIES = (
     op1_mix,
     op2_url_filters,
     op3_sentencepiece,
+    op4_quality_model,
     op5_quality_rules,
     op6_warc,
     op7_lm_scoring,

@@ -114,3 +114,34 @@ def shingle_hashes(words: np.ndarray, starts: np.ndarray, size: int) -> tuple[np
         here = words[np.minimum(at + k, len(words) - 1)]
         out = np.where(k < short, splitmix(out * U64(_BASE) + here + U64(k + 1)), out)
     return out, begin
+
+
+class HashIndex:
+    """Finds the place of 64-bit keys in an array; open addressing at half load or less.
+
+    The keys are hashes already, so their low bits are the address.
+    """
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys if len(keys) else np.zeros(1, U64)
+        size = 1 << max(4, (2 * len(keys)).bit_length())
+        self.mask = U64(size - 1)
+        self.slots = np.full(size, -1, np.int32)
+        waiting = np.arange(len(keys), dtype=np.int32)
+        at = (keys & self.mask).astype(np.int64)
+        while len(waiting):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = waiting[free]
+            placed = self.slots[at] == waiting
+            waiting, at = waiting[~placed], (at[~placed] + 1) & (size - 1)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Place of each wanted key, or -1."""
+        at = (wanted & self.mask).astype(np.int64)
+        found = self.slots[at]
+        other = np.flatnonzero((found >= 0) & (self.keys[found] != wanted))
+        while len(other):
+            at[other] = (at[other] + 1) & int(self.mask)
+            found[other] = self.slots[at[other]]
+            other = other[(found[other] >= 0) & (self.keys[found[other]] != wanted[other])]
+        return found
