@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm.jaccard_join import op9_jaccard_join
 from tidewatch.llm.language_id import op10_language_id
 from tidewatch.llm.lm_scoring import op7_lm_scoring
 from tidewatch.llm.mix import OP1_SQL, op1_mix
@@ -23,6 +24,7 @@ QUERIES = (
     op5_quality_rules,
     op6_warc,
     op7_lm_scoring,
+    op9_jaccard_join,
     op10_language_id,
 )
 
