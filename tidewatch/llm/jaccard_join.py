@@ -18,6 +18,8 @@ from tidewatch.llm.words import U64, shingle_hashes, slices, splitmix, text_byte
 
 #: All pairs of a bucket are candidates up to this size; larger ones go by pivots.
 SMALL_BUCKET = 24
+#: Pivots of a large bucket in one round: 1, 8, 64 and so on up to this.
+MOST_PIVOTS = 4096
 SKETCH_PART = 1 << 16
 PARITY_WORDS = 16
 ROWS_PER_TASK = 2_000_000
@@ -272,25 +274,27 @@ class JaccardJoin:
         members = stored(
             members.join(members.groupBy("set_id").agg(F.count("*").alias("degree")), "set_id"), "jaccard-members"
         )
-        pivots = 1
+        turn = 0
         while not members.isEmpty():
-            pairs, members = self.by_pivots(members, labels, nodes, pivots)
+            pairs, members = self.by_pivots(members, labels, nodes, min(8**turn, MOST_PIVOTS), once=turn == 1)
             links = self.verified(pairs, nodes)
             if not links.isEmpty():
                 labels = self.joined(labels, links)
-            pivots *= 8
+            turn += 1
         return labels
 
     def by_pivots(
-        self, members: DataFrame, labels: DataFrame, nodes: DataFrame, pivots: int
+        self, members: DataFrame, labels: DataFrame, nodes: DataFrame, pivots: int, once: bool
     ) -> tuple[DataFrame, DataFrame]:
         """Candidate pairs of large buckets with pivots, and the buckets without those pivots.
 
         A bucket whose sets are all of one component is done. In the others, up
         to ``pivots`` sets outside the bucket's largest component, those in
         most buckets first, are compared with all sets of other components and
-        then leave the bucket. A set is a pivot of one bucket in a round, since a
-        link found there mostly settles the others.
+        then leave the bucket; so every pair is compared or joined up before.
+        With ``once`` a set is a pivot of its largest bucket only, as a link
+        found there mostly settles the others. Pairs that differ in too many
+        parities never leave the join.
         """
         light = nodes.select("set_id", "n", *PARITY)
         placed = members.join(labels, F.col("set_id") == F.col("node"), "left").select(
@@ -312,10 +316,11 @@ class JaccardJoin:
         per_bucket = Window.partitionBy("sig").orderBy(F.desc("degree"), "set_id")
         per_set = Window.partitionBy("set_id").orderBy(F.desc("size"), "sig")
         chosen = left.where(outside | alone).withColumn("place", F.row_number().over(per_bucket))
-        chosen = chosen.where(F.col("place") <= pivots).withColumn("turn", F.row_number().over(per_set))
+        chosen = chosen.where(F.col("place") <= pivots)
+        if once:
+            chosen = chosen.withColumn("turn", F.row_number().over(per_set)).where("turn = 1")
         chosen = stored(
-            chosen.where("turn = 1").select("sig", F.col("set_id").alias("pivot"), F.col("component").alias("of")),
-            "jaccard-pivots",
+            chosen.select("sig", F.col("set_id").alias("pivot"), F.col("component").alias("of")), "jaccard-pivots"
         )
         heads = chosen.join(light, F.col("pivot") == F.col("set_id")).select("sig", "pivot", "of", "n", *PARITY)
         others = left.join(light, "set_id").select("sig", "set_id", "component", "n", *PARITY)
