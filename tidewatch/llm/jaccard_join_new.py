@@ -1,0 +1,410 @@
+"""N-gram Jaccard join of documents by universe partition (operator 9)."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import partial, reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tidewatch.llm.common import WORD, fresh, map_arrow, ship, small, stored, table, width
+from tidewatch.llm.components import components
+from tidewatch.llm.lm_scoring import pack, pack_sorted, unpack, unpack_sorted
+from tidewatch.llm.set_signatures import PROBE, SKETCH, Threshold, parity, signatures
+from tidewatch.llm.words import U64, shingle_hashes, slices, splitmix, text_bytes, word_hashes
+
+#: All pairs of a bucket are candidates up to this size; larger ones go by pivots.
+SMALL_BUCKET = 24
+SKETCH_PART = 1 << 16
+PARITY_WORDS = 16
+ROWS_PER_TASK = 2_000_000
+BATCH_ROWS = 200_000
+
+INFO = "doc_id long, n_shingles long, set_id long, part int, counts binary"
+SIGNATURE = "sig long, set_id long, n long, kind int"
+FOUND = "a long, b long, sig long"
+PARITY = [f"p{k}" for k in range(PARITY_WORDS)]
+NODE = "set_id long, n long, " + ", ".join(f"{p} long" for p in PARITY) + ", shingles binary"
+
+
+def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each row in order, and where each row's begin."""
+    words, begin = word_hashes(*text_bytes(column))
+    shingles, begin = shingle_hashes(words, begin, size)
+    owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    order = np.lexsort((shingles, owner))
+    shingles, owner = shingles[order], owner[order]
+    keep = np.ones(len(shingles), bool)
+    keep[1:] = (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1])
+    return shingles[keep], np.searchsorted(owner[keep], np.arange(len(begin)))
+
+
+def set_ids(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set's content."""
+    sums = np.concatenate([[U64(0)], np.cumsum(splitmix(shingles), dtype=U64)])
+    sizes = np.diff(starts).astype(np.uint64)
+    return splitmix(sums[starts[1:]] - sums[starts[:-1]] + sizes).view(np.int64)
+
+
+def _parts(size: int, place: int, batches: Iterator[pa.RecordBatch]):
+    """Slices of the batches with their shingle sets."""
+    for whole in batches:
+        _, bounds = text_bytes(whole.column(place))
+        for start, end in slices(bounds):
+            part = whole.slice(start, end - start)
+            yield part, *shingle_sets(part.column(place), size)
+
+
+def _describe(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and name of each row's set; at the end the task's sketch of shingle frequencies."""
+    sketch = np.zeros(SKETCH, np.int32)
+    names = ["doc_id", "n_shingles", "set_id", "part", "counts"]
+    for part, shingles, starts in _parts(size, 1, batches):
+        np.add(sketch, np.bincount((shingles & U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH), out=sketch, casting="unsafe")
+        n = part.num_rows
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column(0),
+                pa.array(np.diff(starts)),
+                pa.array(set_ids(shingles, starts)),
+                pa.nulls(n, pa.int32()),
+                pa.nulls(n, pa.binary()),
+            ],
+            names,
+        )
+    if sketch.any():
+        packed = [pack(sketch[k : k + SKETCH_PART]) for k in range(0, SKETCH, SKETCH_PART)]
+        n = len(packed)
+        empty = [pa.nulls(n, pa.int64())] * 3
+        yield pa.RecordBatch.from_arrays([*empty, pa.array(range(n), pa.int32()), pa.array(packed, pa.binary())], names)
+
+
+def _add_sketches(rows: pa.Table) -> pa.Table:
+    total = sum(unpack(x.as_py(), np.int32).astype(np.int64) for x in rows.column("counts"))
+    return pa.table({"part": rows.column("part")[:1], "counts": pa.array([pack(total)], pa.binary())})
+
+
+def _sign(size: int, threshold: Threshold, sketch, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Signature rows of the distinct sets of each slice."""
+    for _, shingles, starts in _parts(size, 0, batches):
+        names = set_ids(shingles, starts)
+        _, first = np.unique(names, return_index=True)
+        row, sig, kind = signatures(shingles, starts, sketch.value, threshold)
+        mine = np.isin(row, first)
+        row, sig, kind = row[mine], sig[mine].view(np.int64), kind[mine].astype(np.int32)
+        sizes = np.diff(starts)
+        for at in range(0, len(row), BATCH_ROWS):
+            cut = slice(at, at + BATCH_ROWS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sig[cut]), pa.array(names[row[cut]]), pa.array(sizes[row[cut]]), pa.array(kind[cut])],
+                ["sig", "set_id", "n", "kind"],
+            )
+
+
+def _bucket_pairs(threshold: Threshold, set_id, n, probes, starts, lengths) -> np.ndarray:
+    """Distinct candidate pairs (smaller, larger) within small buckets, one of each pair probing."""
+    found = []
+    for length in np.unique(lengths):
+        at = starts[lengths == length][:, None] + np.arange(length)
+        for i in range(length - 1):
+            for j in range(i + 1, length):
+                a, b = at[:, i], at[:, j]
+                low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+                good = (probes[a] | probes[b]) & (set_id[a] != set_id[b])
+                good &= threshold.of * low >= threshold.percent * high
+                a, b = set_id[a[good]], set_id[b[good]]
+                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+    return np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+
+
+def _buckets(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs (a, b) of small buckets and members (a, sig) of large ones.
+
+    The rows come in order of sig. Only a bucket's first rows are ever kept from
+    one batch to the next: those of a large one go out as they come.
+    """
+    waiting = [np.zeros(0, np.int64)] * 4
+    large: int | None = None
+
+    def out(a, b, sig) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a), b, sig], ["a", "b", "sig"])
+
+    def members(rows: list[np.ndarray], chosen: np.ndarray) -> pa.RecordBatch:
+        pairs = np.unique(np.stack([rows[0][chosen], rows[1][chosen]]), axis=1)
+        return out(pairs[1], pa.nulls(pairs.shape[1], pa.int64()), pa.array(pairs[0]))
+
+    def finish(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sig, set_id, n, kind = rows
+        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        lengths = np.diff(np.append(starts, len(sig)))
+        big = np.repeat(lengths > SMALL_BUCKET, lengths)
+        if big.any():
+            yield members(rows, big)
+        few = (lengths > 1) & (lengths <= SMALL_BUCKET)
+        if few.any():
+            pairs = _bucket_pairs(threshold, set_id, n, kind >= PROBE, starts[few], lengths[few])
+            yield out(pairs[0], pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64()))
+
+    for batch in batches:
+        rows = [np.asarray(c) for c in batch.columns]
+        if large is not None:
+            more = int(np.searchsorted(rows[0], large, "right"))
+            if more:
+                yield members(rows, np.arange(len(rows[0])) < more)
+            rows = [r[more:] for r in rows]
+        rows = [np.concatenate(x) for x in zip(waiting, rows)]
+        if not len(rows[0]):
+            continue
+        large = None
+        last = int(np.searchsorted(rows[0], rows[0][-1]))
+        if last:
+            yield from finish([r[:last] for r in rows])
+        waiting = [r[last:] for r in rows]
+        if len(waiting[0]) > SMALL_BUCKET:
+            large = int(waiting[0][0])
+            yield members(waiting, np.ones(len(waiting[0]), bool))
+            waiting = [r[:0] for r in rows]
+    if len(waiting[0]):
+        yield from finish(waiting)
+
+
+def _nodes(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets of the wanted texts with their parities; rows (text, wanted set_id)."""
+    for part, shingles, starts in _parts(size, 0, batches):
+        names = set_ids(shingles, starts)
+        keep = np.flatnonzero((names == np.asarray(part.column(1))) & (np.diff(starts) > 0))
+        bits = parity(shingles, starts, 64 * PARITY_WORDS).view(np.int64)[keep]
+        packed = [pack_sorted(shingles[starts[k] : starts[k + 1]]) for k in keep]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(names[keep]),
+                pa.array(np.diff(starts)[keep]),
+                *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(PARITY_WORDS)),
+                pa.array(packed, pa.binary()),
+            ],
+            ["set_id", "n", *PARITY, "shingles"],
+        )
+
+
+def _verify(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sets link, from rows (a, b, shingles of a, shingles of b)."""
+    for batch in batches:
+        good = []
+        for left, right in zip(batch.column(2), batch.column(3)):
+            x, y = unpack_sorted(left.as_py()), unpack_sorted(right.as_py())
+            both = np.sort(np.concatenate([x, y]))
+            common = int((both[1:] == both[:-1]).sum())
+            good.append(bool(threshold.links(common, len(x) + len(y))))
+        kept = pa.array(good)
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], ["a", "b"])
+
+
+def may_link(threshold: Threshold, left: str = "l", right: str = "r") -> Column:
+    """False only for sets that cannot link: parities differ in more bits than linked sets in elements."""
+    differ = reduce(
+        Column.__add__, [F.bit_count(F.col(f"{left}.{p}").bitwiseXOR(F.col(f"{right}.{p}"))) for p in PARITY]
+    )
+    total = F.col(f"{left}.n") + F.col(f"{right}.n")
+    return (threshold.of + threshold.percent) * differ <= (threshold.of - threshold.percent) * total
+
+
+class JaccardJoin:
+    """Finds all links between distinct sets and joins them up."""
+
+    def __init__(self, docs: DataFrame, size: int, threshold: Threshold):
+        self.spark = docs.sparkSession
+        ship(self.spark)
+        self.size, self.threshold = size, threshold
+        self.docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        info = stored(map_arrow(self.docs, partial(_describe, size), INFO), "jaccard-sets")
+        self.described = info.where("part is null").select("doc_id", "n_shingles", "set_id")
+        self.sketches = info.where("part is not null").select("part", "counts")
+
+    def candidates(self) -> DataFrame:
+        """Stored rows: pairs (a, b), or members (a, sig) of large buckets."""
+        sketch = np.zeros(SKETCH, np.int64)
+        summed = self.sketches.groupBy("part").applyInArrow(_add_sketches, "part int, counts binary")
+        for row in summed.collect():
+            sketch[row.part * SKETCH_PART : (row.part + 1) * SKETCH_PART] = unpack(row.counts)
+        shared = self.spark.sparkContext.broadcast(sketch)
+        held = self.described.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+        rows = map_arrow(
+            self.docs.select("text"), partial(_sign, self.size, self.threshold, shared), SIGNATURE
+        )
+        dealt = rows.repartition(width(self.spark, held / 2, ROWS_PER_TASK), "sig").sortWithinPartitions("sig")
+        return stored(map_arrow(dealt, partial(_buckets, self.threshold), FOUND), "jaccard-candidates")
+
+    def nodes(self, found: DataFrame) -> DataFrame:
+        """Stored content of every set that is a candidate, from one document each."""
+        wanted = found.select(F.col("a").alias("set_id")).union(found.where("b is not null").select("b")).distinct()
+        key = F.coalesce("doc_id", F.lit(-(2**63)))
+        chosen = self.described.join(wanted, "set_id").groupBy("set_id").agg(F.min(key).alias("_key"))
+        chosen = small(stored(chosen, "jaccard-wanted"), 500_000)
+        texts = self.docs.withColumn("_key", key).join(chosen, "_key").select("text", "set_id")
+        made = map_arrow(texts, partial(_nodes, self.size), NODE)
+        kept = [F.first(c).alias(c) for c in ("n", *PARITY, "shingles")]
+        return stored(made.groupBy("set_id").agg(*kept), "jaccard-nodes")
+
+    def verified(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Stored links among ``pairs`` (a, b): parities first, then the sets themselves."""
+        light = nodes.select("set_id", "n", *PARITY)
+        close = (
+            pairs.join(light.alias("l"), F.col("a") == F.col("l.set_id"))
+            .join(light.alias("r"), (F.col("b") == F.col("r.set_id")) & may_link(self.threshold))
+            .select("a", "b")
+        )
+        left = nodes.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
+        right = nodes.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
+        both = close.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+        return stored(map_arrow(both, partial(_verify, self.threshold), "a long, b long"), "jaccard-links")
+
+    def labels(self) -> DataFrame:
+        """Rows (node, component) for the sets that link with another."""
+        found = self.candidates()
+        nodes = self.nodes(found)
+        pairs = found.where("b is not null").select("a", "b").distinct()
+        links = self.verified(pairs, nodes)
+        labels = stored(components(links), "jaccard-labels")
+        members = found.where("sig is not null").select("sig", F.col("a").alias("set_id")).distinct()
+        members = stored(
+            members.join(members.groupBy("set_id").agg(F.count("*").alias("degree")), "set_id"), "jaccard-members"
+        )
+        pivots = 1
+        while not members.isEmpty():
+            pairs, members = self.by_pivots(members, labels, nodes, pivots)
+            links = self.verified(pairs, nodes)
+            if not links.isEmpty():
+                labels = self.joined(labels, links)
+            pivots *= 8
+        return labels
+
+    def by_pivots(
+        self, members: DataFrame, labels: DataFrame, nodes: DataFrame, pivots: int
+    ) -> tuple[DataFrame, DataFrame]:
+        """Candidate pairs of large buckets with pivots, and the buckets without those pivots.
+
+        A bucket whose sets are all of one component is done. In the others, up
+        to ``pivots`` sets outside the bucket's largest component, those in
+        most buckets first, are compared with all sets of other components and
+        then leave the bucket. A set is a pivot of one bucket in a round, since a
+        link found there mostly settles the others.
+        """
+        light = nodes.select("set_id", "n", *PARITY)
+        placed = members.join(labels, F.col("set_id") == F.col("node"), "left").select(
+            "sig", "set_id", "degree", F.coalesce("component", "set_id").alias("component")
+        )
+        parts = placed.groupBy("sig", "component").agg(F.count("*").alias("n_sets"))
+        open_buckets = (
+            parts.groupBy("sig")
+            .agg(
+                F.count("*").alias("n_parts"),
+                F.sum("n_sets").alias("size"),
+                F.max(F.struct("n_sets", "component")).alias("main"),
+            )
+            .where("n_parts > 1")
+        )
+        left = stored(placed.join(open_buckets, "sig").drop("n_parts"), "jaccard-open")
+        outside = F.col("component") != F.col("main.component")
+        alone = F.col("main.n_sets") == 1
+        per_bucket = Window.partitionBy("sig").orderBy(F.desc("degree"), "set_id")
+        per_set = Window.partitionBy("set_id").orderBy(F.desc("size"), "sig")
+        chosen = left.where(outside | alone).withColumn("place", F.row_number().over(per_bucket))
+        chosen = chosen.where(F.col("place") <= pivots).withColumn("turn", F.row_number().over(per_set))
+        chosen = stored(
+            chosen.where("turn = 1").select("sig", F.col("set_id").alias("pivot"), F.col("component").alias("of")),
+            "jaccard-pivots",
+        )
+        heads = chosen.join(light, F.col("pivot") == F.col("set_id")).select("sig", "pivot", "of", "n", *PARITY)
+        others = left.join(light, "set_id").select("sig", "set_id", "component", "n", *PARITY)
+        met = heads.alias("l").join(
+            others.alias("r"),
+            (F.col("l.sig") == F.col("r.sig"))
+            & (F.col("l.of") != F.col("r.component"))
+            & may_link(self.threshold),
+        )
+        pairs = met.select(F.least("pivot", "set_id").alias("a"), F.greatest("pivot", "set_id").alias("b")).distinct()
+        gone = chosen.select("sig", F.col("pivot").alias("set_id"))
+        rest = stored(left.join(gone, ["sig", "set_id"], "left_anti").select("sig", "set_id", "degree"), "jaccard-rest")
+        return pairs, rest
+
+    def joined(self, labels: DataFrame, links: DataFrame) -> DataFrame:
+        """``labels`` after new links, which are drawn between the components of their ends."""
+        old = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+        ends = links
+        for end in ("a", "b"):
+            ends = ends.join(old, F.col(end) == F.col("_n"), "left").withColumn(end, F.coalesce("_c", end)).drop("_n", "_c")
+        new = stored(components(ends), "jaccard-joined")
+        again = new.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+        moved = labels.join(again, F.col("component") == F.col("_n"), "left").select(
+            "node", F.coalesce("_c", "component").alias("component")
+        )
+        fresh_nodes = new.join(labels, "node", "left_anti")
+        return stored(moved.unionByName(fresh_nodes), "jaccard-labels")
+
+
+def join_documents(docs: DataFrame, size: int = 4, threshold: Threshold = Threshold()) -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id), one for each row of ``docs``.
+
+    A document's set holds its distinct shingles of ``size`` words, lower-cased
+    in A-Z; a shorter text is one shingle, and a text without words has an empty
+    set and links with nothing. Documents link when their sets reach the
+    threshold; component_id is the smallest doc_id reachable by links.
+
+    Equal sets are one node from the start, so copies cost one row each.
+    Null ids take part; a component of null ids alone is null. Repeated
+    rows and ids are kept; other columns are not read; an empty table gives an
+    empty result. Sets and their shingles are told apart by 64-bit hashes.
+    """
+    job = JaccardJoin(docs, size, threshold)
+    labels = job.labels()
+    described = job.described
+    keyed = described.where("n_shingles > 0").join(labels, F.col("set_id") == F.col("node"), "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "set_id").alias("key")
+    )
+    smallest = keyed.groupBy("key").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n_docs"))
+    several = smallest.where("n_docs > 1").drop("n_docs")
+    linked = keyed.join(several, "key", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("component_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+    empty = described.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.unionByName(empty)
+
+
+def _with_set_id(size: int, place: int, fields: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, shingles, starts in _parts(size, place, batches):
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(set_ids(shingles, starts))], fields)
+
+
+def keep_first(docs: DataFrame, size: int = 5, threshold: Threshold = Threshold(percent=80)) -> DataFrame:
+    """``docs`` with one document of each group that hangs together by links; columns as they are.
+
+    The smallest doc_id stays (nulls last; then by hashes of the text). Of repeated
+    rows one stays. Documents without words link with nothing and all stay.
+    Each task keeps its best of a group before the shuffle, so a large group
+    never meets in one place.
+    """
+    labels = JaccardJoin(docs, size, threshold).labels()
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    name = fresh(docs, "_set_id")
+    schema = StructType([*docs.schema.fields, StructField(name, LongType())])
+    place = docs.columns.index("text")
+    named = map_arrow(
+        docs.where(worded), partial(_with_set_id, size, place, [*docs.columns, name]), schema
+    )
+    node, group, rank = (fresh(named, x) for x in ("_node", "_group", "_rank"))
+    grouped = named.join(
+        labels.select(F.col("node").alias(node), F.col("component").alias(group)), F.col(name) == F.col(node), "left"
+    ).withColumn(group, F.coalesce(group, name))
+    first = Window.partitionBy(group).orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    kept = grouped.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1)
+    return kept.select(*docs.columns).unionByName(docs.where(~worded))
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_documents(table(spark, sf_dir, "documents"))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm.jaccard_join import op9_jaccard_join
 from tidewatch.llm.language_id import op10_language_id
 from tidewatch.llm.lm_scoring import op7_lm_scoring
 from tidewatch.llm.mix import OP1_SQL, op1_mix
+from tidewatch.llm.neighbours import op8_neighbours
 from tidewatch.llm.quality_model import op4_quality_model
 from tidewatch.llm.quality_rules import op5_quality_rules
 from tidewatch.llm.sentencepiece_codec import op3_sentencepiece
@@ -24,13 +26,14 @@ QUERIES = (
     op5_quality_rules,
     op6_warc,
     op7_lm_scoring,
+    op8_neighbours,
     op9_jaccard_join,
     op10_language_id,
 )
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    return {**{query.__name__: query for query in QUERIES}, "pipeline": corpus_pipeline.run}
 
 
 def llm_oracles() -> dict[str, str]:
