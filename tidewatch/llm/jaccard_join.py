@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tidewatch.llm.common import map_arrow, ship, small, stored, table, width
+from tidewatch.llm.common import WORD, fresh, map_arrow, ship, small, stored, table, width
 from tidewatch.llm.components import components
 from tidewatch.llm.lm_scoring import pack, pack_sorted, unpack, unpack_sorted
 from tidewatch.llm.set_signatures import PROBE, SKETCH, Threshold, parity, signatures
@@ -18,7 +19,7 @@ from tidewatch.llm.words import U64, shingle_hashes, slices, splitmix, text_byte
 
 #: All pairs of a bucket are candidates up to this size; larger ones go by pivots.
 SMALL_BUCKET = 24
-#: Pivots of a large bucket in one round: 1, 8, 64 and so on up to this.
+#: Pivots of a large bucket in one round: 1, 64, 512 and so on up to this.
 MOST_PIVOTS = 4096
 SKETCH_PART = 1 << 16
 PARITY_WORDS = 16
@@ -276,7 +277,8 @@ class JaccardJoin:
         )
         turn = 0
         while not members.isEmpty():
-            pairs, members = self.by_pivots(members, labels, nodes, min(8**turn, MOST_PIVOTS), once=turn == 1)
+            pivots = min(8 ** (turn + 1), MOST_PIVOTS) if turn else 1
+            pairs, members = self.by_pivots(members, labels, nodes, pivots, once=turn == 1)
             links = self.verified(pairs, nodes)
             if not links.isEmpty():
                 labels = self.joined(labels, links)
@@ -380,5 +382,35 @@ def join_documents(docs: DataFrame, size: int = 4, threshold: Threshold = Thresh
     return linked.unionByName(empty)
 
 
+def _with_set_id(size: int, place: int, fields: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, shingles, starts in _parts(size, place, batches):
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(set_ids(shingles, starts))], fields)
+
+
+def keep_first(docs: DataFrame, size: int = 5, threshold: Threshold = Threshold(percent=80)) -> DataFrame:
+    """``docs`` with one document of each group that hangs together by links; columns as they are.
+
+    The smallest doc_id stays (nulls last; then by hashes of the text). Of repeated
+    rows one stays. Documents without words link with nothing and all stay.
+    Each task keeps its best of a group before the shuffle, so a large group
+    never meets in one place.
+    """
+    labels = JaccardJoin(docs, size, threshold).labels()
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    name = fresh(docs, "_set_id")
+    schema = StructType([*docs.schema.fields, StructField(name, LongType())])
+    place = docs.columns.index("text")
+    named = map_arrow(
+        docs.where(worded), partial(_with_set_id, size, place, [*docs.columns, name]), schema
+    )
+    node, group, rank = (fresh(named, x) for x in ("_node", "_group", "_rank"))
+    grouped = named.join(
+        labels.select(F.col("node").alias(node), F.col("component").alias(group)), F.col(name) == F.col(node), "left"
+    ).withColumn(group, F.coalesce(group, name))
+    first = Window.partitionBy(group).orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    kept = grouped.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1)
+    return kept.select(*docs.columns).unionByName(docs.where(~worded))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_documents(table(spark, sf_dir, "documents"))
