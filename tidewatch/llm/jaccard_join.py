@@ -26,11 +26,12 @@ PARITY_WORDS = 16
 ROWS_PER_TASK = 2_000_000
 BATCH_ROWS = 200_000
 
-INFO = "doc_id long, n_shingles long, set_id long, part int, counts binary"
-SIGNATURE = "sig long, set_id long, n long, kind int"
-FOUND = "a long, b long, sig long"
 PARITY = [f"p{k}" for k in range(PARITY_WORDS)]
-NODE = "set_id long, n long, " + ", ".join(f"{p} long" for p in PARITY) + ", shingles binary"
+INFO = "doc_id long, n_shingles long, set_id long, " + ", ".join(f"{p} long" for p in PARITY) + ", part int, counts binary"
+#: The lowest bit of sig tells whether the row probes.
+SIGNATURE = "sig long, set_id long"
+FOUND = "a long, b long, sig long"
+CONTENT = "set_id long, shingles binary"
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,15 +65,17 @@ def _parts(size: int, place: int, batches: Iterator[pa.RecordBatch]):
 def _describe(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and name of each row's set; at the end the task's sketch of shingle frequencies."""
     sketch = np.zeros(SKETCH, np.int32)
-    names = ["doc_id", "n_shingles", "set_id", "part", "counts"]
+    names = ["doc_id", "n_shingles", "set_id", *PARITY, "part", "counts"]
     for part, shingles, starts in _parts(size, 1, batches):
-        np.add(sketch, np.bincount((shingles & U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH), out=sketch, casting="unsafe")
+        sketch += np.bincount((shingles & U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.int32)
+        bits = parity(shingles, starts, 64 * PARITY_WORDS).view(np.int64)
         n = part.num_rows
         yield pa.RecordBatch.from_arrays(
             [
                 part.column(0),
                 pa.array(np.diff(starts)),
                 pa.array(set_ids(shingles, starts)),
+                *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(PARITY_WORDS)),
                 pa.nulls(n, pa.int32()),
                 pa.nulls(n, pa.binary()),
             ],
@@ -81,7 +84,7 @@ def _describe(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     if sketch.any():
         packed = [pack(sketch[k : k + SKETCH_PART]) for k in range(0, SKETCH, SKETCH_PART)]
         n = len(packed)
-        empty = [pa.nulls(n, pa.int64())] * 3
+        empty = [pa.nulls(n, pa.int64())] * (3 + PARITY_WORDS)
         yield pa.RecordBatch.from_arrays([*empty, pa.array(range(n), pa.int32()), pa.array(packed, pa.binary())], names)
 
 
@@ -97,17 +100,14 @@ def _sign(size: int, threshold: Threshold, sketch, batches: Iterator[pa.RecordBa
         _, first = np.unique(names, return_index=True)
         row, sig, kind = signatures(shingles, starts, sketch.value, threshold)
         mine = np.isin(row, first)
-        row, sig, kind = row[mine], sig[mine].view(np.int64), kind[mine].astype(np.int32)
-        sizes = np.diff(starts)
+        row, probe = row[mine], (kind[mine] >= PROBE).astype(np.uint64)
+        sig = ((sig[mine] & ~U64(1)) | probe).view(np.int64)
         for at in range(0, len(row), BATCH_ROWS):
             cut = slice(at, at + BATCH_ROWS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sig[cut]), pa.array(names[row[cut]]), pa.array(sizes[row[cut]]), pa.array(kind[cut])],
-                ["sig", "set_id", "n", "kind"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(sig[cut]), pa.array(names[row[cut]])], ["sig", "set_id"])
 
 
-def _bucket_pairs(threshold: Threshold, set_id, n, probes, starts, lengths) -> np.ndarray:
+def _bucket_pairs(set_id, probes, starts, lengths) -> np.ndarray:
     """Distinct candidate pairs (smaller, larger) within small buckets, one of each pair probing."""
     found = []
     for length in np.unique(lengths):
@@ -115,21 +115,19 @@ def _bucket_pairs(threshold: Threshold, set_id, n, probes, starts, lengths) -> n
         for i in range(length - 1):
             for j in range(i + 1, length):
                 a, b = at[:, i], at[:, j]
-                low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
                 good = (probes[a] | probes[b]) & (set_id[a] != set_id[b])
-                good &= threshold.of * low >= threshold.percent * high
                 a, b = set_id[a[good]], set_id[b[good]]
                 found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
     return np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
 
 
-def _buckets(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate pairs (a, b) of small buckets and members (a, sig) of large ones.
 
     The rows come in order of sig. Only a bucket's first rows are ever kept from
     one batch to the next: those of a large one go out as they come.
     """
-    waiting = [np.zeros(0, np.int64)] * 4
+    waiting = [np.zeros(0, np.int64)] * 3
     large: int | None = None
 
     def out(a, b, sig) -> pa.RecordBatch:
@@ -140,7 +138,7 @@ def _buckets(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterato
         return out(pairs[1], pa.nulls(pairs.shape[1], pa.int64()), pa.array(pairs[0]))
 
     def finish(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        sig, set_id, n, kind = rows
+        sig, set_id, probe = rows
         starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         lengths = np.diff(np.append(starts, len(sig)))
         big = np.repeat(lengths > SMALL_BUCKET, lengths)
@@ -148,11 +146,12 @@ def _buckets(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterato
             yield members(rows, big)
         few = (lengths > 1) & (lengths <= SMALL_BUCKET)
         if few.any():
-            pairs = _bucket_pairs(threshold, set_id, n, kind >= PROBE, starts[few], lengths[few])
+            pairs = _bucket_pairs(set_id, probe == 1, starts[few], lengths[few])
             yield out(pairs[0], pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64()))
 
     for batch in batches:
-        rows = [np.asarray(c) for c in batch.columns]
+        sig, set_id = (np.asarray(c) for c in batch.columns)
+        rows = [sig >> 1, set_id, sig & 1]
         if large is not None:
             more = int(np.searchsorted(rows[0], large, "right"))
             if more:
@@ -174,22 +173,13 @@ def _buckets(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterato
         yield from finish(waiting)
 
 
-def _nodes(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets of the wanted texts with their parities; rows (text, wanted set_id)."""
+def _content(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles of the wanted sets, from rows (text, wanted set_id)."""
     for part, shingles, starts in _parts(size, 0, batches):
         names = set_ids(shingles, starts)
-        keep = np.flatnonzero((names == np.asarray(part.column(1))) & (np.diff(starts) > 0))
-        bits = parity(shingles, starts, 64 * PARITY_WORDS).view(np.int64)[keep]
+        keep = np.flatnonzero(names == np.asarray(part.column(1)))
         packed = [pack_sorted(shingles[starts[k] : starts[k + 1]]) for k in keep]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(names[keep]),
-                pa.array(np.diff(starts)[keep]),
-                *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(PARITY_WORDS)),
-                pa.array(packed, pa.binary()),
-            ],
-            ["set_id", "n", *PARITY, "shingles"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(names[keep]), pa.array(packed, pa.binary())], ["set_id", "shingles"])
 
 
 def _verify(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,12 +196,13 @@ def _verify(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterator
 
 
 def may_link(threshold: Threshold, left: str = "l", right: str = "r") -> Column:
-    """False only for sets that cannot link: parities differ in more bits than linked sets in elements."""
+    """False only for sets that cannot link: by their sizes, or as their parities differ in too many bits."""
     differ = reduce(
         Column.__add__, [F.bit_count(F.col(f"{left}.{p}").bitwiseXOR(F.col(f"{right}.{p}"))) for p in PARITY]
     )
-    total = F.col(f"{left}.n") + F.col(f"{right}.n")
-    return (threshold.of + threshold.percent) * differ <= (threshold.of - threshold.percent) * total
+    x, y = F.col(f"{left}.n"), F.col(f"{right}.n")
+    near = (threshold.of + threshold.percent) * differ <= (threshold.of - threshold.percent) * (x + y)
+    return (threshold.of * F.least(x, y) >= threshold.percent * F.greatest(x, y)) & near
 
 
 class JaccardJoin:
@@ -223,7 +214,7 @@ class JaccardJoin:
         self.size, self.threshold = size, threshold
         self.docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         info = stored(map_arrow(self.docs, partial(_describe, size), INFO), "jaccard-sets")
-        self.described = info.where("part is null").select("doc_id", "n_shingles", "set_id")
+        self.described = info.where("part is null").select("doc_id", "n_shingles", "set_id", *PARITY)
         self.sketches = info.where("part is not null").select("part", "counts")
 
     def candidates(self) -> DataFrame:
@@ -237,56 +228,67 @@ class JaccardJoin:
         rows = map_arrow(
             self.docs.select("text"), partial(_sign, self.size, self.threshold, shared), SIGNATURE
         )
-        dealt = rows.repartition(width(self.spark, held / 2, ROWS_PER_TASK), "sig").sortWithinPartitions("sig")
-        return stored(map_arrow(dealt, partial(_buckets, self.threshold), FOUND), "jaccard-candidates")
-
-    def nodes(self, found: DataFrame) -> DataFrame:
-        """Stored content of every set that is a candidate, from one document each."""
-        wanted = found.select(F.col("a").alias("set_id")).union(found.where("b is not null").select("b")).distinct()
+        tasks = width(self.spark, held / 2, ROWS_PER_TASK)
+        dealt = rows.repartition(tasks, F.shiftright("sig", 1)).sortWithinPartitions("sig")
+        return stored(map_arrow(dealt, _buckets, FOUND), "jaccard-candidates")
+
+    def outlines(self, wanted: DataFrame) -> DataFrame:
+        """Stored size and parity of the sets ``wanted`` (set_id)."""
+        columns = [F.first("n_shingles").alias("n"), *[F.first(p).alias(p) for p in PARITY]]
+        mine = self.described.join(wanted, "set_id", "left_semi")
+        return stored(mine.groupBy("set_id").agg(*columns), "jaccard-outlines")
+
+    def content(self, wanted: DataFrame) -> DataFrame:
+        """Stored shingles of the sets ``wanted`` (set_id), from one document each."""
         key = F.coalesce("doc_id", F.lit(-(2**63)))
-        chosen = self.described.join(wanted, "set_id").groupBy("set_id").agg(F.min(key).alias("_key"))
-        chosen = small(stored(chosen, "jaccard-wanted"), 500_000)
+        chosen = self.described.select("doc_id", "set_id").join(wanted, "set_id").groupBy("set_id")
+        chosen = small(stored(chosen.agg(F.min(key).alias("_key")), "jaccard-wanted"), 500_000)
         texts = self.docs.withColumn("_key", key).join(chosen, "_key").select("text", "set_id")
-        made = map_arrow(texts, partial(_nodes, self.size), NODE)
-        kept = [F.first(c).alias(c) for c in ("n", *PARITY, "shingles")]
-        return stored(made.groupBy("set_id").agg(*kept), "jaccard-nodes")
-
-    def verified(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Stored links among ``pairs`` (a, b): parities first, then the sets themselves."""
-        light = nodes.select("set_id", "n", *PARITY)
-        close = (
-            pairs.join(light.alias("l"), F.col("a") == F.col("l.set_id"))
-            .join(light.alias("r"), (F.col("b") == F.col("r.set_id")) & may_link(self.threshold))
-            .select("a", "b")
-        )
-        left = nodes.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
-        right = nodes.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-        both = close.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+        made = map_arrow(texts, partial(_content, self.size), CONTENT)
+        return stored(made.groupBy("set_id").agg(F.first("shingles").alias("shingles")), "jaccard-content")
+
+    def verified(self, pairs: DataFrame, content: DataFrame) -> DataFrame:
+        """Stored links among ``pairs`` (a, b), by the sets themselves."""
+        left = content.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
+        right = content.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
         return stored(map_arrow(both, partial(_verify, self.threshold), "a long, b long"), "jaccard-links")
 
     def labels(self) -> DataFrame:
-        """Rows (node, component) for the sets that link with another."""
+        """Rows (node, component) for the sets that link with another.
+
+        Candidates meet by their outlines first; only the sets of pairs that
+        pass, and those of large buckets, are made again from their texts.
+        """
         found = self.candidates()
-        nodes = self.nodes(found)
         pairs = found.where("b is not null").select("a", "b").distinct()
-        links = self.verified(pairs, nodes)
-        labels = stored(components(links), "jaccard-labels")
         members = found.where("sig is not null").select("sig", F.col("a").alias("set_id")).distinct()
+        ends = [found.select(F.col("a").alias("set_id")), found.where("b is not null").select(F.col("b").alias("set_id"))]
+        outlines = self.outlines(ends[0].union(ends[1]).distinct())
+        close = stored(
+            pairs.join(outlines.alias("l"), F.col("a") == F.col("l.set_id"))
+            .join(outlines.alias("r"), (F.col("b") == F.col("r.set_id")) & may_link(self.threshold))
+            .select("a", "b"),
+            "jaccard-close",
+        )
+        wanted = close.select(F.col("a").alias("set_id")).union(close.select("b")).union(members.select("set_id"))
+        content = self.content(wanted.distinct())
+        labels = stored(components(self.verified(close, content)), "jaccard-labels")
         members = stored(
             members.join(members.groupBy("set_id").agg(F.count("*").alias("degree")), "set_id"), "jaccard-members"
         )
         turn = 0
         while not members.isEmpty():
             pivots = min(8 ** (turn + 1), MOST_PIVOTS) if turn else 1
-            pairs, members = self.by_pivots(members, labels, nodes, pivots, once=turn == 1)
-            links = self.verified(pairs, nodes)
+            pairs, members = self.by_pivots(members, labels, outlines, pivots, once=turn == 1)
+            links = self.verified(pairs, content)
             if not links.isEmpty():
                 labels = self.joined(labels, links)
             turn += 1
         return labels
 
     def by_pivots(
-        self, members: DataFrame, labels: DataFrame, nodes: DataFrame, pivots: int, once: bool
+        self, members: DataFrame, labels: DataFrame, outlines: DataFrame, pivots: int, once: bool
     ) -> tuple[DataFrame, DataFrame]:
         """Candidate pairs of large buckets with pivots, and the buckets without those pivots.
 
@@ -298,7 +300,6 @@ class JaccardJoin:
         found there mostly settles the others. Pairs that differ in too many
         parities never leave the join.
         """
-        light = nodes.select("set_id", "n", *PARITY)
         placed = members.join(labels, F.col("set_id") == F.col("node"), "left").select(
             "sig", "set_id", "degree", F.coalesce("component", "set_id").alias("component")
         )
@@ -324,8 +325,8 @@ class JaccardJoin:
         chosen = stored(
             chosen.select("sig", F.col("set_id").alias("pivot"), F.col("component").alias("of")), "jaccard-pivots"
         )
-        heads = chosen.join(light, F.col("pivot") == F.col("set_id")).select("sig", "pivot", "of", "n", *PARITY)
-        others = left.join(light, "set_id").select("sig", "set_id", "component", "n", *PARITY)
+        heads = chosen.join(outlines, F.col("pivot") == F.col("set_id")).select("sig", "pivot", "of", "n", *PARITY)
+        others = left.join(outlines, "set_id").select("sig", "set_id", "component", "n", *PARITY)
         met = heads.alias("l").join(
             others.alias("r"),
             (F.col("l.sig") == F.col("r.sig"))
@@ -390,26 +391,37 @@ def _with_set_id(size: int, place: int, fields: list[str], batches: Iterator[pa.
 def keep_first(docs: DataFrame, size: int = 5, threshold: Threshold = Threshold(percent=80)) -> DataFrame:
     """``docs`` with one document of each group that hangs together by links; columns as they are.
 
-    The smallest doc_id stays (nulls last; then by hashes of the text). Of repeated
+    The smallest doc_id stays (nulls last; then by the set's hash). Of repeated
     rows one stays. Documents without words link with nothing and all stay.
-    Each task keeps its best of a group before the shuffle, so a large group
-    never meets in one place.
+    What goes is decided on ids alone; texts are not shuffled unless the list
+    of ids to drop is too long to broadcast.
     """
-    labels = JaccardJoin(docs, size, threshold).labels()
+    job = JaccardJoin(docs, size, threshold)
     worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    name = fresh(docs, "_set_id")
+    keyed = job.described.where("n_shingles > 0").join(job.labels(), F.col("set_id") == F.col("node"), "left")
+    rows = keyed.groupBy(F.coalesce("component", "set_id").alias("group"), "doc_id", "set_id").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "set_id")
+    best = rows.groupBy("group").agg(F.min(order).alias("best"), F.sum("n").alias("all")).where(F.col("all") > 1)
+    first = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("set_id") == F.col("best.set_id"))
+    marked = rows.join(best, "group").select("doc_id", "set_id", first.alias("first"), "n").where(~first | (F.col("n") > 1))
+    marked = stored(marked, "jaccard-marked")
+    name, mark, other, rank = (fresh(docs, x) for x in ("_set_id", "_mark", "_other", "_rank"))
     schema = StructType([*docs.schema.fields, StructField(name, LongType())])
-    place = docs.columns.index("text")
-    named = map_arrow(
-        docs.where(worded), partial(_with_set_id, size, place, [*docs.columns, name]), schema
-    )
-    node, group, rank = (fresh(named, x) for x in ("_node", "_group", "_rank"))
-    grouped = named.join(
-        labels.select(F.col("node").alias(node), F.col("component").alias(group)), F.col(name) == F.col(node), "left"
-    ).withColumn(group, F.coalesce(group, name))
-    first = Window.partitionBy(group).orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-    kept = grouped.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1)
-    return kept.select(*docs.columns).unionByName(docs.where(~worded))
+    fields, place = [*docs.columns, name], docs.columns.index("text")
+
+    def named(part: DataFrame) -> DataFrame:
+        return map_arrow(part, partial(_with_set_id, size, place, fields), schema)
+
+    marks = marked.select(F.col("doc_id").alias(other), F.col("set_id").alias(mark))
+    same = F.col(other).eqNullSafe(F.col("doc_id")) & (F.col(mark) == F.col(name))
+    kept = named(docs.where(worded)).join(small(marks, 500_000), same, "left_anti").select(*docs.columns)
+    repeated = marked.where("first").select(F.col("doc_id").alias(other), F.col("set_id").alias(mark))
+    if not repeated.isEmpty():
+        again = named(docs.where(worded)).join(small(repeated, 500_000), same, "left_semi")
+        alike = Window.partitionBy(name).orderBy(F.xxhash64("text"))
+        again = again.withColumn(rank, F.row_number().over(alike)).where(F.col(rank) == 1)
+        kept = kept.unionByName(again.select(*docs.columns))
+    return kept.unionByName(docs.where(~worded))
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
