@@ -78,8 +78,8 @@ def test_large_buckets_go_by_pivots(spark, monkeypatch):
     def all_large():
         found = original()
         pairs = found.where("b is not null")
-        one = pairs.selectExpr("a", "cast(null as long) as b", "xxhash64(a) % 3 as sig")
-        two = pairs.selectExpr("b as a", "cast(null as long) as b", "xxhash64(a) % 3 as sig")
+        one = pairs.selectExpr("a", "cast(null as long) as b", "xxhash64(a) % 3 as sig", "true as probe")
+        two = pairs.selectExpr("b as a", "cast(null as long) as b", "xxhash64(a) % 3 as sig", "false as probe")
         return one.union(two).union(found.where("sig is not null")).distinct()
 
     made.candidates = all_large

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial, reduce
 
 import numpy as np
@@ -19,8 +19,8 @@ from tidewatch.llm.words import U64, shingle_hashes, slices, splitmix, text_byte
 
 #: All pairs of a bucket are candidates up to this size; larger ones go by pivots.
 SMALL_BUCKET = 24
-#: Pivots of a large bucket in one round: 1, 64, 512 and so on up to this.
-MOST_PIVOTS = 4096
+#: Pivots of a large bucket in each round, the last as often as is needed.
+PIVOTS = (1, 64, 4096)
 SKETCH_PART = 1 << 16
 PARITY_WORDS = 16
 ROWS_PER_TASK = 2_000_000
@@ -30,8 +30,10 @@ PARITY = [f"p{k}" for k in range(PARITY_WORDS)]
 INFO = "doc_id long, n_shingles long, set_id long, " + ", ".join(f"{p} long" for p in PARITY) + ", part int, counts binary"
 #: The lowest bit of sig tells whether the row probes.
 SIGNATURE = "sig long, set_id long"
-FOUND = "a long, b long, sig long"
-CONTENT = "set_id long, shingles binary"
+FOUND = "a long, b long, sig long, probe boolean"
+CONTENT = "set_id long, content binary"
+#: Cells of the histogram that large sets are compared by before their elements.
+CELLS = 1024
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,32 +124,36 @@ def _bucket_pairs(set_id, probes, starts, lengths) -> np.ndarray:
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (a, b) of small buckets and members (a, sig) of large ones.
+    """Candidate pairs (a, b) of small buckets and members (a, sig, probe) of large ones.
 
     The rows come in order of sig. Only a bucket's first rows are ever kept from
-    one batch to the next: those of a large one go out as they come.
+    one batch to the next: those of a large one go out as they come. A bucket
+    in which nothing probes is of no use.
     """
     waiting = [np.zeros(0, np.int64)] * 3
     large: int | None = None
-
-    def out(a, b, sig) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a), b, sig], ["a", "b", "sig"])
+    names = ["a", "b", "sig", "probe"]
 
     def members(rows: list[np.ndarray], chosen: np.ndarray) -> pa.RecordBatch:
-        pairs = np.unique(np.stack([rows[0][chosen], rows[1][chosen]]), axis=1)
-        return out(pairs[1], pa.nulls(pairs.shape[1], pa.int64()), pa.array(pairs[0]))
+        sig, set_id, probe = (r[chosen] for r in rows)
+        nothing = pa.nulls(len(sig), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(set_id), nothing, pa.array(sig), pa.array(probe == 1)], names)
 
     def finish(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         sig, set_id, probe = rows
         starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         lengths = np.diff(np.append(starts, len(sig)))
-        big = np.repeat(lengths > SMALL_BUCKET, lengths)
+        useful = (lengths > 1) & (np.maximum.reduceat(probe, starts) == 1)
+        big = np.repeat(useful & (lengths > SMALL_BUCKET), lengths)
         if big.any():
             yield members(rows, big)
-        few = (lengths > 1) & (lengths <= SMALL_BUCKET)
+        few = useful & (lengths <= SMALL_BUCKET)
         if few.any():
             pairs = _bucket_pairs(set_id, probe == 1, starts[few], lengths[few])
-            yield out(pairs[0], pa.array(pairs[1]), pa.nulls(pairs.shape[1], pa.int64()))
+            n = pairs.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_())], names
+            )
 
     for batch in batches:
         sig, set_id = (np.asarray(c) for c in batch.columns)
@@ -173,13 +179,35 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from finish(waiting)
 
 
-def _content(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles of the wanted sets, from rows (text, wanted set_id)."""
+def _made(size: int, pack_set: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The wanted sets as ``pack_set`` gives them, from rows (text, wanted set_id)."""
     for part, shingles, starts in _parts(size, 0, batches):
         names = set_ids(shingles, starts)
         keep = np.flatnonzero(names == np.asarray(part.column(1)))
-        packed = [pack_sorted(shingles[starts[k] : starts[k + 1]]) for k in keep]
-        yield pa.RecordBatch.from_arrays([pa.array(names[keep]), pa.array(packed, pa.binary())], ["set_id", "shingles"])
+        packed = [pack_set(shingles[starts[k] : starts[k + 1]]) for k in keep]
+        yield pa.RecordBatch.from_arrays([pa.array(names[keep]), pa.array(packed, pa.binary())], ["set_id", "content"])
+
+
+def histogram(shingles: np.ndarray) -> bytes:
+    """How many elements fall into each cell, at most 255.
+
+    Two sets differ in at least as many elements as their histograms differ.
+    """
+    counts = np.bincount((shingles & U64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _near(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose histograms leave a link possible, from rows (a, b, sizes together, both histograms)."""
+    for batch in batches:
+        sides = [
+            np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
+            for c in batch.columns[3:]
+        ]
+        apart = np.abs(sides[0] - sides[1]).sum(axis=1, dtype=np.int64)
+        total = np.asarray(batch.column(2))
+        kept = pa.array((threshold.of + threshold.percent) * apart <= (threshold.of - threshold.percent) * total)
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], ["a", "b"])
 
 
 def _verify(threshold: Threshold, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,51 +266,59 @@ class JaccardJoin:
         mine = self.described.join(wanted, "set_id", "left_semi")
         return stored(mine.groupBy("set_id").agg(*columns), "jaccard-outlines")
 
-    def content(self, wanted: DataFrame) -> DataFrame:
-        """Stored shingles of the sets ``wanted`` (set_id), from one document each."""
+    def made(self, pairs: DataFrame, pack_set: Callable, name: str) -> DataFrame:
+        """Stored content of all sets in ``pairs`` (a, b), made again from one text each."""
+        wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
         key = F.coalesce("doc_id", F.lit(-(2**63)))
         chosen = self.described.select("doc_id", "set_id").join(wanted, "set_id").groupBy("set_id")
         chosen = small(stored(chosen.agg(F.min(key).alias("_key")), "jaccard-wanted"), 500_000)
         texts = self.docs.withColumn("_key", key).join(chosen, "_key").select("text", "set_id")
-        made = map_arrow(texts, partial(_content, self.size), CONTENT)
-        return stored(made.groupBy("set_id").agg(F.first("shingles").alias("shingles")), "jaccard-content")
-
-    def verified(self, pairs: DataFrame, content: DataFrame) -> DataFrame:
-        """Stored links among ``pairs`` (a, b), by the sets themselves."""
-        left = content.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
-        right = content.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return stored(map_arrow(both, partial(_verify, self.threshold), "a long, b long"), "jaccard-links")
+        packed = map_arrow(texts, partial(_made, self.size, pack_set), CONTENT)
+        return stored(packed.groupBy("set_id").agg(F.first("content").alias("content")), name)
+
+    def beside(self, pairs: DataFrame, content: DataFrame) -> DataFrame:
+        """``pairs`` with the content of both sets as x and y."""
+        left = content.select(F.col("set_id").alias("a"), F.col("content").alias("x"))
+        right = content.select(F.col("set_id").alias("b"), F.col("content").alias("y"))
+        return pairs.join(left, "a").join(right, "b")
+
+    def verified(self, close: DataFrame) -> DataFrame:
+        """Stored links among ``close`` (a, b, total): by histograms first, then by the sets themselves."""
+        close = stored(close, "jaccard-close")
+        cells = self.made(close, histogram, "jaccard-cells")
+        rows = self.beside(close, cells).select("a", "b", "total", "x", "y")
+        near = stored(map_arrow(rows, partial(_near, self.threshold), "a long, b long"), "jaccard-near")
+        if near.isEmpty():
+            return near
+        rows = self.beside(near, self.made(near, pack_sorted, "jaccard-content")).select("a", "b", "x", "y")
+        return stored(map_arrow(rows, partial(_verify, self.threshold), "a long, b long"), "jaccard-links")
 
     def labels(self) -> DataFrame:
         """Rows (node, component) for the sets that link with another.
 
         Candidates meet by their outlines first; only the sets of pairs that
-        pass, and those of large buckets, are made again from their texts.
+        pass are made again from their texts.
         """
         found = self.candidates()
         pairs = found.where("b is not null").select("a", "b").distinct()
-        members = found.where("sig is not null").select("sig", F.col("a").alias("set_id")).distinct()
+        members = found.where("sig is not null").groupBy("sig", F.col("a").alias("set_id"))
+        members = members.agg(F.max("probe").alias("probe"))
         ends = [found.select(F.col("a").alias("set_id")), found.where("b is not null").select(F.col("b").alias("set_id"))]
         outlines = self.outlines(ends[0].union(ends[1]).distinct())
-        close = stored(
+        close = (
             pairs.join(outlines.alias("l"), F.col("a") == F.col("l.set_id"))
             .join(outlines.alias("r"), (F.col("b") == F.col("r.set_id")) & may_link(self.threshold))
-            .select("a", "b"),
-            "jaccard-close",
-        )
-        wanted = close.select(F.col("a").alias("set_id")).union(close.select("b")).union(members.select("set_id"))
-        content = self.content(wanted.distinct())
-        labels = stored(components(self.verified(close, content)), "jaccard-labels")
-        members = stored(
-            members.join(members.groupBy("set_id").agg(F.count("*").alias("degree")), "set_id"), "jaccard-members"
+            .select("a", "b", (F.col("l.n") + F.col("r.n")).alias("total"))
         )
+        labels = stored(components(self.verified(close)), "jaccard-labels")
+        degrees = members.groupBy("set_id").agg(F.count("*").alias("degree"))
+        members = stored(members.join(degrees, "set_id"), "jaccard-members")
         turn = 0
         while not members.isEmpty():
-            pivots = min(8 ** (turn + 1), MOST_PIVOTS) if turn else 1
+            pivots = PIVOTS[min(turn, len(PIVOTS) - 1)]
             pairs, members = self.by_pivots(members, labels, outlines, pivots, once=turn == 1)
-            links = self.verified(pairs, content)
-            if not links.isEmpty():
+            links = None if pairs.isEmpty() else self.verified(pairs)
+            if links is not None and not links.isEmpty():
                 labels = self.joined(labels, links)
             turn += 1
         return labels
@@ -292,28 +328,33 @@ class JaccardJoin:
     ) -> tuple[DataFrame, DataFrame]:
         """Candidate pairs of large buckets with pivots, and the buckets without those pivots.
 
-        A bucket whose sets are all of one component is done. In the others, up
+        A bucket whose sets are all of one component, or in which nothing probes
+        any more, is done. In the others, up
         to ``pivots`` sets outside the bucket's largest component, those in
-        most buckets first, are compared with all sets of other components and
-        then leave the bucket; so every pair is compared or joined up before.
+        most buckets first, are compared with all sets of other components, if
+        one of the two probes, and then leave the bucket; so every pair is compared
+        or joined up before.
         With ``once`` a set is a pivot of its largest bucket only, as a link
         found there mostly settles the others. Pairs that differ in too many
         parities never leave the join.
         """
         placed = members.join(labels, F.col("set_id") == F.col("node"), "left").select(
-            "sig", "set_id", "degree", F.coalesce("component", "set_id").alias("component")
+            "sig", "set_id", "probe", "degree", F.coalesce("component", "set_id").alias("component")
+        )
+        parts = placed.groupBy("sig", "component").agg(
+            F.count("*").alias("n_sets"), F.max("probe").alias("probes")
         )
-        parts = placed.groupBy("sig", "component").agg(F.count("*").alias("n_sets"))
         open_buckets = (
             parts.groupBy("sig")
             .agg(
                 F.count("*").alias("n_parts"),
                 F.sum("n_sets").alias("size"),
                 F.max(F.struct("n_sets", "component")).alias("main"),
+                F.max("probes").alias("probes"),
             )
-            .where("n_parts > 1")
+            .where("n_parts > 1 and probes")
         )
-        left = stored(placed.join(open_buckets, "sig").drop("n_parts"), "jaccard-open")
+        left = stored(placed.join(open_buckets, "sig").drop("n_parts", "probes"), "jaccard-open")
         outside = F.col("component") != F.col("main.component")
         alone = F.col("main.n_sets") == 1
         per_bucket = Window.partitionBy("sig").orderBy(F.desc("degree"), "set_id")
@@ -323,19 +364,22 @@ class JaccardJoin:
         if once:
             chosen = chosen.withColumn("turn", F.row_number().over(per_set)).where("turn = 1")
         chosen = stored(
-            chosen.select("sig", F.col("set_id").alias("pivot"), F.col("component").alias("of")), "jaccard-pivots"
+            chosen.select("sig", "probe", F.col("set_id").alias("pivot"), F.col("component").alias("of")),
+            "jaccard-pivots",
         )
-        heads = chosen.join(outlines, F.col("pivot") == F.col("set_id")).select("sig", "pivot", "of", "n", *PARITY)
-        others = left.join(outlines, "set_id").select("sig", "set_id", "component", "n", *PARITY)
+        heads = chosen.join(outlines, F.col("pivot") == F.col("set_id")).select("sig", "probe", "pivot", "of", "n", *PARITY)
+        others = left.join(outlines, "set_id").select("sig", "probe", "set_id", "component", "n", *PARITY)
         met = heads.alias("l").join(
             others.alias("r"),
             (F.col("l.sig") == F.col("r.sig"))
             & (F.col("l.of") != F.col("r.component"))
+            & (F.col("l.probe") | F.col("r.probe"))
             & may_link(self.threshold),
         )
-        pairs = met.select(F.least("pivot", "set_id").alias("a"), F.greatest("pivot", "set_id").alias("b")).distinct()
+        ends = F.least("pivot", "set_id").alias("a"), F.greatest("pivot", "set_id").alias("b")
+        pairs = stored(met.select(*ends, (F.col("l.n") + F.col("r.n")).alias("total")).distinct(), "jaccard-met")
         gone = chosen.select("sig", F.col("pivot").alias("set_id"))
-        rest = stored(left.join(gone, ["sig", "set_id"], "left_anti").select("sig", "set_id", "degree"), "jaccard-rest")
+        rest = stored(left.join(gone, ["sig", "set_id"], "left_anti").select(*members.columns), "jaccard-rest")
         return pairs, rest
 
     def joined(self, labels: DataFrame, links: DataFrame) -> DataFrame:
