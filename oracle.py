@@ -7,8 +7,18 @@ seven-day RANGE, not the running differences the Spark plans use.
 
 from __future__ import annotations
 
+from tidewatch.sources import generator as G
 from tidewatch.sources.adapters import EVENTS_SQL, ORDERS_SQL, STRUCTURING_SQL
 
+GATE_COLUMNS = ("transaction_id", "customer_id", "amount", "currency", "timestamp")
+
+
+def accepted(adapter: str) -> str:
+    known = " and ".join(f"{c} is not null" for c in GATE_COLUMNS)
+    return f"select * from ({adapter}) where {known} and amount > 0"
+
+
+
 RISKY = "('CY', 'MT', 'PAN', 'BVI', 'SCH')"
 IDENTITY = "transaction_id, customer_id, amount, currency, channel"
 RAW = (
@@ -30,7 +40,7 @@ def base(adapter: str, where: str = "") -> str:
     return f"""
 with txn as ({adapter}),
 keyed as (
-  select *, epoch_us(timestamp) // 1000000 as s, cast(amount as decimal(18,2)) as d
+  select *, epoch_us(timestamp) // 1000000 as s, cast(amount as decimal(38,6)) as d
   from txn {where}
 ),
 win as (
@@ -152,21 +162,20 @@ ranked as (
   from per_score, tot
 )"""
 
-GATE_COLUMNS = ("transaction_id", "customer_id", "amount", "currency", "timestamp")
-
 
 def _oracles() -> dict[str, str]:
-    ev, od, st = EVENTS_SQL, ORDERS_SQL, STRUCTURING_SQL
+    every = EVENTS_SQL
+    ev, od, st = accepted(EVENTS_SQL), accepted(ORDERS_SQL), accepted(STRUCTURING_SQL)
     sql: dict[str, str] = {}
 
     # scans, sinks, staging
-    sql["scan_transactions"] = f"with txn as ({ev}) select {RAW} from txn"
+    sql["scan_transactions"] = f"with txn as ({every}) select {RAW} from txn"
     sql["scan_scored"] = f"{score(ev)} select {SCORED_COLUMNS} from scored"
     sql["sink_parquet_roundtrip"] = f"{score(ev)} select {ALERT} from scored where risk_score >= 25"
     sql["load_typed_table"] = f"with txn as ({ev}) select {RAW} from txn"
     sql["load_detected_table"] = f"{score(ev)} select {ALERT} from scored where risk_score >= 25"
     sql["stg_transactions"] = (
-        f"with txn as ({ev}) select transaction_id, customer_id, originator_account, beneficiary_account, "
+        f"with txn as ({every}) select transaction_id, customer_id, originator_account, beneficiary_account, "
         f"cast(amount as double) as amount, currency, channel, {PLACES}, "
         "timestamp as transaction_timestamp, is_flagged_source from txn"
     )
@@ -205,7 +214,7 @@ def _oracles() -> dict[str, str]:
     sql["cumulative_orders"] = f"{base(od)} {running}"
     opened = """
 with txn as ({adapter}),
-keyed as (select *, epoch_us(timestamp) as us, cast(amount as decimal(18,2)) as d from txn),
+keyed as (select *, epoch_us(timestamp) as us, cast(amount as decimal(38,6)) as d from txn),
 win as (
   select transaction_id, customer_id, us, d,
     sum(d) over (partition by customer_id order by us, transaction_id
@@ -223,6 +232,9 @@ select transaction_id, customer_id,
   cum_n - old_n as rolling_7d_count,
   cast(cum_d - coalesce(old_d, 0) as double) / (cum_n - old_n) as rolling_7d_avg
 from win"""
+    sql["cumulative_split"] = sql["cumulative"]
+    sql["inter_arrival_split"] = sql["inter_arrival"]
+    sql["rolling_7d_open_split"] = opened.format(adapter=ev)
     sql["rolling_7d_open"] = opened.format(adapter=ev)
     sql["rolling_7d_open_orders"] = opened.format(adapter=od)
 
@@ -263,6 +275,11 @@ from win"""
         f"gap_s as seconds_since_last_txn, {r2('rolling_7d_amount')} as rolling_7d_amount, rolling_7d_count, "
         "'rapid_succession' as typology from feat where gap_s <= 300"
     )
+    sql["typology_rapid_succession_elapsed"] = (
+        sql["typology_rapid_succession"]
+        .replace("gap_s as seconds_since_last_txn", "gap_e as seconds_since_last_txn")
+        .replace("where gap_s <= 300", "where gap_e <= 300")
+    )
     sql["risk_score_final"] = f"{score(ev)} select {SCORED_COLUMNS} from scored"
     sql["risk_score_final_orders"] = f"{score(od)} select {SCORED_COLUMNS} from scored"
     sql["risk_score_final_structuring"] = f"{score(st)} select {SCORED_COLUMNS} from scored"
@@ -402,7 +419,7 @@ from (select * from scored where risk_score >= 25 order by risk_score desc, amou
 
     # quality
     nulls = ", ".join(f"count(*) filter (where {c} is null) as {c}" for c in GATE_COLUMNS)
-    sql["dq_null_counts"] = f"with txn as ({ev}) select {nulls} from txn"
+    sql["dq_null_counts"] = f"with txn as ({every}) select {nulls} from txn"
     raw_events = "select event_id, ts, user_id, event_type, value from events"
     sql["dq_invalid_amounts"] = (
         f"with raw as ({raw_events}) select count(*) filter (where value * 50 <= 0) as invalid_amounts from raw"
@@ -412,7 +429,7 @@ from (select * from scored where risk_score >= 25 order by risk_score desc, amou
         "from events"
     )
     gate = ", ".join(f"count(*) filter (where {c} is null) as null_{c}" for c in GATE_COLUMNS)
-    sql["dq_gate"] = f"""with txn as ({ev}) select {gate},
+    sql["dq_gate"] = f"""with txn as ({every}) select {gate},
   count(*) filter (where amount <= 0) as invalid_amounts,
   count(*) - count(distinct transaction_id) as duplicates from txn"""
 
@@ -429,7 +446,7 @@ from (select * from scored where risk_score >= 25 order by risk_score desc, amou
             f"(select {column} from {relation} where {column} is not null group by {column} having count(*) > 1)"
         )
 
-    def accepted(model: str, relation: str, column: str, values: str) -> str:
+    def allowed(model: str, relation: str, column: str, values: str) -> str:
         return (
             f"select 'accepted_values_{model}_{column}' as test_name, count(*) as violations from "
             f"(select distinct {column} from {relation} where {column} not in ({values}))"
@@ -437,7 +454,7 @@ from (select * from scored where risk_score >= 25 order by risk_score desc, amou
 
     models = (
         score(ev, "gap_e", "risky_3vl")
-        + ", queue as (select * from scored where risk_score >= 25), "
+        + f", everything as ({every}), queue as (select * from scored where risk_score >= 25), "
         + "profile as (select customer_id, max(risk_score) as max_risk_score, "
         + "case when max(risk_score) >= 75 then 'Critical' when max(risk_score) >= 50 then 'High' "
         + "when max(risk_score) >= 25 then 'Medium' else 'Low' end as risk_tier from scored group by customer_id) "
@@ -445,25 +462,25 @@ from (select * from scored where risk_score >= 25 order by risk_score desc, amou
     core = ("transaction_id", "customer_id", "amount")
     sql["test_not_null"] = models + " union all ".join(
         [
-            *no_nulls("source", "txn", core),
-            *no_nulls("staging", "txn", core),
+            *no_nulls("source", "everything", core),
+            *no_nulls("staging", "everything", core),
             *no_nulls("alert_queue", "queue", ("transaction_id", "risk_score")),
             *no_nulls("customer_profile", "profile", ("customer_id", "max_risk_score")),
         ]
     )
     sql["test_unique"] = models + " union all ".join(
         [
-            uniques("source", "txn", "transaction_id"),
-            uniques("staging", "txn", "transaction_id"),
+            uniques("source", "everything", "transaction_id"),
+            uniques("staging", "everything", "transaction_id"),
             uniques("customer_profile", "profile", "customer_id"),
-            uniques("raw_customer", "txn", "customer_id"),
+            uniques("raw_customer", "everything", "customer_id"),
         ]
     )
     sql["test_accepted_values"] = models + " union all ".join(
         [
-            accepted("alert_queue", "queue", "risk_tier", "'HIGH', 'MEDIUM'"),
-            accepted("customer_profile", "profile", "risk_tier", "'Critical', 'High', 'Medium', 'Low'"),
-            accepted("raw_channel", "txn", "channel", "'click', 'view'"),
+            allowed("alert_queue", "queue", "risk_tier", "'HIGH', 'MEDIUM'"),
+            allowed("customer_profile", "profile", "risk_tier", "'Critical', 'High', 'Medium', 'Low'"),
+            allowed("raw_channel", "everything", "channel", "'click', 'view'"),
         ]
     )
     sql["test_alert_min_score"] = (
@@ -496,6 +513,15 @@ select case when ('0x' || substr(md5(transaction_id || '/split42'), 1, 8))::bigi
   cast(risk_score >= 25 as integer) as label, count(*) as "count"
 from scored group by 1, 2"""
 
+    sql["ml_scored_rows"] = f"""{score(ev)}
+select transaction_id, cast(risk_score >= 25 as integer) as label, true as in_range, true as class_follows
+from scored where ('0x' || substr(md5(transaction_id || '/split42'), 1, 8))::bigint % 10000 < 2000"""
+    checks = (
+        "auc_is_high gini_from_auc f1_from_precision_and_recall cells_add_up reloaded_model_is_the_same "
+        "importance_of_every_feature three_rows_explained_by_every_feature cross_validated_auc_is_high"
+    ).split()
+    sql["ml_checks"] = " union all ".join(f"select '{name}' as check_name, true as ok" for name in checks)
+
     # stream and messages
     sql["decode_events_json"] = (
         "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events "
@@ -504,11 +530,70 @@ from scored group by 1, 2"""
     sql["encode_events_json"] = f"with txn as ({ev}) select customer_id as key, {RAW} from txn"
     sql["stream_source_json"] = f"with txn as ({ev}) select {RAW} from txn"
     sql["stream_scored_append"] = f"{score(ev, 'gap_s', 'risky_3vl')} select {SCORED_COLUMNS} from scored"
+    sql["stream_scored_history"] = sql["stream_scored_append"]
+    sql["stream_rejects"] = f"""with txn as ({ev}),
+kinds as (
+  select case cast(substr(transaction_id, 4) as bigint) % 50
+    when 1 then 'no readable id' when 2 then 'no customer' when 3 then 'unreadable time' end as reject_reason
+  from txn
+)
+select reject_reason, count(*) as n from kinds where reject_reason is not null group by reject_reason"""
     sql["run_log"] = (
-        f"{score(ev)} select 'run_events' as run_id, count(*) as record_count, "
-        "count(*) filter (where risk_score >= 25) as alert_count, 'completed' as status from scored"
+        score(ev) + " select 'run_events' as run_id, count(*) as record_count, "
+        "count(*) filter (where risk_score >= 25) as alert_count, 'completed' as status, "
+        "'{\"source\": \"events\"}' as details, 86400::bigint as kept_seconds from scored"
     )
+    sql.update(_generated())
     return sql
 
 
+def _draw(name: str) -> str:
+    return f"(('0x' || substr(md5(id::varchar || '/{name}/42'), 1, 13))::bigint / 4503599627370496.0)"
+
+
+def _pick(pool: tuple[str, ...], name: str) -> str:
+    values = ", ".join(f"'{v}'" for v in pool)
+    return f"([{values}])[1 + floor({_draw(name)} * {len(pool)})::int]"
+
+
+def _pick_weighted(weights: dict[str, float], name: str) -> str:
+    edge, text = 0.0, "case"
+    *head, last = weights
+    for value in head:
+        edge += weights[value]
+        text += f" when {_draw(name)} < {edge!r} then '{value}'"
+    return f"{text} else '{last}' end"
+
+
+def _code(prefix: str, number: str, width: int) -> str:
+    return f"'{prefix}' || lpad(({number})::varchar, greatest(length(({number})::varchar), {width})::int, '0')"
+
+
+def _below(n: int, name: str) -> str:
+    return f"floor({_draw(name)} * {n})::bigint"
+
+
+def _generated() -> dict[str, str]:
+    """Synthetic rows from the same digests; the pools are the generator's parameters."""
+    suspicious = f"{_draw('suspicious')} < {G.SUSPICIOUS_RATE}"
+    low, high = G.NEAR_LIMIT
+    usual = f"greatest(0.01, {r2(f'-{G.MEAN_AMOUNT} * ln(1 - {_draw("amount")})')})"
+    near = r2(f"{low} + ({high} - {low}) * {_draw('amount')}")
+    plain = f"""select {_code('TXN', 'id', 8)} as transaction_id,
+  {_code('CUST', _below(G.CUSTOMERS, 'customer'), 5)} as customer_id,
+  {_code('ACC', _below(G.ACCOUNTS, 'originator'), 6)} as originator_account,
+  {_code('ACC', _below(G.ACCOUNTS, 'beneficiary'), 6)} as beneficiary_account,
+  case when {suspicious} then {near} else {usual} end as amount,
+  {_pick(G.CURRENCIES, 'currency')} as currency, {_pick(G.CHANNELS, 'channel')} as channel,
+  {_pick(G.ALL_COUNTRIES, 'from')} as originator_country,
+  case when {suspicious} then {_pick(G.ALL_COUNTRIES, 'to')} else {_pick(G.LOW_RISK, 'to')} end as beneficiary_country,
+  {{time}} as timestamp, {suspicious} as is_flagged_source
+from (select event_id as id, ts from events)"""
+    start = f"timestamp '{G.YEAR_START}'"
+    return {
+        "gen_transactions": plain.format(time=f"{start} + to_seconds({_below(G.YEAR_DAYS * 86_400, 'time')})"),
+        "gen_transactions_recent": plain.format(time=f"ts - to_seconds({_below(31, 'time')})"),
+    }
+
+
 ORACLES = _oracles()

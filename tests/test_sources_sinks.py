@@ -68,7 +68,7 @@ def test_parquet_folders_files_and_missing_paths(spark, frame, tmp_path):
     rows = frame([txn(i) for i in range(6)])
     rows.repartition(2).write.parquet(str(tmp_path / "a/b"))
     rows.coalesce(1).write.parquet(str(tmp_path / "a/c"))
-    assert files.read_parquet(spark, str(tmp_path / "a")).count() == 12
+    assert files.read_parquet(spark, str(tmp_path / "a"), recursive=True).count() == 12
     one = next((tmp_path / "a/c").glob("*.parquet"))
     assert files.read_transactions(spark, str(one)).count() == 6
     for schema in (None, TRANSACTIONS):
@@ -115,16 +115,35 @@ def test_materialise(spark, frame, tmp_path):
         tables.materialise(df, "x", "cube")
 
 
-def test_reference_set_replaces_expires_and_falls_back(spark, tmp_path):
+def codes(spark, path):
+    live = reference_set.live_codes(spark, path)
+    return None if live is None else {r.code for r in live.collect()}
+
+
+def test_reference_set_replaces_and_expires(spark, tmp_path):
     path = str(tmp_path / "codes")
-    assert reference_set.current_codes(spark, path) == set()
-    assert reference_set.with_current_codes(spark, path, Rules()) == Rules()
+    assert codes(spark, path) is None
     assert reference_set.replace_codes(spark, path, ["CY", "XX", "XX"]) == 2
-    assert reference_set.current_codes(spark, path) == {"CY", "XX"}
+    assert codes(spark, path) == {"CY", "XX"}
     assert reference_set.replace_codes(spark, path, ["MT"]) == 1
-    assert reference_set.with_current_codes(spark, path).high_risk_countries == ("MT",)
+    assert codes(spark, path) == {"MT"}
     reference_set.replace_codes(spark, path, ["MT"], ttl_seconds=-1)
-    assert reference_set.with_current_codes(spark, path) == Rules()
+    assert codes(spark, path) is None
+
+
+def test_stored_codes_take_the_place_of_the_list(spark, frame, tmp_path):
+    from tidewatch.operators.rules import score_transactions
+
+    path = str(tmp_path / "codes")
+    many = [f"X{k}" for k in range(20_000)]
+    reference_set.replace_codes(spark, path, ["MT", *many])
+    rows = frame([txn(1, origin="CY"), txn(2, dest="MT"), txn(3, origin=None, dest="X19999"), txn(4, origin=None, dest=None)])
+    got = score_transactions(rows, split=False, codes=reference_set.live_codes(spark, path))
+    plain = score_transactions(rows, split=False)
+    assert got.columns == plain.columns
+    assert {r.transaction_id[-1]: r.flag_high_risk_country for r in got.collect()} == {
+        "1": False, "2": True, "3": True, "4": False,
+    }
 
 
 def test_quoted_country_codes_are_literals(frame):
@@ -173,14 +192,33 @@ def test_session_is_fitted_to_the_input(spark, sf_dir):
         assert fit_session(df) == width
         assert {name: spark.conf.get(name) for name in names} == before
         assert fit_session(df, Scale(shuffle_task_bytes=1_000, max_shuffle_tasks=width + 5)) == width + 5
-        assert fit_session(df, Scale(shuffle_task_bytes=10**12)) == width + 5  # never lowered
+        assert int(spark.conf.get(names[0])) == width + 5
         fit_session(df, Scale(scan_task_bytes=10, max_scan_tasks=100))
         assert int(spark.conf.get(names[1])) == -(-estimated_bytes(df) // 100)
+        # a smaller input finds the session as it came
+        assert fit_session(df, Scale(shuffle_task_bytes=10**12)) == width
+        assert {name: spark.conf.get(name) for name in names} == before
+        spark.conf.set(names[0], str(width + 1))  # the user's own change stays
+        assert fit_session(df) == width + 1
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
 
 
+def test_long_ids_stay_whole(spark):
+    from tidewatch.sources import adapters, generator
+
+    events = spark.range(100_000_000, 100_000_020).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01' as ts", "id - 99975000 as user_id", "'view' as event_type", "1.0D as value"
+    )
+    txn = adapters.project(events, adapters.EVENT_COLUMNS)
+    assert txn.select("transaction_id").distinct().count() == 20
+    assert txn.select("customer_id").distinct().count() == 20
+    made = generator.synthesize(spark.range(99_999_950, 100_000_060))
+    assert made.select("transaction_id").distinct().count() == 110
+    assert {len(r[0]) for r in made.select("transaction_id").collect()} == {11, 12}
+
+
 class FakeSession:
     """The parts of a cluster session that ``work_folder`` reads."""
 

@@ -7,6 +7,7 @@ import pytest
 from conftest import txn
 
 from tidewatch.config import Rules, StreamSettings
+from tidewatch.operators.quality import accepted
 from tidewatch.operators.rules import score_transactions
 from tidewatch.schema import RAW_COLUMNS
 from tidewatch.sources.adapters import txn_events
@@ -28,12 +29,12 @@ def write(folder, name, lines):
 
 
 def run(spark, folder, tmp_path, scorer=None, **source):
-    scorer = scorer or consumer.BatchScorer(str(tmp_path / "out"))
+    scorer = scorer or consumer.BatchScorer(str(tmp_path / "out"), str(tmp_path / "rejects"))
     raw = consumer.json_lines_source(spark, str(folder), **source)
     consumer.start(raw, scorer, str(tmp_path / "checkpoint")).awaitTermination()
 
 
-def test_malformed_and_unidentified_messages_are_dropped(spark, tmp_path):
+def test_messages_that_cannot_be_scored_are_put_aside(spark, tmp_path):
     folder = tmp_path / "in"
     write(
         folder,
@@ -44,6 +45,7 @@ def test_malformed_and_unidentified_messages_are_dropped(spark, tmp_path):
             line(transaction_id=...),
             line(transaction_id="T2", timestamp="soon"),
             line(transaction_id="T3", amount=None),
+            line(transaction_id="T4", customer_id=None),
             line(transaction_id="T1"),
         ],
     )
@@ -57,13 +59,14 @@ def test_malformed_and_unidentified_messages_are_dropped(spark, tmp_path):
     run(spark, folder, tmp_path, scorer)
     ids = sorted(r.transaction_id for r in consumer.scored_table(spark, scorer.output).collect())
     assert ids == ["T1", "T1", "T3"]  # repeats are kept, as in the batch
-    assert [r.transaction_id for r in spark.read.parquet(scorer.rejects).collect()] == ["T2"]
+    rejects = sorted(r.reject_reason for r in spark.read.parquet(scorer.rejects).collect())
+    assert rejects == ["no customer", "no readable id", "no readable id", "unreadable time"]
     assert seen == [(0, 3, 0)]
     assert tuple(spark.read.parquet(scorer.summaries).select("processed", "alerts").first()) == (3, 0)
 
 
 def test_one_batch_equals_the_batch_result(spark, sf_dir, tmp_path):
-    raw = txn_events(spark, sf_dir)
+    raw = accepted(txn_events(spark, sf_dir))
     messages.encode(raw).select("value").write.text(str(tmp_path / "in"))
     run(spark, tmp_path / "in", tmp_path)
     got = consumer.scored_table(spark, str(tmp_path / "out")).drop("batch_id")
@@ -82,13 +85,28 @@ def test_windows_see_one_batch_only(spark, tmp_path):
     assert sorted(counts.values()) == [1, 2] and set(counts) == {0, 1}
 
 
+def test_remembering_scorer_goes_on_from_stored_rows(spark, frame, tmp_path):
+    day = 86_400
+    rows = [txn(i, k * day, 100.0 + i, f"C{i % 2}") for i, k in enumerate([0, 0, 1, 9, 9, 10, 12, 20, 20, 21])]
+    scorer = consumer.BatchScorer(str(tmp_path / "out"), str(tmp_path / "rejects"), remember=True)
+    for batch_id, part in enumerate((rows[:3], rows[3:4], rows[4:8], rows[8:])):
+        scorer(messages.examined(messages.encode(frame(part))), batch_id)
+    scorer(messages.examined(messages.encode(frame(rows[8:]))), 3)  # replayed
+    got = consumer.scored_table(spark, scorer.output).drop("batch_id")
+    want = score_transactions(frame(rows), STRICT)
+    key = lambda r: r.transaction_id
+    assert [tuple(r) for r in sorted(got.collect(), key=key)] == [tuple(r) for r in sorted(want.collect(), key=key)]
+    with pytest.raises(ValueError):
+        consumer.BatchScorer("a", "b", alerts_only=True, remember=True)
+
+
 def test_replayed_batch_replaces_its_rows(spark, tmp_path):
-    scorer = consumer.BatchScorer(str(tmp_path / "out"))
+    scorer = consumer.BatchScorer(str(tmp_path / "out"), str(tmp_path / "rejects"))
     raw = spark.createDataFrame([(line(transaction_id="T1"),), (line(transaction_id="T2"),)], "value string")
     for _ in range(2):
-        scorer(messages.decode(raw), 5)
+        scorer(messages.examined(raw), 5)
     assert consumer.scored_table(spark, scorer.output).count() == 2
-    scorer(messages.decode(raw), 6)
+    scorer(messages.examined(raw), 6)
     assert consumer.scored_table(spark, scorer.output).count() == 4
 
 
@@ -103,14 +121,15 @@ def test_restart_goes_on_where_it_stopped(spark, tmp_path):
 
 
 def test_empty_batch_writes_nothing(spark, tmp_path):
-    scorer = consumer.BatchScorer(str(tmp_path / "out"))
-    scorer(messages.decode(spark.createDataFrame([], "value string")), 0)
+    scorer = consumer.BatchScorer(str(tmp_path / "out"), str(tmp_path / "rejects"))
+    scorer(messages.examined(spark.createDataFrame([], "value string")), 0)
     assert not (tmp_path / "out").exists()
 
 
 def test_alerts_only(spark, tmp_path):
     scorer = consumer.BatchScorer(
         str(tmp_path / "out"),
+        str(tmp_path / "rejects"),
         alerts_only=True,
         rules=replace(STRICT, alert_threshold=20),
         summaries=str(tmp_path / "summaries"),
@@ -122,7 +141,7 @@ def test_alerts_only(spark, tmp_path):
         ],
         "value string",
     )
-    scorer(messages.decode(raw), 0)
+    scorer(messages.examined(raw), 0)
     assert [r.transaction_id for r in consumer.scored_table(spark, scorer.output).collect()] == ["T1"]
     assert tuple(spark.read.parquet(scorer.summaries).select("processed", "alerts").first()) == (2, 1)
 

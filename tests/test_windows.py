@@ -1,6 +1,7 @@
 """History features: frame edges, ties, and the plan for busy customers."""
 
 import random
+import uuid
 from bisect import bisect_left, bisect_right
 from dataclasses import replace
 from datetime import timedelta
@@ -117,7 +118,7 @@ def test_busy_list_has_only_the_busy_and_is_bounded(frame):
     rows = frame(crowd(3))
 
     def busy(scale):
-        return [r.customer_id for r in busy_customers(rows, row_cutoff(rows, scale)).collect()]
+        return [r[0] for r in busy_customers(rows, row_cutoff(rows, scale)).collect()]
 
     assert busy(Scale(busy_rows=100)) == ["HOT"]
     assert len(busy(Scale(busy_rows=0))) == 41
@@ -125,6 +126,51 @@ def test_busy_list_has_only_the_busy_and_is_bounded(frame):
     assert len(busy(Scale(busy_rows=0, max_busy_customers=3))) <= 3
 
 
+def named(rng, kind, i):
+    if kind == "mixed":
+        return str(rng.choice([i, 10**7 + i, 10**12 + i * 7]))
+    return str(uuid.UUID(int=rng.getrandbits(128)))
+
+
+@pytest.mark.parametrize("kind", ["mixed", "random"])
+@pytest.mark.parametrize("open_window", [False, True])
+def test_both_plans_agree_whatever_the_ids_look_like(frame, kind, open_window):
+    rng = random.Random(11)
+    rows, seen = [], set()
+    for i in range(500):
+        when = rng.choice([0, 86_400 * rng.randrange(4), 86_400 * 2, rng.randrange(10 * 86_400)])
+        row = list(txn(i, when, rng.choice([0.004, 0.125, 17.5, None]), rng.choice(["HOT", "HOT", "B", None])))
+        row[0] = named(rng, kind, i)
+        if rng.random() < 0.02:
+            row[9] = None
+        if row[0] not in seen:
+            seen.add(row[0])
+            rows.append(tuple(row))
+    plans = [{"split": False}, {"split": True, "scale": ALL_SPLIT}, {"split": True, "scale": Scale(busy_rows=40)}]
+    got = [by_id(with_history(frame(rows), open_window=open_window, **how)) for how in plans]
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(rows)
+    for r in got[0].values():
+        if r["customer_id"] is None or r["timestamp"] is None:
+            assert (r["cumulative_count"], r["rolling_7d_count"], r["prev_timestamp"]) == (1, 1, None)
+
+
+def test_amounts_below_a_cent_count(frame):
+    rows = frame([txn(1, 0, 0.004), txn(2, 1, 0.004), txn(3, 2, 0.125)])
+    for how in PLANS.values():
+        last = by_id(with_history(rows, **how))["T00000003"]
+        assert (last["rolling_7d_amount"], last["cumulative_amount"]) == (0.133, 0.133)
+
+
+def test_split_plan_is_short_and_scans_parts_once(spark, sf_dir):
+    from tidewatch.sources.adapters import txn_events
+
+    df = with_history(txn_events(spark, sf_dir), split=True, scale=Scale(busy_rows=20))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") <= 6
+    assert plan.count("FileScan parquet") <= 5
+
+
 def test_many_rows_of_one_instant_are_cut_by_id(frame):
     rows = frame([txn(i * 250_000, 0, 1.0, "HOT") for i in range(400)])
     got = with_history(rows, split=True, scale=ALL_SPLIT).select("cumulative_count", "rolling_7d_count").collect()
@@ -139,7 +185,10 @@ def test_small_inputs_are_not_split_and_unknown_sizes_are(spark, sf_dir, frame):
         return df._jdf.queryExecution().optimizedPlan().toString()
 
     assert "LeftAnti" not in text(with_history(txn_events(spark, sf_dir)))
-    assert "LeftAnti" in text(with_history(txn_events(spark, sf_dir), scale=Scale(small_input_bytes=1)))
+    large = Scale(small_input_bytes=1, busy_rows=0)
+    assert "LeftAnti" in text(with_history(txn_events(spark, sf_dir), scale=large))
+    # nobody is busy: the plan for whole customers, without a second branch
+    assert "LeftAnti" not in text(with_history(txn_events(spark, sf_dir), scale=Scale(small_input_bytes=1)))
 
 
 def test_prefix_scan_levels_agree_with_one_window(spark):
@@ -162,12 +211,15 @@ def test_prefix_scan_levels_agree_with_one_window(spark):
 def test_scored_plan_has_one_exchange_one_sort_and_no_python(spark, sf_dir):
     from tidewatch.sources.adapters import txn_events
 
-    plan = score_transactions(txn_events(spark, sf_dir), split=False)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(customer_id") == 1
+    from tidewatch.operators.quality import accepted
+
+    txn = accepted(txn_events(spark, sf_dir))
+    plan = score_transactions(txn, split=False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_key") == 1
     assert plan.count("Exchange") == 1
     assert plan.count("Sort [") == 1
     assert "Python" not in plan
-    assert "PushedFilters: [IsNotNull(value), GreaterThan(value,0.0)]" in plan
+    assert "PushedFilters: [IsNotNull(" in plan
     assert "props" not in plan.split("ReadSchema")[1]
 
 

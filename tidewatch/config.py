@@ -78,6 +78,9 @@ class Rules:
     velocity_amount: float = 20_000.0
     spike_ratio: float = 3.0
     rapid_seconds: int = 300
+    # Hours of the day outside [day_starts, day_ends) are off hours.
+    day_starts: int = 6
+    day_ends: int = 22
     high_score: int = 50
     medium_score: int = 25
     alert_threshold: int = 25
@@ -104,7 +107,7 @@ class Scale:
     # A shuffle task should handle about this much input, a scan task the other.
     shuffle_task_bytes: int = 192 << 20
     scan_task_bytes: int = 128 << 20
-    max_shuffle_tasks: int = 20_000
+    max_shuffle_tasks: int = 200_000
     max_scan_tasks: int = 200_000
 
 

@@ -5,12 +5,16 @@ All of them are built-in Spark expressions, so they stay inside generated code.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewatch.config import Rules
 
 MICROS = 1_000_000
+#: Parts of an amount that are kept exactly.
+UNITS = 1_000_000
 
 
 def epoch_micros(ts: str | Column) -> Column:
@@ -22,18 +26,19 @@ def epoch_second(ts: str | Column) -> Column:
     return F.unix_seconds(F.col(ts).cast("timestamp") if isinstance(ts, str) else ts.cast("timestamp"))
 
 
-def minor_units(amount: str | Column) -> Column:
-    """An amount in hundredths as a long.
+def exact_units(amount: str | Column) -> Column:
+    """An amount in millionths as a long; finer parts are rounded half to even.
 
     Sums of longs do not depend on the order of addition, so totals are the
-    same however the rows are split over tasks.
+    same however the rows are split over tasks. A sum beyond nine million
+    millions raises an overflow error instead of losing digits.
     """
     value = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(value * 100).cast("long")
+    return F.rint(value * UNITS).cast("long")
 
 
-def major_units(total: Column) -> Column:
-    return total / F.lit(100.0)
+def from_units(total: Column) -> Column:
+    return total / F.lit(float(UNITS))
 
 
 def half_up(value: Column, digits: int) -> Column:
@@ -51,30 +56,26 @@ def share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def calendar_columns(ts: str = "timestamp") -> dict[str, Column]:
+def calendar_columns(rules: Rules = Rules(), ts: str = "timestamp") -> dict[str, Column]:
     """Date, hour and weekday (1 = Sunday) with the two derived Booleans."""
+    hour, weekday = F.hour(ts), F.dayofweek(ts)
     return {
         "date": F.to_date(ts),
-        "hour": F.hour(ts),
-        "day_of_week": F.dayofweek(ts),
-        "is_weekend": F.expr(f"dayofweek(`{ts}`) in (1, 7)"),
-        "is_offhours": F.expr(f"hour(`{ts}`) not between 6 and 21"),
+        "hour": hour,
+        "day_of_week": weekday,
+        "is_weekend": weekday.isin(1, 7),
+        "is_offhours": (hour < rules.day_starts) | (hour >= rules.day_ends),
     }
 
 
-def _listed(country: str, rules: Rules) -> str:
-    codes = ", ".join("'" + code.replace("\\", "\\\\").replace("'", "\\'") + "'" for code in rules.high_risk_countries)
-    test = f"`{country}` in ({codes})" if codes else "false"
-    return f"coalesce({test}, false)" if rules.null_safe_countries else f"({test})"
-
-
 def high_risk_leg(country: str, rules: Rules) -> Column:
-    return F.expr(_listed(country, rules))
+    """Whether a country is listed; unknown ones are null, or not listed under the null-safe rule."""
+    listed = F.col(country).isin(*rules.high_risk_countries) if rules.high_risk_countries else F.lit(False)
+    return F.coalesce(listed, F.lit(False)) if rules.null_safe_countries else listed
 
 
 def touches_high_risk(rules: Rules) -> Column:
-    legs = (_listed(c, rules) for c in ("originator_country", "beneficiary_country"))
-    return F.expr(" or ".join(legs))
+    return high_risk_leg("originator_country", rules) | high_risk_leg("beneficiary_country", rules)
 
 
 def ratio_to_average(amount: Column, average: Column) -> Column:
@@ -83,15 +84,17 @@ def ratio_to_average(amount: Column, average: Column) -> Column:
 
 def weighted(flags_to_points: dict[str, int]) -> Column:
     """Sum of points of the raised flags; null as soon as one flag is unknown."""
-    return F.expr(" + ".join(f"int(`{flag}`) * {int(p)}" for flag, p in flags_to_points.items()))
+    return reduce(Column.__add__, [F.col(flag).cast("int") * points for flag, points in flags_to_points.items()])
 
 
 def tier(score: str, rules: Rules) -> Column:
     """The tier of the score column; an unknown score has tier NONE."""
-    return F.expr(
-        f"case when `{score}` >= {rules.high_score} then 'HIGH' "
-        f"when `{score}` >= {rules.medium_score} then 'MEDIUM' "
-        f"when `{score}` > 0 then 'LOW' else 'NONE' end"
+    value = F.col(score)
+    return (
+        F.when(value >= rules.high_score, "HIGH")
+        .when(value >= rules.medium_score, "MEDIUM")
+        .when(value > 0, "LOW")
+        .otherwise("NONE")
     )
 
 

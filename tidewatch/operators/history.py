@@ -2,17 +2,17 @@
 
 Two plans give the same columns.
 
-*Whole customer.* One shuffle on customer_id and one sort serve all windows. A
+*Whole customer.* One shuffle on the customer and one sort serve all windows. A
 seven-day sum is the running total now minus the running total just outside
 the window; both frames start at the first row, so Spark extends them row by
 row and the cost does not grow with the number of rows per window.
 
 *Split customer.* A customer may hold a large part of all rows. Such customers
-are found by counting first. Each of their rows is also sent to the moment it
-leaves the seven-day window, so that a rolling sum becomes the running total
-of what entered and what left. Running totals are taken per day and carried
-from day to day; a day that is itself too big for one task is cut further, by
-second, instant and id slice, with ``prefix_scan``.
+are found by counting first. Each of their rows is also sent to the moments at
+which it enters and leaves the seven-day window, so that a rolling sum becomes a
+running total. These rows are written once, dealt by ranges of their order;
+Spark's range sampler cuts a busy customer, day or instant wherever it has to.
+Running totals are taken within each part, and the parts' totals are carried on.
 """
 
 from __future__ import annotations
@@ -22,12 +22,15 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import Rules, Scale
 from tidewatch.functions import scalars as S
-from tidewatch.operators.prefix import prefix_scan, with_carry
-from tidewatch.session import estimated_bytes
+from tidewatch.session import estimated_bytes, work_folder
 
-KEY = "customer_id"
-# Rows whose ids differ only in these last characters share a slice.
-_SLICE_TAIL = 6
+KEY = "_key"
+
+
+def history_key() -> Column:
+    """The customer; a row without customer or time has a history of its own."""
+    known = F.when(F.col("timestamp").isNotNull(), F.col("customer_id"))
+    return F.coalesce(known, F.concat(F.lit("\0"), F.coalesce("transaction_id", F.lit(""))))
 
 
 def with_history(
@@ -47,31 +50,37 @@ def with_history(
     selects the variant frame (t - 7 days, t] in microseconds that leaves out
     later rows of the same instant.
 
-    Rows must have a customer and a time, which the quality gate and the
-    stream's reject output ensure. Rows of one instant follow their ids.
+    Rows of one instant follow their ids. A row without customer or time
+    has no others before it.
     """
     if split is None:
         size = estimated_bytes(txn)
         split = size is None or size > scale.small_input_bytes
     rows = txn.withColumns(
         {
-            "_s": S.epoch_second("timestamp"),
-            "_us": S.epoch_micros("timestamp"),
-            "_cents": S.minor_units("amount"),
+            KEY: history_key(),
+            # without a time a row is alone, so any place in the order will do
+            "_s": F.coalesce(S.epoch_second("timestamp"), F.lit(0)),
+            "_us": F.coalesce(S.epoch_micros("timestamp"), F.lit(0)),
+            "_units": S.exact_units("amount"),
         }
     )
     whole = _open_whole if open_window else _whole
     if not split:
         return _finish(whole(rows, rules), txn.columns)
-    cutoff = row_cutoff(txn, scale)
-    busy = F.broadcast(busy_customers(txn, cutoff))
+    found = busy_customers(txn, row_cutoff(txn, scale))
+    path = work_folder(txn.sparkSession, "busy-customers")
+    found.write.parquet(path)
+    busy = F.broadcast(txn.sparkSession.read.schema(found.schema).parquet(path))
+    if busy.isEmpty():
+        return _finish(whole(rows, rules), txn.columns)
     calm_part = whole(rows.join(busy, KEY, "left_anti"), rules)
-    busy_part = _split(rows.join(busy, KEY, "left_semi"), txn.columns, rules, cutoff, open_window)
+    busy_part = _split(rows.join(busy, KEY, "left_semi"), txn.columns, rules, open_window)
     return _finish(calm_part, txn.columns).unionByName(_finish(busy_part, txn.columns))
 
 
 def _sizes(txn: DataFrame) -> DataFrame:
-    return txn.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    return txn.groupBy(history_key().alias(KEY)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def row_cutoff(txn: DataFrame, scale: Scale = Scale()) -> Column:
@@ -94,10 +103,10 @@ def busy_customers(txn: DataFrame, cutoff: Column) -> DataFrame:
 def _finish(rows: DataFrame, keep: list[str]) -> DataFrame:
     return rows.selectExpr(
         *[f"`{name}`" for name in keep],
-        "case when _roll_k > 0 then _roll_cents / 100D end as rolling_7d_amount",
+        f"case when _roll_k > 0 then _roll_units / {S.UNITS}D end as rolling_7d_amount",
         "_roll_n as rolling_7d_count",
-        "case when _roll_k > 0 then _roll_cents / 100D / _roll_k end as rolling_7d_avg",
-        "_cum_cents / 100D as cumulative_amount",
+        f"case when _roll_k > 0 then _roll_units / {S.UNITS}D / _roll_k end as rolling_7d_avg",
+        f"_cum_units / {S.UNITS}D as cumulative_amount",
         "_cum_n as cumulative_count",
         "_prev_ts as prev_timestamp",
     )
@@ -119,7 +128,7 @@ def _whole(rows: DataFrame, rules: Rules) -> DataFrame:
     gone = by_second.rangeBetween(Window.unboundedPreceding, -(rules.lookback_seconds + 1))
     ordered = rows.select(
         "*",
-        F.sum("_cents").over(to_here).alias("_cum_cents"),
+        F.sum("_units").over(to_here).alias("_cum_units"),
         F.count(F.lit(1)).over(to_here).alias("_cum_n"),
         F.lag("timestamp").over(_in_order()).alias("_prev_ts"),
     )
@@ -129,11 +138,11 @@ def _whole(rows: DataFrame, rules: Rules) -> DataFrame:
 def _rolling(now, gone) -> list[Column]:
     """Totals up to ``now`` without those of ``gone``."""
     zero = F.lit(0)
-    cents = F.coalesce(F.sum("_cents").over(now), zero) - F.coalesce(F.sum("_cents").over(gone), zero)
+    units = F.coalesce(F.sum("_units").over(now), zero) - F.coalesce(F.sum("_units").over(gone), zero)
     return [
-        cents.alias("_roll_cents"),
+        units.alias("_roll_units"),
         (F.count(F.lit(1)).over(now) - F.count(F.lit(1)).over(gone)).alias("_roll_n"),
-        (F.count("_cents").over(now) - F.count("_cents").over(gone)).alias("_roll_k"),
+        (F.count("_units").over(now) - F.count("_units").over(gone)).alias("_roll_k"),
     ]
 
 
@@ -147,166 +156,103 @@ def _open_whole(rows: DataFrame, rules: Rules) -> DataFrame:
     )
     ordered = rows.select(
         "*",
-        F.sum("_cents").over(to_here).alias("_cum_cents"),
+        F.sum("_units").over(to_here).alias("_cum_units"),
         F.count(F.lit(1)).over(to_here).alias("_cum_n"),
-        F.count("_cents").over(to_here).alias("_cum_k"),
+        F.count("_units").over(to_here).alias("_cum_k"),
         F.lag("timestamp").over(order).alias("_prev_ts"),
     )
     zero = F.lit(0)
     return ordered.select(
         "*",
-        (F.coalesce("_cum_cents", zero) - F.coalesce(F.sum("_cents").over(gone), zero)).alias("_roll_cents"),
+        (F.coalesce("_cum_units", zero) - F.coalesce(F.sum("_units").over(gone), zero)).alias("_roll_units"),
         (F.col("_cum_n") - F.count(F.lit(1)).over(gone)).alias("_roll_n"),
-        (F.col("_cum_k") - F.count("_cents").over(gone)).alias("_roll_k"),
+        (F.col("_cum_k") - F.count("_units").over(gone)).alias("_roll_k"),
     )
 
 
 # --- split customers -------------------------------------------------------
 
-_DAY = 86_400
-_MEASURES = ("_cents", "_n", "_k")
-_NET = tuple(f"_net{m}" for m in _MEASURES)
-_LIVE_SCAN = {**dict.fromkeys(_MEASURES, "sum"), "_last": "max"}
-_NET_SCAN = dict.fromkeys(_NET, "sum")
-_DAY_KEYS = [KEY, "_day"]
-_PART = [*_DAY_KEYS, "_s", "_us", "_slice"]
+_OWN = ("_units", "_n", "_k")
+_NET = tuple(f"_net{m}" for m in _OWN)
 
 
 def _moves(rows: DataFrame, payload: list[str], rules: Rules, open_window: bool) -> DataFrame:
-    """Two rows per transaction: it enters (``_sign`` 1), later it leaves (-1).
+    """Each transaction as itself (``_turn`` 1), and as it enters and leaves (``_turn`` 0).
 
-    The leaving row carries nothing but its measures. A closed window is left
-    one second after its last whole second, an open one at the exact instant.
+    At one second the entering and leaving rows come first, so the running net
+    total at a transaction holds all of its second. An open window is
+    entered at the transaction itself and left at the exact instant.
     """
-    twice = rows.withColumn("_sign", F.explode(F.array(F.lit(1), F.lit(-1))))
-    enters = F.col("_sign") == 1
+    steps = ["self", "leave"] if open_window else ["self", "enter", "leave"]
+    each = rows.withColumn("_step", F.explode(F.array(*map(F.lit, steps))))
+    itself, leaves = F.col("_step") == "self", F.col("_step") == "leave"
+    far = F.col("_us") + rules.lookback_seconds * S.MICROS
     if open_window:
-        gone_us = F.col("_us") + rules.lookback_seconds * S.MICROS
-        gone_s = F.floor(gone_us / S.MICROS)
+        place = {"_s": F.lit(0).cast("long"), "_us": F.when(leaves, far).otherwise(F.col("_us"))}
+        sign = F.when(leaves, -1).otherwise(1)
     else:
-        gone_s = F.col("_s") + rules.lookback_seconds + 1
-        gone_us = gone_s * S.MICROS
-    known = F.col("_cents").isNotNull().cast("long")
-    amounts = {"_cents": F.coalesce("_cents", F.lit(0)), "_n": F.lit(1).cast("long"), "_k": known}
-    moved = twice.select(
+        gone = F.col("_s") + rules.lookback_seconds + 1
+        place = {
+            "_s": F.when(leaves, gone).otherwise(F.col("_s")),
+            "_us": F.when(itself, F.col("_us")).otherwise(0),
+        }
+        sign = F.when(leaves, -1).when(itself, 0).otherwise(1)
+    known = F.col("_units").isNotNull().cast("long")
+    amounts = {"_units": F.coalesce("_units", F.lit(0)), "_n": F.lit(1).cast("long"), "_k": known}
+    return each.select(
         KEY,
-        "_sign",
-        F.when(enters, F.col("_s")).otherwise(gone_s).alias("_s"),
-        F.when(enters, F.col("_us")).otherwise(gone_us).alias("_us"),
-        *[F.when(enters, F.col(c)).alias(c) for c in payload if c != KEY],
-        *[F.when(enters, v).otherwise(0).alias(m) for m, v in amounts.items()],
-        *[(F.col("_sign") * v).alias(f"_net{m}") for m, v in amounts.items()],
+        *[value.alias(name) for name, value in place.items()],
+        itself.cast("int").alias("_turn"),
+        F.coalesce("transaction_id", F.lit("")).alias("_id"),
+        *[F.when(itself, F.col(c)).alias(c) for c in payload],
+        *[F.when(itself, v).otherwise(0).alias(m) for m, v in amounts.items()],
+        *[(sign * v).alias(f"_net{m}") for m, v in amounts.items()],
+        F.when(itself, F.col("timestamp")).alias("_last"),
     )
-    return moved.withColumns({"_day": F.floor(F.col("_s") / _DAY), "_last": F.col("timestamp")})
 
 
-def _day_totals(moves: DataFrame) -> DataFrame:
-    """One row per customer and day; summed within each task before the shuffle."""
-    return moves.groupBy(*_DAY_KEYS).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.sum(m).alias(m) for m in (*_MEASURES, *_NET)],
-        F.max("_last").alias("_last"),
-    )
-
+def _split(rows: DataFrame, payload: list[str], rules: Rules, open_window: bool) -> DataFrame:
+    """Running totals in parts of the rows' order, which are written and read again.
 
-def _split(
-    rows: DataFrame, payload: list[str], rules: Rules, cutoff: Column, open_window: bool
-) -> DataFrame:
+    A part is a contiguous range of (customer, order), so the totals of the
+    parts are at most as many as parts and busy customers together; carrying
+    them takes one window of at most as many rows as there are parts.
+    """
+    spark = rows.sparkSession
     moves = _moves(rows, payload, rules, open_window)
-    totals = _day_totals(moves)
-    carry = prefix_scan(totals, [KEY], [["_day"]], {**_LIVE_SCAN, **_NET_SCAN}).select(
-        *_DAY_KEYS, *[F.col(f"before_{m}").alias(f"_past{m}") for m in (*_LIVE_SCAN, *_NET_SCAN)]
-    )
-    # Entering and leaving rows together are twice the rows, so at most
-    # 2 * max_busy_customers days can pass the cut-off.
-    crowded = F.broadcast(totals.where(F.col("_rows") > cutoff).select(*_DAY_KEYS))
-    calm = _calm_days(moves.join(crowded, _DAY_KEYS, "left_anti"), open_window)
-    dense = _crowded_days(moves.join(crowded, _DAY_KEYS, "left_semi"), payload, open_window)
-    done = [_with_past(part, carry, payload) for part in (calm, dense)]
-    return done[0].unionByName(done[1])
-
-
-def _with_past(day: DataFrame, carry: DataFrame, payload: list[str]) -> DataFrame:
-    """Add what earlier days left to values that start at midnight."""
-    rows = day.join(carry, _DAY_KEYS, "left")
-
-    def total(name: str, within: str) -> Column:
-        return F.col(f"_past{name}") + F.col(within)
-
-    return rows.select(
-        *payload,
-        F.when(total("_k", "_day_k") > 0, total("_cents", "_day_cents")).alias("_cum_cents"),
-        total("_n", "_day_n").alias("_cum_n"),
-        *[total(f"_net{m}", f"_day_net{m}").alias(f"_roll{m}") for m in _MEASURES],
-        F.coalesce("_day_last", "_past_last").alias("_prev_ts"),
+    order = ["_us", "_turn", "_id"] if open_window else ["_s", "_turn", "_us", "_id"]
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = moves.repartitionByRange(width, KEY, *order).withColumn("_part", F.spark_partition_id())
+    path = work_folder(spark, "history-parts")
+    dealt.write.parquet(path)
+    parts = spark.read.schema(dealt.schema).parquet(path)
+
+    sums = [F.sum(m).alias(m) for m in (*_OWN, *_NET)]
+    totals = parts.groupBy("_part", KEY).agg(*sums, F.max("_last").alias("_last"))
+    earlier = Window.partitionBy(KEY).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(
+        "_part",
+        KEY,
+        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_past{m}") for m in (*_OWN, *_NET)],
+        F.max("_last").over(earlier).alias("_past_last"),
     )
-
-
-def _calm_days(moves: DataFrame, open_window: bool) -> DataFrame:
-    """Running values within each day, all from one sort."""
-    in_order = Window.partitionBy(*_DAY_KEYS).orderBy("_s", "_us", "_sign", "transaction_id")
-    to_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    rows = moves.select(
+    inside = Window.partitionBy("_part", KEY).orderBy(*order)
+    to_here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    running = parts.select(
         "*",
-        *[F.sum(m).over(to_here).alias(f"_day{m}") for m in _MEASURES],
-        F.max("_last").over(before).alias("_day_last"),
-        *([F.sum(m).over(to_here).alias(f"_day{m}") for m in _NET] if open_window else []),
-    )
-    if not open_window:
-        by_second = (
-            Window.partitionBy(*_DAY_KEYS)
-            .orderBy("_s")
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        rows = rows.select("*", *[F.sum(m).over(by_second).alias(f"_day{m}") for m in _NET])
-    return rows.where(F.col("_sign") == 1)
-
-
-def _crowded_days(moves: DataFrame, payload: list[str], open_window: bool) -> DataFrame:
-    """The same for days too big for one task, which are cut into parts.
-
-    Dropping a fixed number of trailing characters keeps the order of ids of
-    equal length, so the slices of one instant follow each other as their ids
-    do, and unique ids bound the rows of a slice.
-    """
-    head = F.greatest(F.length("transaction_id") - _SLICE_TAIL, F.lit(0))
-    live = moves.where(F.col("_sign") == 1).withColumn(
-        "_slice", F.substring(F.col("transaction_id"), F.lit(1), head)
-    )
-    parts = live.groupBy(*_PART).agg(
-        *[F.sum(m).alias(m) for m in _MEASURES], F.max("_last").alias("_last")
-    )
-    scanned = prefix_scan(parts, _DAY_KEYS, [["_s"], ["_us", "_slice"]], _LIVE_SCAN)
-    place = [*_DAY_KEYS, "_s", "_us"] if open_window else [*_DAY_KEYS, "_s"]
-    net = (_gone_by_instant if open_window else _net_by_second)(moves)
-    carry = scanned.select(*_PART, *[f"before_{m}" for m in _LIVE_SCAN]).join(net, place, "left")
-    rows = with_carry(live, _PART, ["transaction_id"], carry, _LIVE_SCAN)
-    own = {f"_day{m}": F.col(f"before_{m}") + F.col(m) for m in _MEASURES}
-    if open_window:
-        # Entered so far minus left so far.
-        net_columns = {f"_day_net{m}": own[f"_day{m}"] + F.col(f"_through_net{m}") for m in _MEASURES}
-    else:
-        net_columns = {f"_day_net{m}": F.col(f"_through_net{m}") for m in _MEASURES}
-    return rows.withColumns({**own, **net_columns, "_day_last": F.col("before__last")})
-
-
-def _inclusive(scanned: DataFrame, place: list[str]) -> DataFrame:
-    return scanned.select(
-        *place, *[(F.col(f"before_{m}") + F.col(m)).alias(f"_through{m}") for m in _NET]
-    )
+        *[F.sum(m).over(to_here).alias(f"_here{m}") for m in (*_OWN, *_NET)],
+        F.max("_last").over(before).alias("_here_last"),
+    ).where("_turn = 1")
+    joined = running.join(carry, ["_part", KEY])
 
+    def total(name: str) -> Column:
+        return F.col(f"_past{name}") + F.col(f"_here{name}")
 
-def _net_by_second(moves: DataFrame) -> DataFrame:
-    place = [*_DAY_KEYS, "_s"]
-    seconds = moves.groupBy(*place).agg(*[F.sum(m).alias(m) for m in _NET])
-    return _inclusive(prefix_scan(seconds, _DAY_KEYS, [["_s"]], _NET_SCAN), place)
-
-
-def _gone_by_instant(moves: DataFrame) -> DataFrame:
-    place = [*_DAY_KEYS, "_s", "_us"]
-    leaving = F.col("_sign") == -1
-    instants = moves.groupBy(*place).agg(
-        *[F.sum(F.when(leaving, F.col(m)).otherwise(0)).alias(m) for m in _NET]
+    return joined.select(
+        *payload,
+        F.when(total("_k") > 0, total("_units")).alias("_cum_units"),
+        total("_n").alias("_cum_n"),
+        *[total(f"_net{m}").alias(f"_roll{m}") for m in _OWN],
+        F.coalesce("_here_last", "_past_last").alias("_prev_ts"),
     )
-    return _inclusive(prefix_scan(instants, _DAY_KEYS, [["_s"], ["_us"]], _NET_SCAN), place)

@@ -46,6 +46,13 @@ def gate_report(txn: DataFrame) -> DataFrame:
     ).withColumn("duplicates", duplicate_ids(txn).scalar())
 
 
+def accepted(txn: DataFrame) -> DataFrame:
+    """The rows that the gate's row checks let pass."""
+    for column in CRITICAL_COLUMNS:
+        txn = txn.where(F.col(column).isNotNull())
+    return txn.where(F.col("amount") > 0)
+
+
 def enforce_gate(txn: DataFrame) -> DataFrame:
     """Run the gate and raise on the first broken rule; returns ``txn``."""
     row = gate_report(txn).first().asDict()
@@ -67,12 +74,12 @@ def _named(name: str, violations: DataFrame) -> DataFrame:
     return violations.select(F.lit(name).alias("test_name"), F.col("violations"))
 
 
-def not_null(df: DataFrame, model: str, columns: Iterable[str]) -> DataFrame:
-    """One row per column from a single pass over ``df``."""
+def not_null(df: DataFrame, model: str, columns: Iterable[str], also: Sequence[str] = ()) -> DataFrame:
+    """One row per column from a single pass over ``df``; ``also`` names models of the same rows and columns."""
     columns = list(columns)
     wide = df.agg(*[S.count_where(F.col(c).isNull()).alias(c) for c in columns])
-    rows = ", ".join(f"'not_null_{model}_{c}', `{c}`" for c in columns)
-    return wide.selectExpr(f"stack({len(columns)}, {rows}) as (test_name, violations)")
+    rows = [f"'not_null_{name}_{c}', `{c}`" for name in (model, *also) for c in columns]
+    return wide.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) as (test_name, violations)")
 
 
 def unique(df: DataFrame, model: str, column: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Stand-alone results of the typologies and the combined score.
 
 Each result selects from one feature plan; Catalyst drops the windows and scan
-columns a result does not use.
+columns a result does not use. ``ordered`` adds a global sort for presentation.
 """
 
 from __future__ import annotations
@@ -28,15 +28,20 @@ def _tag(name: str) -> Column:
     return F.lit(name).alias("typology")
 
 
-def structuring(txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale()) -> DataFrame:
+def structuring(
+    txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale(), ordered: bool = False
+) -> DataFrame:
     """Near-threshold amounts of customers with enough transactions of any size."""
     found = features(txn, rules, scale).where(rule_conditions(rules)["flag_structuring"])
-    return found.select(
+    out = found.select(
         *_IDENTITY, *_COUNTRIES, "timestamp", "rolling_7d_count", _money("rolling_7d_amount"), _tag("structuring")
-    ).orderBy("customer_id", "timestamp", "transaction_id")
+    )
+    return out.orderBy("customer_id", "timestamp", "transaction_id") if ordered else out
 
 
-def structuring_subthreshold(txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale()) -> DataFrame:
+def structuring_subthreshold(
+    txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale(), ordered: bool = False
+) -> DataFrame:
     """Variant that counts near-threshold transactions only.
 
     The filter comes before the windows, so it reaches the scan and only the
@@ -44,19 +49,22 @@ def structuring_subthreshold(txn: DataFrame, rules: Rules = Rules(), scale: Scal
     """
     near = txn.where(F.col("amount").between(rules.structuring_low, rules.structuring_high))
     found = with_history(near, rules, scale).where(F.col("rolling_7d_count") >= rules.structuring_count)
-    return found.select(
+    out = found.select(
         *_IDENTITY,
         *_COUNTRIES,
         "timestamp",
         F.col("rolling_7d_count").alias("sub_threshold_count_7d"),
         _money("rolling_7d_amount", "sub_threshold_volume_7d"),
         _tag("structuring"),
-    ).orderBy("customer_id", "timestamp", "transaction_id")
+    )
+    return out.orderBy("customer_id", "timestamp", "transaction_id") if ordered else out
 
 
-def high_velocity(txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale()) -> DataFrame:
+def high_velocity(
+    txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale(), ordered: bool = False
+) -> DataFrame:
     found = features(txn, rules, scale).where(rule_conditions(rules)["flag_high_velocity"])
-    return found.select(
+    out = found.select(
         *_IDENTITY,
         *_COUNTRIES,
         "timestamp",
@@ -64,14 +72,17 @@ def high_velocity(txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale()
         _money("rolling_7d_amount"),
         _money("rolling_7d_avg"),
         _tag("high_velocity_layering"),
-    ).orderBy(F.desc("rolling_7d_amount"), "customer_id", "timestamp", "transaction_id")
+    )
+    return out.orderBy(F.desc("rolling_7d_amount"), "customer_id", "timestamp", "transaction_id") if ordered else out
 
 
-def high_risk_country(txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale()) -> DataFrame:
+def high_risk_country(
+    txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale(), ordered: bool = False
+) -> DataFrame:
     """Either leg in a listed country; each leg's own test stays three-valued."""
     legs = replace(rules, null_safe_countries=False)
     known = with_history(txn, rules, scale).where(S.touches_high_risk(legs))
-    return known.select(
+    out = known.select(
         *_IDENTITY,
         "originator_country",
         S.high_risk_leg("originator_country", legs).alias("originator_is_high_risk"),
@@ -81,18 +92,19 @@ def high_risk_country(txn: DataFrame, rules: Rules = Rules(), scale: Scale = Sca
         _money("rolling_7d_amount"),
         "rolling_7d_count",
         _tag("high_risk_country_routing"),
-    ).orderBy(F.desc("amount"), "customer_id", "timestamp", "transaction_id")
+    )
+    return out.orderBy(F.desc("amount"), "customer_id", "timestamp", "transaction_id") if ordered else out
 
 
 def amount_spike(
-    txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale(), rounded_test: bool = False
+    txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale(), rounded_test: bool = False, ordered: bool = False
 ) -> DataFrame:
     """Amounts far above the customer's own average; ``rounded_test`` compares
     the ratio after rounding it to four digits instead of before."""
     ratio4 = S.half_up(F.col("amount_vs_7d_avg_ratio"), 4)
     tested = ratio4 if rounded_test else F.col("amount_vs_7d_avg_ratio")
     found = features(txn, rules, scale).where(tested >= rules.spike_ratio)
-    return found.select(
+    out = found.select(
         *_IDENTITY,
         *_COUNTRIES,
         "timestamp",
@@ -100,12 +112,20 @@ def amount_spike(
         "rolling_7d_count",
         ratio4.alias("amount_vs_7d_avg_ratio"),
         _tag("amount_spike"),
-    ).orderBy(F.desc("amount_vs_7d_avg_ratio"), "customer_id", "timestamp", "transaction_id")
+    )
+    return out.orderBy(F.desc("amount_vs_7d_avg_ratio"), "customer_id", "timestamp", "transaction_id") if ordered else out
 
 
-def rapid_succession(txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scale()) -> DataFrame:
-    found = features(txn, rules, scale).where(rule_conditions(rules)["flag_rapid_succession"])
-    return found.select(
+def rapid_succession(
+    txn: DataFrame,
+    rules: Rules = Rules(),
+    scale: Scale = Scale(),
+    elapsed_gap: bool = False,
+    ordered: bool = False,
+) -> DataFrame:
+    """``elapsed_gap`` tests the whole seconds of the exact difference."""
+    found = features(txn, rules, scale, elapsed_gap=elapsed_gap).where(rule_conditions(rules)["flag_rapid_succession"])
+    out = found.select(
         *_IDENTITY,
         *_COUNTRIES,
         F.col("prev_timestamp"),
@@ -114,7 +134,8 @@ def rapid_succession(txn: DataFrame, rules: Rules = Rules(), scale: Scale = Scal
         _money("rolling_7d_amount"),
         "rolling_7d_count",
         _tag("rapid_succession"),
-    ).orderBy("seconds_since_last_txn", "customer_id", "current_timestamp", "transaction_id")
+    )
+    return out.orderBy("seconds_since_last_txn", "customer_id", "current_timestamp", "transaction_id") if ordered else out
 
 
 def staged(txn: DataFrame) -> DataFrame:
@@ -211,14 +232,14 @@ def alert_mart(model: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def customer_mart(model: DataFrame) -> DataFrame:
     """One row per customer over all transactions, with the four-level tier."""
-    cents = F.sum(S.minor_units("amount"))
+    units = F.sum(S.exact_units("amount"))
     peak = F.col("max_risk_score")
     return (
         model.groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("total_transactions"),
-            S.major_units(cents).alias("total_amount"),
-            S.half_up(S.major_units(cents) / F.count("amount"), 2).alias("avg_amount"),
+            S.from_units(units).alias("total_amount"),
+            S.half_up(S.from_units(units) / F.count("amount"), 2).alias("avg_amount"),
             F.sum("flag_count").alias("flags_triggered"),
             F.max("risk_score").alias("max_risk_score"),
             F.max("transaction_timestamp").alias("latest_transaction_timestamp"),

@@ -46,10 +46,10 @@ def detect(
 
     The windows run once: profiles and counts read the written table.
     """
-    rules = reference_set.with_current_codes(spark, paths.reference_set, rules)
+    codes = reference_set.live_codes(spark, paths.reference_set)
     txn = files.read_transactions(spark, paths.raw)
     fit_session(txn, scale)
-    tables.write_parquet(score_transactions(txn, rules, scale), paths.scored)
+    tables.write_parquet(score_transactions(txn, rules, scale, codes=codes), paths.scored)
     scored = files.read_parquet(spark, paths.scored)
     profile = reports.customer_risk_profile(scored, rules, ordered=False)
     tables.write_parquet(profile, paths.customer_risk)
@@ -84,6 +84,7 @@ def train(
     """Fit and explain the classifier; reports go to the output folder."""
     inputs = work_folder(spark, "model-inputs")
     scored = files.read_parquet(spark, paths.scored)
+    fit_session(scored)
     tables.write_parquet(M.with_split(M.model_inputs(scored, rules), settings), inputs)
     split = spark.read.parquet(inputs)
     folds = M.cross_validate(split, settings)
@@ -110,6 +111,7 @@ def train(
 def evaluate(spark: SparkSession, paths: Paths, report_path: str | None = None) -> dict:
     """Re-evaluate the stored model on its test rows and write the report."""
     scored = files.read_parquet(spark, paths.scored)
+    fit_session(scored)
     evaluated = M.reload_and_evaluate(scored, f"{paths.output_dir}/risk_model")
     row = evaluated.first()
     out = report_path or f"{paths.output_dir}/evaluation"

@@ -52,11 +52,11 @@ def tier_distribution_filled(scored: DataFrame) -> DataFrame:
 
 
 def customer_risk_profile(scored: DataFrame, rules: Rules = Rules(), ordered: bool = True) -> DataFrame:
-    cents = F.sum(S.minor_units("amount"))
+    units = F.sum(S.exact_units("amount"))
     profile = scored.groupBy("customer_id").agg(
         F.count("transaction_id").alias("total_transactions"),
-        S.major_units(cents).alias("total_volume_eur"),
-        (S.major_units(cents) / F.count("amount")).alias("avg_transaction_amount"),
+        S.from_units(units).alias("total_volume_eur"),
+        (S.from_units(units) / F.count("amount")).alias("avg_transaction_amount"),
         F.max("amount").alias("max_transaction_amount"),
         F.sum("risk_score").alias("cumulative_risk_score"),
         F.max("risk_score").alias("peak_risk_score"),
@@ -155,7 +155,7 @@ def monthly_trend(scored: DataFrame, rules: Rules = Rules()) -> DataFrame:
         scored.groupBy(F.year("timestamp").alias("year"), F.month("timestamp").alias("month"))
         .agg(
             total.alias("total_transactions"),
-            S.major_units(F.sum(S.minor_units("amount"))).alias("total_volume_eur"),
+            S.from_units(F.sum(S.exact_units("amount"))).alias("total_volume_eur"),
             alerts.alias("alerts_raised"),
             S.count_where(F.col("flag_structuring")).alias("structuring_flags"),
             S.half_up(alerts / total * 100, 2).alias("alert_rate_pct"),

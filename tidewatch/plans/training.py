@@ -58,15 +58,15 @@ FULL_SETTINGS = TrainingSettings(rounds=300, folds=5)
 
 
 def model_inputs(scored: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Id, the ten features as doubles (unknown stays null) and the 0/1 label."""
+    """Id, the ten features as doubles (unknown stays null) and the 0/1 label; an unknown
+    score is no alert."""
 
     def number(name: str) -> Column:
         value = F.col(name).cast("int") if name in BINARY else F.col(name)
         return value.cast("double").alias(name)
 
-    return scored.select(
-        "transaction_id", *map(number, MODEL_FEATURES), is_alert(rules).cast("int").alias("label")
-    ).where(F.col("label").isNotNull())
+    alert = F.coalesce(is_alert(rules), F.lit(False))
+    return scored.select("transaction_id", *map(number, MODEL_FEATURES), alert.cast("int").alias("label"))
 
 
 def label_balance(inputs: DataFrame) -> DataFrame:

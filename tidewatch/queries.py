@@ -9,17 +9,17 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.config import Rules, Scale
+from tidewatch.config import MODEL_FEATURES, Rules, Scale
 from tidewatch.functions import scalars as S
 from tidewatch.operators import quality as Q
 from tidewatch.operators import ranking as K
 from tidewatch.operators.history import with_history
-from tidewatch.operators.rules import features, score_transactions
+from tidewatch.operators.rules import LEGS, features, score_transactions, with_listed_legs
 from tidewatch.plans import detection as D
 from tidewatch.plans import reports as R
 from tidewatch.plans import training as M
 from tidewatch.schema import RAW_COLUMNS
-from tidewatch.session import fit_session, work_folder
+from tidewatch.session import work_folder
 from tidewatch.sinks import run_log, tables
 from tidewatch.sources import adapters, files, generator, reference_set
 from tidewatch.streaming import consumer, messages
@@ -27,7 +27,21 @@ from tidewatch.streaming import consumer, messages
 Query = Callable[[SparkSession, str], DataFrame]
 Source = Callable[[SparkSession, str], DataFrame]
 
-EVENTS, ORDERS, NEAR_LIMIT = adapters.txn_events, adapters.txn_orders, adapters.txn_structuring
+ALL_EVENTS = adapters.txn_events
+
+
+def EVENTS(spark: SparkSession, sf_dir: str) -> DataFrame:  # noqa: N802
+    return Q.accepted(ALL_EVENTS(spark, sf_dir))
+
+
+def ORDERS(spark: SparkSession, sf_dir: str) -> DataFrame:  # noqa: N802
+    return Q.accepted(adapters.txn_orders(spark, sf_dir))
+
+
+def NEAR_LIMIT(spark: SparkSession, sf_dir: str) -> DataFrame:  # noqa: N802
+    return Q.accepted(adapters.txn_structuring(spark, sf_dir))
+
+
 RULES = Rules()
 SETTINGS = M.TrainingSettings()
 THREE_VALUED = replace(RULES, null_safe_countries=False)
@@ -38,13 +52,7 @@ SPLIT_EARLY = Scale(busy_rows=20)
 
 def _on(source: Source, plan: Callable[[DataFrame], DataFrame]) -> Query:
     """A plan over raw transactions."""
-
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        txn = source(spark, sf_dir)
-        fit_session(txn)
-        return plan(txn)
-
-    return query
+    return lambda spark, sf_dir: plan(source(spark, sf_dir))
 
 
 def _scored(plan: Callable[[DataFrame], DataFrame], source: Source = EVENTS) -> Query:
@@ -59,14 +67,14 @@ def _rolling(txn: DataFrame, **how) -> DataFrame:
     return with_history(txn, RULES, **how).select("transaction_id", "customer_id", *_HISTORY)
 
 
-def _running(txn: DataFrame) -> DataFrame:
-    return with_history(txn, RULES).select(
+def _running(txn: DataFrame, **how) -> DataFrame:
+    return with_history(txn, RULES, **how).select(
         "transaction_id", "customer_id", "cumulative_amount", "cumulative_count"
     )
 
 
-def _gaps(txn: DataFrame, elapsed: bool = False) -> DataFrame:
-    return features(txn, RULES, elapsed_gap=elapsed).select(
+def _gaps(txn: DataFrame, elapsed: bool = False, **how) -> DataFrame:
+    return features(txn, RULES, elapsed_gap=elapsed, **how).select(
         "transaction_id", "customer_id", "timestamp", "prev_timestamp", "seconds_since_last_txn"
     )
 
@@ -90,7 +98,13 @@ def _stored_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The country test with a list kept in a table instead of the constant."""
     path = work_folder(spark, "reference-set")
     reference_set.replace_codes(spark, path, ["CY", "MT", "SE"])
-    return _countries(EVENTS(spark, sf_dir), reference_set.with_current_codes(spark, path, RULES))
+    codes = reference_set.live_codes(spark, path)
+    txn = with_listed_legs(EVENTS(spark, sf_dir), codes)
+    return txn.select(
+        "transaction_id",
+        *LEGS,
+        (F.col(f"_{LEGS[0]}_listed") | F.col(f"_{LEGS[1]}_listed")).alias("involves_high_risk_country"),
+    )
 
 
 # --- written and read back -------------------------------------------------
@@ -154,7 +168,14 @@ def _run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     rate = R.alert_rate(score_transactions(EVENTS(spark, sf_dir), RULES), RULES)
     counts = rate.select(F.col("total").alias("record_count"), F.col("alerts").alias("alert_count"))
     run_log.append_run(run_log.run_record(counts, "run_events", details={"source": "events"}), path)
-    return run_log.live_runs(spark, path).select("run_id", "record_count", "alert_count", "status")
+    return run_log.live_runs(spark, path).select(
+        "run_id",
+        "record_count",
+        "alert_count",
+        "status",
+        "details",
+        (F.unix_seconds("expires_at") - F.unix_seconds("timestamp")).alias("kept_seconds"),
+    )
 
 
 # --- quality ---------------------------------------------------------------
@@ -181,18 +202,15 @@ def _stored_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scored warehouse model as a table: tests look at stored models, and
     both marts share one run of the windows."""
     path = work_folder(spark, "warehouse-model")
-    txn = EVENTS(spark, sf_dir)
-    fit_session(txn)
-    tables.write_parquet(D.warehouse_model(txn, RULES), path)
+    tables.write_parquet(D.warehouse_model(EVENTS(spark, sf_dir), RULES), path)
     return files.read_parquet(spark, path)
 
 
 def _test_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    txn, model = EVENTS(spark, sf_dir), _stored_model(spark, sf_dir)
+    txn, model = ALL_EVENTS(spark, sf_dir), _stored_model(spark, sf_dir)
     return Q.together(
         [
-            Q.not_null(txn, "source", _CORE),
-            Q.not_null(D.staged(txn), "staging", _CORE),
+            Q.not_null(txn, "source", _CORE, also=("staging",)),  # staging has the same columns
             Q.not_null(D.alert_mart(model, RULES), "alert_queue", ("transaction_id", "risk_score")),
             Q.not_null(D.customer_mart(model), "customer_profile", ("customer_id", "max_risk_score")),
         ]
@@ -200,7 +218,7 @@ def _test_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _test_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    txn, model = EVENTS(spark, sf_dir), _stored_model(spark, sf_dir)
+    txn, model = ALL_EVENTS(spark, sf_dir), _stored_model(spark, sf_dir)
     return Q.together(
         [
             Q.unique(txn, "source", "transaction_id"),
@@ -213,7 +231,7 @@ def _test_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _test_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    txn, model = EVENTS(spark, sf_dir), _stored_model(spark, sf_dir)
+    txn, model = ALL_EVENTS(spark, sf_dir), _stored_model(spark, sf_dir)
     levels = ("Critical", "High", "Medium", "Low")
     return Q.together(
         [
@@ -284,6 +302,39 @@ def _reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.reload_and_evaluate(score_transactions(EVENTS(spark, sf_dir), RULES), path)
 
 
+def _scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test rows, each with whether its probability and class are as they must be."""
+    p = F.col("probability")
+    return _predictions(spark, sf_dir).select(
+        "transaction_id",
+        "label",
+        p.between(0, 1).alias("in_range"),
+        (F.col("predicted") == (p >= 0.5).cast("int")).alias("class_follows"),
+    )
+
+
+def _model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of any fitted model, one row a check."""
+    evaluated = M.evaluate(_predictions(spark, sf_dir))
+    again = _reloaded(spark, sf_dir)
+    m = evaluated.first().asDict()
+    near = lambda a, b: abs(a - b) < 1e-9
+    p, r = m["precision"], m["recall"]
+    explained = _explained(spark, sf_dir).groupBy("rank").count().collect()
+    importance = _importance(spark, sf_dir)
+    checks = {
+        "auc_is_high": m["test_auc"] > 0.9,
+        "gini_from_auc": near(m["test_gini"], 2 * m["test_auc"] - 1),
+        "f1_from_precision_and_recall": near(m["f1"], 2 * p * r / (p + r) if p + r else 0.0),
+        "cells_add_up": m["tp"] + m["fp"] + m["tn"] + m["fn"] == m["n_test"],
+        "reloaded_model_is_the_same": tuple(again.first()) == tuple(evaluated.first()),
+        "importance_of_every_feature": importance.select("feature").distinct().count() == len(MODEL_FEATURES),
+        "three_rows_explained_by_every_feature": sorted(x["count"] for x in explained) == [len(MODEL_FEATURES)] * 3,
+        "cross_validated_auc_is_high": _cross_validated(spark, sf_dir).first().cv_mean_auc > 0.9,
+    }
+    return spark.createDataFrame([(name, bool(ok)) for name, ok in checks.items()], "check_name string, ok boolean")
+
+
 def model_queries() -> dict[str, Query]:
     return {
         "ml_features": _scored(lambda s: M.model_inputs(s, RULES)),
@@ -296,6 +347,8 @@ def model_queries() -> dict[str, Query]:
         "ml_feature_importance": _importance,
         "ml_local_explanations": _explained,
         "ml_reload_evaluate": _reloaded,
+        "ml_scored_rows": _scored_rows,
+        "ml_checks": _model_checks,
     }
 
 
@@ -304,20 +357,13 @@ def model_queries() -> dict[str, Query]:
 
 def _props(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = adapters.table(spark, sf_dir, "events")
-    parsed = events.select(
-        "event_id", F.from_json(F.col("props").cast("string"), "k long").alias("data")
-    )
-    return parsed.select("event_id", "data.*").where(F.col("k").isNotNull())
+    return messages.decode_json(events, "k long", "props", keep=("event_id",)).where(F.col("k").isNotNull())
 
 
 def _messages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode to keyed messages as bytes, then decode."""
     sent = messages.encode(EVENTS(spark, sf_dir)).select("key", F.col("value").cast("binary").alias("value"))
-    fields = messages.message_schema()
-    back = sent.select("key", F.from_json(F.col("value").cast("string"), fields).alias("data")).select(
-        "key", "data.*"
-    )
-    return messages.with_time(back).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    return messages.with_time(messages.decode(sent, keep=("key",))).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 def _as_message_files(spark: SparkSession, sf_dir: str) -> str:
@@ -348,7 +394,42 @@ def _stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score a message stream that delivers everything in one micro-batch."""
     raw = consumer.json_lines_source(spark, _as_message_files(spark, sf_dir))
     out = work_folder(spark, "stream-scored")
-    consumer.start(raw, consumer.BatchScorer(out), work_folder(spark, "checkpoint")).awaitTermination()
+    scorer = consumer.BatchScorer(out, work_folder(spark, "rejects"))
+    consumer.start(raw, scorer, work_folder(spark, "checkpoint")).awaitTermination()
+    return (
+        consumer.scored_table(spark, out)
+        .drop("batch_id")
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    )
+
+
+def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which some are damaged: how many of each kind are put aside."""
+    sent = messages.encode(EVENTS(spark, sf_dir))
+    number = F.regexp_extract("value", r'"TXN(\d+)"', 1).cast("long")
+    damaged = (
+        F.when(number % 50 == 1, F.substring("value", 1, 9))
+        .when(number % 50 == 2, F.regexp_replace("value", '"customer_id"', '"customer"'))
+        .when(number % 50 == 3, F.regexp_replace("value", r'"timestamp":"[^"]*"', '"timestamp":"soon"'))
+        .otherwise(F.col("value"))
+    )
+    folder, rejects = work_folder(spark, "messages"), work_folder(spark, "rejects")
+    sent.select(damaged.alias("value")).write.text(folder)
+    scorer = consumer.BatchScorer(work_folder(spark, "stream-scored"), rejects)
+    raw = consumer.json_lines_source(spark, folder)
+    consumer.start(raw, scorer, work_folder(spark, "checkpoint")).awaitTermination()
+    found = spark.read.schema("message string, reject_reason string").parquet(rejects)
+    return found.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches in the order of time, each going on from what is stored."""
+    sent = messages.encode(EVENTS(spark, sf_dir))
+    day = F.regexp_extract("value", r'"timestamp":"\d+-\d+-(\d+)', 1).cast("int")
+    out = work_folder(spark, "stream-scored")
+    scorer = consumer.BatchScorer(out, work_folder(spark, "rejects"), remember=True)
+    for batch_id, days in enumerate(((1, 10), (11, 20), (21, 31))):
+        scorer(messages.examined(sent.where(day.between(*days))), batch_id)
     return (
         consumer.scored_table(spark, out)
         .drop("batch_id")
@@ -363,14 +444,18 @@ def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
 
 
+def _zoneless(txn: DataFrame) -> DataFrame:
+    return txn.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def _generated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return generator.synthesize(_ids(spark, sf_dir))
+    return _zoneless(generator.synthesize(_ids(spark, sf_dir)))
 
 
 def _generated_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = adapters.table(spark, sf_dir, "events")
     ids = events.select(F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("_now"))
-    return generator.synthesize_recent(ids, F.col("_now"))
+    return _zoneless(generator.synthesize_recent(ids, F.col("_now")))
 
 
 def _generated_lognormal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,12 +467,12 @@ def _generated_lognormal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relational_queries() -> dict[str, Query]:
     return {
         # scans, sinks, staging
-        "scan_transactions": _on(EVENTS, lambda t: t.select(*RAW_COLUMNS)),
+        "scan_transactions": _on(ALL_EVENTS, lambda t: t.select(*RAW_COLUMNS)),
         "scan_scored": _scored_rescan,
         "sink_parquet_roundtrip": _alerts_roundtrip,
         "load_typed_table": _typed_table,
         "load_detected_table": _detected_table,
-        "stg_transactions": _on(EVENTS, D.staged),
+        "stg_transactions": _on(ALL_EVENTS, D.staged),
         "materialised_models": _models,
         "gen_transactions": _generated,
         "gen_transactions_recent": _generated_recent,
@@ -405,6 +490,11 @@ def relational_queries() -> dict[str, Query]:
         "rolling_7d": _on(EVENTS, _rolling),
         "rolling_7d_orders": _on(ORDERS, _rolling),
         "rolling_7d_split": _on(EVENTS, lambda t: _rolling(t, scale=SPLIT_EARLY, split=True)),
+        "rolling_7d_open_split": _on(
+            EVENTS, lambda t: _rolling(t, open_window=True, scale=SPLIT_EARLY, split=True)
+        ),
+        "cumulative_split": _on(EVENTS, lambda t: _running(t, scale=SPLIT_EARLY, split=True)),
+        "inter_arrival_split": _on(EVENTS, lambda t: _gaps(t, scale=SPLIT_EARLY, split=True)),
         "rolling_7d_open": _on(EVENTS, lambda t: _rolling(t, open_window=True)),
         "rolling_7d_open_orders": _on(ORDERS, lambda t: _rolling(t, open_window=True)),
         "cumulative": _on(EVENTS, _running),
@@ -417,6 +507,7 @@ def relational_queries() -> dict[str, Query]:
         "typology_amount_spike": _on(EVENTS, D.amount_spike),
         "typology_amount_spike_rounded": _on(EVENTS, lambda t: D.amount_spike(t, rounded_test=True)),
         "typology_rapid_succession": _on(EVENTS, D.rapid_succession),
+        "typology_rapid_succession_elapsed": _on(EVENTS, lambda t: D.rapid_succession(t, elapsed_gap=True)),
         "risk_score_final": _scored(lambda s: s),
         "risk_score_final_orders": _scored(lambda s: s, ORDERS),
         "risk_score_final_structuring": _scored(lambda s: s, NEAR_LIMIT),
@@ -453,10 +544,10 @@ def relational_queries() -> dict[str, Query]:
         "top_flagged": _scored(R.top_flagged),
         "top_alerts": _scored(lambda s: R.alert_queue(s).limit(20)),
         # quality
-        "dq_null_counts": _on(EVENTS, Q.null_counts),
+        "dq_null_counts": _on(ALL_EVENTS, Q.null_counts),
         "dq_invalid_amounts": _raw_amounts,
         "dq_duplicates": _repeated_users,
-        "dq_gate": _on(EVENTS, Q.gate_report),
+        "dq_gate": _on(ALL_EVENTS, Q.gate_report),
         "test_not_null": _test_not_null,
         "test_unique": _test_unique,
         "test_accepted_values": _test_accepted_values,
@@ -472,5 +563,7 @@ def relational_queries() -> dict[str, Query]:
         "encode_events_json": _messages_roundtrip,
         "stream_source_json": _stream_source,
         "stream_scored_append": _stream_scored,
+        "stream_rejects": _stream_rejects,
+        "stream_scored_history": _stream_history,
         "run_log": _run_record,
     }

@@ -44,26 +44,41 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return None if size >= 2**62 else size
 
 
+_FOUND: dict[str, dict[str, str]] = {}
+_FITTED = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+
+
 def fit_session(df: DataFrame, scale: Scale = Scale()) -> int:
     """Suit the width of shuffles and scans to the size of ``df``.
 
-    Shuffle partitions are only ever raised: adaptive execution merges small
-    ones, but it cannot widen a shuffle that was planned too narrow. Both task
+    Widths are raised above what the session came with, never below it:
+    adaptive execution merges small tasks, but it cannot widen a shuffle that
+    was planned too narrow. Every call starts from the session's own
+    settings, so a large input leaves nothing behind for a small one. Both task
     counts have a ceiling, above which tasks get larger instead, since the
     blocks of a shuffle grow with their product. Returns the shuffle width.
     """
-    conf = df.sparkSession.conf
-    current = int(conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    conf, app = spark.conf, spark.sparkContext.applicationId
+    now = {name: conf.get(name) for name in _FITTED}
+    made = _FOUND.get(f"{app}/made")
+    if made != now:  # set by someone else since
+        _FOUND[app] = now
+    own = _FOUND[app]
+    for name in _FITTED:
+        if now[name] != own[name]:
+            conf.set(name, own[name])
+    current = int(own[_FITTED[0]])
     size = estimated_bytes(df)
-    if size is None:
-        return current
-    split_bytes = math.ceil(size / scale.max_scan_tasks)
-    if split_bytes > scale.scan_task_bytes:
-        conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
-    wanted = min(math.ceil(size / scale.shuffle_task_bytes), scale.max_shuffle_tasks)
-    if wanted > current:
-        conf.set("spark.sql.shuffle.partitions", str(wanted))
-        return wanted
+    if size is not None:
+        split_bytes = math.ceil(size / scale.max_scan_tasks)
+        if split_bytes > scale.scan_task_bytes:
+            conf.set(_FITTED[1], str(split_bytes))
+        wanted = min(math.ceil(size / scale.shuffle_task_bytes), scale.max_shuffle_tasks)
+        if wanted > current:
+            conf.set(_FITTED[0], str(wanted))
+            current = wanted
+    _FOUND[f"{app}/made"] = {name: conf.get(name) for name in _FITTED}
     return current
 
 

@@ -12,9 +12,12 @@ from tidewatch.schema import TRANSACTIONS
 
 
 def read_parquet(
-    spark: SparkSession, path: str, schema: StructType | None = None, recursive: bool = True
+    spark: SparkSession, path: str, schema: StructType | None = None, recursive: bool = False
 ) -> DataFrame:
-    """A Parquet file or all Parquet files below a folder.
+    """A Parquet file or folder; partition folders become columns.
+
+    ``recursive`` takes all files below the folder instead, whatever the names
+    of the folders between.
 
     Raises FileNotFoundError when there is nothing to read. Without ``schema``
     the types come from the file footers.
@@ -29,11 +32,23 @@ def read_parquet(
         found = reader.parquet(path)
     except AnalysisException as error:
         raise FileNotFoundError(f"no parquet data at {path!r}") from error
-    if schema is not None and not found.inputFiles():
+    if schema is not None and not _holds_files(spark, path, recursive):
         raise FileNotFoundError(f"no parquet data at {path!r}")
     return found
 
 
+def _holds_files(spark: SparkSession, path: str, recursive: bool) -> bool:
+    """Whether there is a Parquet file; the footer of one is all that is read."""
+    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    try:
+        reader.parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     return read_parquet(spark, path, TRANSACTIONS)
 

@@ -3,17 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.config import Rules
-
 TTL_SECONDS = 3_600
-# A list of country codes is short. More entries than this mean a wrong table.
-MAX_CODES = 10_000
 
 
 def replace_codes(
@@ -32,20 +27,11 @@ def replace_codes(
     return len(members)
 
 
-def current_codes(spark: SparkSession, path: str) -> set[str]:
-    """Codes that have not expired; empty when there is no table."""
+def live_codes(spark: SparkSession, path: str) -> DataFrame | None:
+    """Distinct codes (code) that have not expired; None when there are none."""
     try:
         table = spark.read.schema("code string, expires_at timestamp").parquet(path)
     except AnalysisException:
-        return set()
+        return None
     live = table.where(F.col("expires_at") > F.current_timestamp()).select("code").distinct()
-    rows = live.limit(MAX_CODES + 1).collect()
-    if len(rows) > MAX_CODES:
-        raise ValueError(f"{path!r} holds more than {MAX_CODES} codes")
-    return {r.code for r in rows}
-
-
-def with_current_codes(spark: SparkSession, path: str, rules: Rules = Rules()) -> Rules:
-    """Rules with the stored codes, or unchanged when none are live."""
-    codes = current_codes(spark, path)
-    return replace(rules, high_risk_countries=tuple(sorted(codes))) if codes else rules
+    return None if live.isEmpty() else live

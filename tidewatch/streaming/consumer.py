@@ -1,6 +1,7 @@
 """Score a stream of JSON messages, one micro-batch at a time.
 
-The windows see the rows of their micro-batch only. Every batch writes its own
+The windows see the rows of their micro-batch only, unless the scorer is told to
+remember what it stored before. Every batch writes its own
 folder ``batch_id=N`` and replaces it when it is replayed, so a failure between
 the write and the checkpoint commit leaves no copies.
 """
@@ -9,17 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.config import Rules, Scale, StreamSettings
 from tidewatch.functions import scalars as S
-from tidewatch.operators.rules import score_transactions
+from tidewatch.operators.rules import features, flagged, score_transactions, scored
 from tidewatch.plans.reports import is_alert
-from tidewatch.streaming.messages import decode, with_time
+from tidewatch.streaming.messages import examined
 
 
 def kafka_source(spark: SparkSession, settings: StreamSettings = StreamSettings()) -> DataFrame:
@@ -43,41 +46,63 @@ def json_lines_source(spark: SparkSession, folder: str, files_per_batch: int | N
 
 @dataclass(frozen=True)
 class BatchScorer:
-    """The foreachBatch callback.
-
-    ``rejects`` receives rows whose time cannot be read, ``summaries`` one row
-    per batch. Countries follow the three-valued rule unless ``rules`` says
-    otherwise. ``alerts_only`` keeps just the rows at or above the threshold.
+    """The foreachBatch callback, for rows as ``messages.examined`` gives them.
+
+    ``rejects`` receives every message that cannot be scored, with the reason;
+    ``summaries`` one row per batch. Countries follow the three-valued rule
+    unless ``rules`` says otherwise. ``alerts_only`` keeps just the rows at or
+    above the threshold. ``remember`` lets windows and totals go on from the rows
+    that earlier batches stored, which needs all of them: it excludes
+    ``alerts_only``. Rows that come late do not change what is stored.
     """
 
     output: str
-    rejects: str | None = None
+    rejects: str
     summaries: str | None = None
     rules: Rules = replace(Rules(), null_safe_countries=False)
     scale: Scale = Scale()
     alerts_only: bool = False
+    remember: bool = False
     on_summary: Callable[[int, int, int], None] | None = None
 
+    def __post_init__(self) -> None:
+        if self.remember and self.alerts_only:
+            raise ValueError("history needs all rows to be stored")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        timed = with_time(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # Counting fills the cache and gives the planner the real size, so a
             # small batch is windowed in one shuffle.
-            counts = timed.agg(
+            counts = held.agg(
                 F.count(F.lit(1)).alias("total"),
-                S.count_where(F.col("timestamp").isNull()).alias("unreadable"),
+                F.count("reject_reason").alias("rejected"),
+                F.min("timestamp").alias("start"),
             ).first()
-            if counts.unreadable and self.rejects:
-                self._write(timed.where(F.col("timestamp").isNull()), self.rejects, batch_id)
-            usable = timed.where(F.col("timestamp").isNotNull())
-            scored = score_transactions(usable, self.rules, self.scale)
-            out = scored.where(is_alert(self.rules)) if self.alerts_only else scored
+            if not counts.total:
+                return
+            if counts.rejected:
+                bad = held.where(F.col("reject_reason").isNotNull())
+                self._write(bad.select("message", "reject_reason"), self.rejects, batch_id)
+            usable = held.where(F.col("reject_reason").isNull()).drop("message", "reject_reason")
+            past = self._past(usable, batch_id) if self.remember else None
+            if past is None:
+                table = score_transactions(usable, self.rules, self.scale)
+            else:
+                table = score_with_past(usable, past, counts.start, self.rules, self.scale)
+            out = table.where(is_alert(self.rules)) if self.alerts_only else table
             self._write(out, self.output, batch_id)
-            self._summarise(scored.sparkSession, batch_id, counts.total - counts.unreadable)
+            self._summarise(table.sparkSession, batch_id, counts.total - counts.rejected)
         finally:
-            timed.unpersist()
+            held.unpersist()
+
+    def _past(self, usable: DataFrame, batch_id: int) -> DataFrame | None:
+        """Stored rows of earlier batches."""
+        try:
+            stored = usable.sparkSession.read.parquet(self.output)
+        except AnalysisException:
+            return None
+        return stored.where(F.col("batch_id") < batch_id).select(*usable.columns)
 
     def _write(self, df: DataFrame, root: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
@@ -96,6 +121,48 @@ class BatchScorer:
             self.on_summary(batch_id, processed, alerts)
 
 
+def score_with_past(
+    batch: DataFrame, past: DataFrame, start: datetime, rules: Rules = Rules(), scale: Scale = Scale()
+) -> DataFrame:
+    """Rows of ``batch`` scored as if they followed the rows of ``past``.
+
+    Of the past, rows of the batch's customers in the look-back before
+    ``start`` (the batch's earliest time) go through the windows again; the time
+    bound reaches the scan. What is older only adds to the totals and
+    the previous time, one row a customer.
+    """
+    edge = start - timedelta(seconds=rules.lookback_seconds + 1)
+    customers = batch.select("customer_id").distinct()
+    mine = past.join(customers, "customer_id", "left_semi")
+    recent = mine.where(F.col("timestamp") >= F.lit(edge))
+    older = (
+        mine.where(F.col("timestamp") < F.lit(edge))
+        .groupBy("customer_id")
+        .agg(
+            F.sum(S.exact_units("amount")).alias("_old_units"),
+            F.count(F.lit(1)).alias("_old_n"),
+            F.max("timestamp").alias("_old_last"),
+        )
+    )
+    new = F.lit(True).alias("_new")
+    both = batch.select("*", new).unionByName(recent.select("*", F.lit(False).alias("_new")))
+    known = features(both, rules, scale).where("_new")
+    joined = known.join(older, "customer_id", "left")
+    amount = F.coalesce("cumulative_amount", F.lit(0.0)) + F.coalesce(S.from_units(F.col("_old_units")), F.lit(0.0))
+    gap = S.epoch_second("timestamp") - S.epoch_second(F.coalesce("prev_timestamp", "_old_last"))
+    whole = joined.withColumns(
+        {
+            "cumulative_amount": F.when(
+                F.col("cumulative_amount").isNotNull() | F.col("_old_units").isNotNull(), amount
+            ),
+            "cumulative_count": F.col("cumulative_count") + F.coalesce("_old_n", F.lit(0)),
+            "seconds_since_last_txn": gap,
+        }
+    )
+    kept = [c for c in known.columns if c not in ("_new", "prev_timestamp")]
+    return scored(flagged(whole.select(*kept), rules), rules)
+
+
 def start(
     raw: DataFrame,
     scorer: BatchScorer,
@@ -103,7 +170,7 @@ def start(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Start scoring ``raw``; without ``interval`` it handles what is there and ends."""
-    writer = decode(raw).writeStream.foreachBatch(scorer).option("checkpointLocation", checkpoint)
+    writer = examined(raw).writeStream.foreachBatch(scorer).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 
