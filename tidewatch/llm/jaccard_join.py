@@ -19,8 +19,10 @@ from tidewatch.llm.words import U64, shingle_hashes, slices, splitmix, text_byte
 
 #: All pairs of a bucket are candidates up to this size; larger ones go by pivots.
 SMALL_BUCKET = 24
-#: Pivots of a large bucket in each round, the last as often as is needed.
-PIVOTS = (1, 64, 4096)
+#: Pivots of a large bucket in each round after the first, which takes one.
+PIVOTS = 4096
+#: Sets of up to so many elements together are told apart well enough by their parities.
+PARITY_TOTAL = 2000
 SKETCH_PART = 1 << 16
 PARITY_WORDS = 16
 ROWS_PER_TASK = 2_000_000
@@ -285,11 +287,13 @@ class JaccardJoin:
     def verified(self, close: DataFrame) -> DataFrame:
         """Stored links among ``close`` (a, b, total): by histograms first, then by the sets themselves."""
         close = stored(close, "jaccard-close")
-        cells = self.made(close, histogram, "jaccard-cells")
-        rows = self.beside(close, cells).select("a", "b", "total", "x", "y")
-        near = stored(map_arrow(rows, partial(_near, self.threshold), "a long, b long"), "jaccard-near")
-        if near.isEmpty():
-            return near
+        near, large = close.where(F.col("total") <= PARITY_TOTAL), close.where(F.col("total") > PARITY_TOTAL)
+        near = near.select("a", "b")
+        if not large.isEmpty():
+            cells = self.made(large, histogram, "jaccard-cells")
+            rows = self.beside(large, cells).select("a", "b", "total", "x", "y")
+            left = map_arrow(rows, partial(_near, self.threshold), "a long, b long")
+            near = stored(near.union(left), "jaccard-near")
         rows = self.beside(near, self.made(near, pack_sorted, "jaccard-content")).select("a", "b", "x", "y")
         return stored(map_arrow(rows, partial(_verify, self.threshold), "a long, b long"), "jaccard-links")
 
@@ -310,21 +314,22 @@ class JaccardJoin:
             .join(outlines.alias("r"), (F.col("b") == F.col("r.set_id")) & may_link(self.threshold))
             .select("a", "b", (F.col("l.n") + F.col("r.n")).alias("total"))
         )
-        labels = stored(components(self.verified(close)), "jaccard-labels")
         degrees = members.groupBy("set_id").agg(F.count("*").alias("degree"))
         members = stored(members.join(degrees, "set_id"), "jaccard-members")
-        turn = 0
-        while not members.isEmpty():
-            pivots = PIVOTS[min(turn, len(PIVOTS) - 1)]
-            pairs, members = self.by_pivots(members, labels, outlines, pivots, once=turn == 1)
+        more = not members.isEmpty()
+        if more:
+            pairs, members = self.by_pivots(members, None, outlines, 1)
+            close = close.union(pairs).distinct()
+        labels = stored(components(self.verified(close)), "jaccard-labels")
+        while more and not members.isEmpty():
+            pairs, members = self.by_pivots(members, labels, outlines, PIVOTS)
             links = None if pairs.isEmpty() else self.verified(pairs)
             if links is not None and not links.isEmpty():
                 labels = self.joined(labels, links)
-            turn += 1
         return labels
 
     def by_pivots(
-        self, members: DataFrame, labels: DataFrame, outlines: DataFrame, pivots: int, once: bool
+        self, members: DataFrame, labels: DataFrame | None, outlines: DataFrame, pivots: int
     ) -> tuple[DataFrame, DataFrame]:
         """Candidate pairs of large buckets with pivots, and the buckets without those pivots.
 
@@ -333,11 +338,11 @@ class JaccardJoin:
         to ``pivots`` sets outside the bucket's largest component, those in
         most buckets first, are compared with all sets of other components, if
         one of the two probes, and then leave the bucket; so every pair is compared
-        or joined up before.
-        With ``once`` a set is a pivot of its largest bucket only, as a link
-        found there mostly settles the others. Pairs that differ in too many
-        parities never leave the join.
+        or joined up before. A bucket of which all such sets were pivots is done.
+        Pairs that differ in too many parities never leave the join.
         """
+        if labels is None:
+            labels = members.select(F.col("set_id").alias("node"), F.col("set_id").alias("component")).limit(0)
         placed = members.join(labels, F.col("set_id") == F.col("node"), "left").select(
             "sig", "set_id", "probe", "degree", F.coalesce("component", "set_id").alias("component")
         )
@@ -358,11 +363,8 @@ class JaccardJoin:
         outside = F.col("component") != F.col("main.component")
         alone = F.col("main.n_sets") == 1
         per_bucket = Window.partitionBy("sig").orderBy(F.desc("degree"), "set_id")
-        per_set = Window.partitionBy("set_id").orderBy(F.desc("size"), "sig")
         chosen = left.where(outside | alone).withColumn("place", F.row_number().over(per_bucket))
         chosen = chosen.where(F.col("place") <= pivots)
-        if once:
-            chosen = chosen.withColumn("turn", F.row_number().over(per_set)).where("turn = 1")
         chosen = stored(
             chosen.select("sig", "probe", F.col("set_id").alias("pivot"), F.col("component").alias("of")),
             "jaccard-pivots",
@@ -379,7 +381,8 @@ class JaccardJoin:
         ends = F.least("pivot", "set_id").alias("a"), F.greatest("pivot", "set_id").alias("b")
         pairs = stored(met.select(*ends, (F.col("l.n") + F.col("r.n")).alias("total")).distinct(), "jaccard-met")
         gone = chosen.select("sig", F.col("pivot").alias("set_id"))
-        rest = stored(left.join(gone, ["sig", "set_id"], "left_anti").select(*members.columns), "jaccard-rest")
+        many = F.when(alone, F.col("size")).otherwise(F.col("size") - F.col("main.n_sets")) > pivots
+        rest = stored(left.where(many).join(gone, ["sig", "set_id"], "left_anti").select(*members.columns), "jaccard-rest")
         return pairs, rest
 
     def joined(self, labels: DataFrame, links: DataFrame) -> DataFrame:
