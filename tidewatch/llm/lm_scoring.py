@@ -28,8 +28,9 @@ BEGIN, END = splitmix(np.array([1, 2], U64))
 COUNTED, TUNING, UNSEEN = 0, 1, 2
 BLOCK_TOKENS = 2_000_000
 SHARD_TOKENS = 1_500_000
-#: Held-out counts are kept by sixteenths of an octave of each estimate.
-STEPS = 16
+#: Held-out counts are kept by eighths of an octave of each estimate, so that their
+#: table is bounded: buckets times steps of two estimates.
+STEPS = 8
 
 BLOCK = "block long, role int, doc_id array<long>, sizes binary, tokens binary, words binary"
 REQUEST = "order int, shard long, block long, role int, keys binary, counts binary"
@@ -208,7 +209,7 @@ def bucket(context: np.ndarray) -> np.ndarray:
 
 
 def _octave(values: np.ndarray) -> np.ndarray:
-    """Sixteenths of octaves below 1, from 1 on; 0 for zero."""
+    """Steps of an octave below 1, from 1 on; 0 for zero."""
     out = np.zeros(len(values), np.int64)
     seen = values > 0
     out[seen] = 1 + np.round(-np.log2(values[seen]) * STEPS).astype(np.int64)
