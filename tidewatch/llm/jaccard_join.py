@@ -25,11 +25,14 @@ PIVOTS = 4096
 PARITY_TOTAL = 2000
 SKETCH_PART = 1 << 16
 PARITY_WORDS = 16
+#: Sets of more elements have a second, wider parity, as theirs fill the first.
+WIDE_FROM, WIDE_WORDS = 1500, 128
 ROWS_PER_TASK = 2_000_000
 BATCH_ROWS = 200_000
 
 PARITY = [f"p{k}" for k in range(PARITY_WORDS)]
-INFO = "doc_id long, n_shingles long, set_id long, " + ", ".join(f"{p} long" for p in PARITY) + ", part int, counts binary"
+OUTLINE = [*PARITY, "wide"]
+INFO = "doc_id long, n_shingles long, set_id long, " + ", ".join(f"{p} long" for p in PARITY) + ", wide array<long>, part int, counts binary"
 #: The lowest bit of sig tells whether the row probes.
 SIGNATURE = "sig long, set_id long"
 FOUND = "a long, b long, sig long, probe boolean"
@@ -69,7 +72,7 @@ def _parts(size: int, place: int, batches: Iterator[pa.RecordBatch]):
 def _describe(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and name of each row's set; at the end the task's sketch of shingle frequencies."""
     sketch = np.zeros(SKETCH, np.int32)
-    names = ["doc_id", "n_shingles", "set_id", *PARITY, "part", "counts"]
+    names = ["doc_id", "n_shingles", "set_id", *PARITY, "wide", "part", "counts"]
     for part, shingles, starts in _parts(size, 1, batches):
         sketch += np.bincount((shingles & U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.int32)
         bits = parity(shingles, starts, 64 * PARITY_WORDS).view(np.int64)
@@ -80,6 +83,7 @@ def _describe(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                 pa.array(np.diff(starts)),
                 pa.array(set_ids(shingles, starts)),
                 *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(PARITY_WORDS)),
+                _wide(shingles, starts),
                 pa.nulls(n, pa.int32()),
                 pa.nulls(n, pa.binary()),
             ],
@@ -88,10 +92,19 @@ def _describe(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     if sketch.any():
         packed = [pack(sketch[k : k + SKETCH_PART]) for k in range(0, SKETCH, SKETCH_PART)]
         n = len(packed)
-        empty = [pa.nulls(n, pa.int64())] * (3 + PARITY_WORDS)
+        empty = [*[pa.nulls(n, pa.int64())] * (3 + PARITY_WORDS), pa.nulls(n, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays([*empty, pa.array(range(n), pa.int32()), pa.array(packed, pa.binary())], names)
 
 
+def _wide(shingles: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The wider parity of the large sets, null for the others."""
+    out: list[np.ndarray | None] = [None] * (len(starts) - 1)
+    for k in np.flatnonzero(np.diff(starts) > WIDE_FROM):
+        part = shingles[starts[k] : starts[k + 1]]
+        out[k] = parity(part, np.array([0, len(part)]), 64 * WIDE_WORDS).view(np.int64)[0]
+    return pa.array(out, pa.list_(pa.int64()))
+
+
 def _add_sketches(rows: pa.Table) -> pa.Table:
     total = sum(unpack(x.as_py(), np.int32).astype(np.int64) for x in rows.column("counts"))
     return pa.table({"part": rows.column("part")[:1], "counts": pa.array([pack(total)], pa.binary())})
@@ -231,8 +244,13 @@ def may_link(threshold: Threshold, left: str = "l", right: str = "r") -> Column:
         Column.__add__, [F.bit_count(F.col(f"{left}.{p}").bitwiseXOR(F.col(f"{right}.{p}"))) for p in PARITY]
     )
     x, y = F.col(f"{left}.n"), F.col(f"{right}.n")
-    near = (threshold.of + threshold.percent) * differ <= (threshold.of - threshold.percent) * (x + y)
-    return (threshold.of * F.least(x, y) >= threshold.percent * F.greatest(x, y)) & near
+    most = (threshold.of - threshold.percent) * (x + y)
+    bits = F.zip_with(f"{left}.wide", f"{right}.wide", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    wide = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+    sizes = threshold.of * F.least(x, y) >= threshold.percent * F.greatest(x, y)
+    near = (threshold.of + threshold.percent) * differ <= most
+    # null, and so no hindrance, unless both are large
+    return sizes & near & F.coalesce((threshold.of + threshold.percent) * wide <= most, F.lit(True))
 
 
 class JaccardJoin:
@@ -244,7 +262,7 @@ class JaccardJoin:
         self.size, self.threshold = size, threshold
         self.docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         info = stored(map_arrow(self.docs, partial(_describe, size), INFO), "jaccard-sets")
-        self.described = info.where("part is null").select("doc_id", "n_shingles", "set_id", *PARITY)
+        self.described = info.where("part is null").select("doc_id", "n_shingles", "set_id", *OUTLINE)
         self.sketches = info.where("part is not null").select("part", "counts")
 
     def candidates(self) -> DataFrame:
@@ -264,7 +282,7 @@ class JaccardJoin:
 
     def outlines(self, wanted: DataFrame) -> DataFrame:
         """Stored size and parity of the sets ``wanted`` (set_id)."""
-        columns = [F.first("n_shingles").alias("n"), *[F.first(p).alias(p) for p in PARITY]]
+        columns = [F.first("n_shingles").alias("n"), *[F.first(p).alias(p) for p in OUTLINE]]
         mine = self.described.join(wanted, "set_id", "left_semi")
         return stored(mine.groupBy("set_id").agg(*columns), "jaccard-outlines")
 
@@ -369,8 +387,8 @@ class JaccardJoin:
             chosen.select("sig", "probe", F.col("set_id").alias("pivot"), F.col("component").alias("of")),
             "jaccard-pivots",
         )
-        heads = chosen.join(outlines, F.col("pivot") == F.col("set_id")).select("sig", "probe", "pivot", "of", "n", *PARITY)
-        others = left.join(outlines, "set_id").select("sig", "probe", "set_id", "component", "n", *PARITY)
+        heads = chosen.join(outlines, F.col("pivot") == F.col("set_id")).select("sig", "probe", "pivot", "of", "n", *OUTLINE)
+        others = left.join(outlines, "set_id").select("sig", "probe", "set_id", "component", "n", *OUTLINE)
         met = heads.alias("l").join(
             others.alias("r"),
             (F.col("l.sig") == F.col("r.sig"))
