@@ -27,6 +27,7 @@ from tidewatch.config import MODEL_FEATURES, Rules
 from tidewatch.functions import scalars as S
 from tidewatch.operators import ranking as K
 from tidewatch.plans.reports import is_alert, precision_recall
+from tidewatch.session import work_folder
 from tidewatch.sinks.tables import write_json
 from tidewatch.sources.generator import normal, uniform
 
@@ -38,7 +39,8 @@ UNKNOWN = -1.0
 
 @dataclass(frozen=True)
 class TrainingSettings:
-    """``rounds`` and ``folds`` default to a quick fit; 300 and 5 are the full ones."""
+    """``rounds`` and ``folds`` default to a quick fit; 300 and 5 are the full ones,
+    which the job and the registered queries take."""
 
     rounds: int = 20
     depth: int = 5
@@ -140,6 +142,13 @@ def classifier(settings: TrainingSettings = TrainingSettings()) -> Pipeline:
     )
 
 
+def _cut_lineage(spark: SparkSession) -> None:
+    """Boosting stores its errors every ten rounds if there is a folder for it; without
+    one, each of hundreds of rounds would carry the plans of all before it."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(work_folder(spark, "boosting"))
+
+
 def cross_validate(split: DataFrame, settings: TrainingSettings = TrainingSettings()) -> DataFrame:
     """Mean, deviation and Gini of the AUC over the folds of the train part."""
     search = CrossValidator(
@@ -151,6 +160,7 @@ def cross_validate(split: DataFrame, settings: TrainingSettings = TrainingSettin
         parallelism=settings.fold_parallelism,
         seed=settings.seed,
     )
+    _cut_lineage(split.sparkSession)
     fitted = search.fit(train_part(split))
     mean, deviation = float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])
     return split.sparkSession.createDataFrame(
@@ -160,6 +170,7 @@ def cross_validate(split: DataFrame, settings: TrainingSettings = TrainingSettin
 
 
 def fit(split: DataFrame, settings: TrainingSettings = TrainingSettings()) -> PipelineModel:
+    _cut_lineage(split.sparkSession)
     return classifier(settings).fit(train_part(split))
 
 

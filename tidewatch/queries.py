@@ -43,7 +43,7 @@ def NEAR_LIMIT(spark: SparkSession, sf_dir: str) -> DataFrame:  # noqa: N802
 
 
 RULES = Rules()
-SETTINGS = M.TrainingSettings()
+SETTINGS = M.FULL_SETTINGS
 THREE_VALUED = replace(RULES, null_safe_countries=False)
 # Splits customers from 20 rows on, so that the plan for busy customers runs on
 # any size of input.
