@@ -7,6 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm.decontaminate import OP11_SQL, op11_decontaminate
 from tidewatch.llm.jaccard_join import op9_jaccard_join
 from tidewatch.llm.language_id import op10_language_id
 from tidewatch.llm.lm_scoring import op7_lm_scoring
@@ -29,6 +30,7 @@ QUERIES = (
     op8_neighbours,
     op9_jaccard_join,
     op10_language_id,
+    op11_decontaminate,
 )
 
 
@@ -37,4 +39,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_mix": OP1_SQL, "op2_url_filters": OP2_SQL, "op6_warc": OP6_SQL}
+    return {"op1_mix": OP1_SQL, "op2_url_filters": OP2_SQL, "op6_warc": OP6_SQL, "op11_decontaminate": OP11_SQL}
