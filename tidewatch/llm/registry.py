@@ -8,6 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm.decontaminate import OP11_SQL, op11_decontaminate
+from tidewatch.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from tidewatch.llm.jaccard_join import op9_jaccard_join
 from tidewatch.llm.language_id import op10_language_id
 from tidewatch.llm.lm_scoring import op7_lm_scoring
@@ -18,6 +19,7 @@ from tidewatch.llm.quality_rules import op5_quality_rules
 from tidewatch.llm.sentencepiece_codec import op3_sentencepiece
 from tidewatch.llm.url_filter import OP2_SQL, op2_url_filters
 from tidewatch.llm.warc import OP6_SQL, op6_warc
+from tidewatch.llm.whitening import op13_whitening
 
 QUERIES = (
     op1_mix,
@@ -31,6 +33,8 @@ QUERIES = (
     op9_jaccard_join,
     op10_language_id,
     op11_decontaminate,
+    op12_hard_negatives,
+    op13_whitening,
 )
 
 
@@ -39,4 +43,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_mix": OP1_SQL, "op2_url_filters": OP2_SQL, "op6_warc": OP6_SQL, "op11_decontaminate": OP11_SQL}
+    return {
+        "op1_mix": OP1_SQL,
+        "op2_url_filters": OP2_SQL,
+        "op6_warc": OP6_SQL,
+        "op11_decontaminate": OP11_SQL,
+        "op12_hard_negatives": OP12_SQL,
+    }
