@@ -507,18 +507,35 @@ select transaction_id, rolling_7d_amount, cast(rolling_7d_count as double) as ro
         f'{score(ev)} select cast(risk_score >= 25 as integer) as label, count(*) as "count" from scored group by 1'
     )
 
-    sql["ml_split_counts"] = f"""{score(ev)}
-select case when ('0x' || substr(md5(transaction_id || '/split42'), 1, 8))::bigint % 10000 < 2000
-            then 'test' else 'train' end as part,
-  cast(risk_score >= 25 as integer) as label, count(*) as "count"
-from scored group by 1, 2"""
+    split = f"""{score(ev)},
+placed as (
+  select transaction_id, cast(risk_score >= 25 as integer) as label,
+    row_number() over (partition by risk_score >= 25 order by md5(transaction_id || '/split42')) as place,
+    count(*) over (partition by risk_score >= 25) as n
+  from scored
+),
+parted as (
+  select *, floor(0.2 * n + 0.5) as tested, case when place <= floor(0.2 * n + 0.5) then 'test' else 'train' end as part
+  from placed
+)"""
+    sql["ml_split_counts"] = f"""{split}
+select part, label, count(*) as "count" from parted group by 1, 2"""
+    # Fold j begins behind rank tested + floor(j (n - tested) / 5).
+    sql["ml_fold_counts"] = f"""{split},
+folds as (
+  select label, (select count(*) from range(1, 5) r(j) where place > tested + floor(j * (n - tested) / 5)) as fold
+  from parted where part = 'train'
+)
+select cast(fold as integer) as fold, label, count(*) as "count" from folds group by 1, 2"""
 
-    sql["ml_scored_rows"] = f"""{score(ev)}
-select transaction_id, cast(risk_score >= 25 as integer) as label, true as in_range, true as class_follows
-from scored where ('0x' || substr(md5(transaction_id || '/split42'), 1, 8))::bigint % 10000 < 2000"""
+    sql["ml_scored_rows"] = f"""{split}
+select transaction_id, label, true as in_range, true as class_follows from parted where part = 'test'"""
+    sql["ml_shap_checks"] = f"""{split}
+select transaction_id, true as adds_up, 10 as features from parted where part = 'test'"""
     checks = (
         "auc_is_high gini_from_auc f1_from_precision_and_recall cells_add_up reloaded_model_is_the_same "
-        "importance_of_every_feature three_rows_explained_by_every_feature cross_validated_auc_is_high"
+        "importance_of_every_feature three_rows_explained_by_every_feature cross_validated_auc_is_high "
+        "attribution_of_every_feature report_covers_test_rows curve_ends_at_one histogram_covers_test_rows"
     ).split()
     sql["ml_checks"] = " union all ".join(f"select '{name}' as check_name, true as ok" for name in checks)
 

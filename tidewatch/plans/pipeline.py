@@ -12,7 +12,9 @@ from tidewatch.config import Paths, Rules, Scale
 from tidewatch.operators import ranking as K
 from tidewatch.operators.quality import enforce_gate
 from tidewatch.operators.rules import score_transactions
+from tidewatch.plans import attributions as A
 from tidewatch.plans import reports
+from tidewatch.plans import surrogate as L
 from tidewatch.plans import training as M
 from tidewatch.session import fit_session, work_folder
 from tidewatch.sinks import run_log, tables
@@ -82,13 +84,16 @@ def train(
     settings: M.TrainingSettings = M.FULL_SETTINGS,
 ) -> dict:
     """Fit and explain the classifier; reports go to the output folder."""
-    inputs = work_folder(spark, "model-inputs")
+    path = work_folder(spark, "model-inputs")
     scored = files.read_parquet(spark, paths.scored)
     fit_session(scored)
-    tables.write_parquet(M.with_split(M.model_inputs(scored, rules), settings), inputs)
-    split = spark.read.parquet(inputs)
-    folds = M.cross_validate(split, settings)
-    model = M.fit(split, settings)
+    tables.write_parquet(M.model_inputs(scored, rules), path)
+    inputs = spark.read.parquet(path)
+    cuts = M.split_cuts(inputs, settings)
+    split = M.with_split(inputs, settings, cuts)
+    model, unseen = M.fit_all(split, settings)
+    model.cuts = cuts
+    folds = M.fold_report(unseen, settings)
     M.save(model, f"{paths.output_dir}/risk_model", rules, settings)
     test = M.test_part(split)
     evaluated = M.evaluate(M.predict(model, test))
@@ -98,7 +103,9 @@ def train(
     tables.write_json(row, f"{paths.output_dir}/metrics")
     report = row.first().asDict()
     tables.write_json(M.permutation_importance(model, test), f"{paths.output_dir}/feature_importance")
-    tables.write_json(M.local_explanations(model, split), f"{paths.output_dir}/local_explanations")
+    tables.write_json(A.mean_attributions(model, test), f"{paths.output_dir}/mean_attributions")
+    tables.write_parquet(A.attribution_rows(model, test), f"{paths.output_dir}/attributions")
+    tables.write_json(L.local_explanations(model, split), f"{paths.output_dir}/local_explanations")
     run_id = datetime.now(timezone.utc).strftime("train_%Y%m%d_%H%M%S")
     counts = spark.createDataFrame(
         [(metrics.n_test, metrics.tp + metrics.fp)], "record_count long, alert_count long"

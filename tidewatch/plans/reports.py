@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -184,6 +187,40 @@ def score_histogram(scored: DataFrame) -> DataFrame:
     )
 
 
+def histogram(df: DataFrame, value: str, by: Sequence[str] = (), bins: int = 40) -> DataFrame:
+    """Counts of a number in at most ``bins`` bins of a round width: low, high, ``by``, count.
+
+    A first pass finds the bounds; the width is the least of 1, 2 or 5 times a power of ten
+    that covers them with so many bins, and bins begin at its multiples. A second pass
+    counts, combining where the rows are read. Bins without rows are left out, as
+    are unknown and infinite values. No rows, or all of one value: one bin of width 1 or none.
+    """
+    number = F.col(value).cast("double")
+    known = df.where(number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf")))
+    ends = known.agg(F.min(number).alias("least"), F.max(number).alias("largest")).first()
+    step, digits = _round_step(ends.least, ends.largest, bins)
+    place = F.floor(number / F.lit(step)) if digits <= 0 else F.floor(number * F.lit(1 / step))
+    edge = lambda k: F.round(k * F.lit(step), max(digits, 0))
+    return (
+        known.groupBy(place.alias("_place"), *by)
+        .count()
+        .select(edge(F.col("_place")).alias("low"), edge(F.col("_place") + 1).alias("high"), *by, "count")
+        .orderBy("low", *by)
+    )
+
+
+def _round_step(least: float | None, largest: float | None, bins: int) -> tuple[float, int]:
+    """A round bin width, and the decimals it needs."""
+    if least is None or not largest > least:
+        return 1.0, 0
+    for power in range(math.floor(math.log10(largest - least)) - math.ceil(math.log10(bins)) - 1, 309):
+        for lead in (1, 2, 5):
+            step = float(f"{lead}e{power}")
+            if math.floor(largest / step) - math.floor(least / step) < bins:
+                return step, -power
+    return largest - least, 0
+
+
 def overview_kpis(scored: DataFrame, rules: Rules = Rules()) -> DataFrame:
     total = F.count(F.lit(1))
     alerts = S.count_where(is_alert(rules))

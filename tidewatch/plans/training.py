@@ -1,6 +1,6 @@
-"""The risk classifier: split, cross-validation, training, metrics, explanations.
+"""The risk classifier: split, cross-validation, training, metrics, importance.
 
-Everything runs on Spark ML over a stored feature table. The label is derived
+Everything runs as Spark jobs over a stored feature table. The label is derived
 from the rules' score, whose inputs are also model inputs, so high accuracy is
 expected and says nothing about unseen crime; evaluation against the source
 label is a separate report.
@@ -10,50 +10,53 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass
+from functools import partial, reduce
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.config import MODEL_FEATURES, Rules
 from tidewatch.functions import scalars as S
 from tidewatch.operators import ranking as K
+from tidewatch.plans.boosting import Growth, Trees, grow, values
 from tidewatch.plans.reports import is_alert, precision_recall
-from tidewatch.session import work_folder
-from tidewatch.sinks.tables import write_json
-from tidewatch.sources.generator import normal, uniform
 
 BINARY = ("is_weekend", "is_offhours", "involves_high_risk_country")
-# Unknown for a customer's first transaction.
-OPTIONAL = ("amount_vs_7d_avg_ratio", "seconds_since_last_txn")
-UNKNOWN = -1.0
 
 
 @dataclass(frozen=True)
 class TrainingSettings:
-    """``rounds`` and ``folds`` default to a quick fit; 300 and 5 are the full ones,
-    which the job and the registered queries take."""
+    """The full model; ``edge_rows`` bounds the rows that give the bins' edges."""
 
-    rounds: int = 20
+    rounds: int = 300
     depth: int = 5
     step: float = 0.05
     row_share: float = 0.8
-    feature_share: str = "0.8"
-    folds: int = 3
+    feature_share: float = 0.8
+    folds: int = 5
     test_share: float = 0.20
     seed: int = 42
-    fold_parallelism: int = 2
+    edge_rows: int = 50_000
 
+    def growth(self) -> Growth:
+        return Growth(
+            rounds=self.rounds,
+            depth=self.depth,
+            step=self.step,
+            row_share=self.row_share,
+            feature_share=self.feature_share,
+            edge_rows=self.edge_rows,
+            seed=self.seed,
+        )
 
-FULL_SETTINGS = TrainingSettings(rounds=300, folds=5)
+
+FULL_SETTINGS = TrainingSettings()
+#: For each class: the digests below which rows are in the test part and, after that, in the first, second, ... fold.
+Cuts = dict[int, list[str]]
 
 
 # --- inputs ----------------------------------------------------------------
@@ -75,26 +78,77 @@ def label_balance(inputs: DataFrame) -> DataFrame:
     return inputs.groupBy("label").count()
 
 
-def _bucket(row_id: Column, salt: str, n: int) -> Column:
-    """A bucket 0..n-1 from the row's id: the same in every job that asks."""
-    digest = F.md5(F.concat(row_id, F.lit(f"/{salt}")))
-    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(n))
+def _digest(salt: str) -> Column:
+    """A place in an order that hangs on the row's id alone."""
+    return F.md5(F.concat(F.coalesce("transaction_id", F.lit("")), F.lit(f"/{salt}")))
+
+
+#: Hex digits by which a search for a cut goes deeper: 4096 counts for each open cut.
+_DIGITS = 3
 
 
-def with_split(inputs: DataFrame, settings: TrainingSettings = TrainingSettings()) -> DataFrame:
-    """Add ``part`` (train or test) and, within train, ``fold``.
+def split_cuts(inputs: DataFrame, settings: TrainingSettings = TrainingSettings()) -> Cuts:
+    """Where each class is cut into test part and folds, in the order of the ids' digests.
 
-    Both hang on the id alone, so each class is split at the same rate up to
-    sampling noise, no shuffle is needed and a reloaded model meets the same
-    test rows.
+    The test part gets exactly the rounded share of a class, and folds differ by at most
+    one row. Each cut is a row's rank: rows are counted by the first digits of their
+    digest, then only those that share the digits of an open cut by further ones,
+    until a cut lies between two counts. No row is sorted or moved. Rows of one id stay together.
     """
-    row_id = F.col("transaction_id")
-    held_out = _bucket(row_id, f"split{settings.seed}", 10_000) < int(settings.test_share * 10_000)
+    digest = _digest(f"split{settings.seed}")
+    places = inputs.select("label", digest.alias("_digest"))
+    sizes = {r.label: r.n for r in places.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cuts: Cuts = {}
+    open_cuts: dict[tuple[int, str], list[tuple[int, int]]] = {}
+    for label, n in sizes.items():
+        tested = int(settings.test_share * n + 0.5)
+        ranks = [tested] + [tested + j * (n - tested) // settings.folds for j in range(1, settings.folds)]
+        cuts[label] = [""] * len(ranks)
+        open_cuts[label, ""] = list(enumerate(ranks))  # (which cut, rank below this prefix)
+    for length in range(_DIGITS, 33, _DIGITS):
+        if not open_cuts:
+            break
+        wanted = [(F.col("label") == label) & F.col("_digest").startswith(prefix) for label, prefix in open_cuts]
+        near = places.where(reduce(Column.__or__, wanted))
+        found = near.groupBy("label", F.substring("_digest", 1, length).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+        counted: dict[tuple[int, str], list[tuple[str, int]]] = {}
+        for r in sorted(found.collect()):
+            counted.setdefault((r.label, r.prefix[: length - _DIGITS]), []).append((r.prefix, r.n))
+        deeper: dict[tuple[int, str], list[tuple[int, int]]] = {}
+        for (label, prefix), asked in open_cuts.items():
+            for which, rank in asked:
+                passed = 0
+                cuts[label][which] = prefix + "g"  # behind all of them
+                for bucket, n in counted.get((label, prefix), []):
+                    if rank < passed + n:
+                        cuts[label][which] = bucket
+                        if rank > passed and length + _DIGITS <= 33:
+                            deeper.setdefault((label, bucket), []).append((which, rank - passed))
+                        break
+                    passed += n
+        open_cuts = deeper
+    return cuts
+
+
+def with_split(
+    inputs: DataFrame, settings: TrainingSettings = TrainingSettings(), cuts: Cuts | None = None
+) -> DataFrame:
+    """Add ``part`` (train or test) and ``fold`` (of use within train only).
+
+    Both follow from the digest of the id and the cuts of its class, which a stored model
+    keeps, so it meets the same test rows again. Without ``cuts`` they are sought in ``inputs``.
+    """
+    cuts = split_cuts(inputs, settings) if cuts is None else cuts
+    digest = _digest(f"split{settings.seed}")
+    tested, fold = F.lit(False), F.lit(0)
+    for label, places in cuts.items():
+        own = F.col("label") == int(label)
+        tested = F.when(own, digest < places[0]).otherwise(tested)
+        passed = sum(((digest >= place).cast("int") for place in places[1:]), F.lit(0))
+        fold = F.when(own, passed).otherwise(fold)
+    spread = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(settings.folds)).cast("int")
     return inputs.withColumns(
-        {
-            "part": F.when(held_out, "test").otherwise("train"),
-            "fold": _bucket(row_id, f"fold{settings.seed}", settings.folds).cast("int"),
-        }
+        {"part": F.when(tested, "test").otherwise("train"), "fold": F.when(tested, spread).otherwise(fold)}
     )
 
 
@@ -113,70 +167,69 @@ def split_counts(split: DataFrame) -> DataFrame:
 # --- model -----------------------------------------------------------------
 
 
-def _known(name: str) -> str:
-    return f"{name}_known"
+@dataclass
+class RiskModel:
+    """The fitted trees, and the cuts that kept their test rows apart."""
 
+    stages: list[Trees]
+    cuts: Cuts | None = None
 
-def classifier(settings: TrainingSettings = TrainingSettings()) -> Pipeline:
-    """Fill unknowns with a marker value plus a 0/1 column, assemble, boost."""
-    filled = ", ".join(
-        f"coalesce({n}, {UNKNOWN}D) AS {n}_filled, CAST({n} IS NOT NULL AS INT) AS {_known(n)}" for n in OPTIONAL
-    )
-    columns = [n for n in MODEL_FEATURES if n not in OPTIONAL]
-    columns += [c for n in OPTIONAL for c in (f"{n}_filled", _known(n))]
-    return Pipeline(
-        stages=[
-            SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
-            VectorAssembler(inputCols=columns, outputCol="features"),
-            GBTClassifier(
-                featuresCol="features",
-                labelCol="label",
-                maxIter=settings.rounds,
-                maxDepth=settings.depth,
-                stepSize=settings.step,
-                subsamplingRate=settings.row_share,
-                featureSubsetStrategy=settings.feature_share,
-                seed=settings.seed,
-            ),
-        ]
-    )
+    @property
+    def trees(self) -> Trees:
+        return self.stages[-1]
 
 
-def _cut_lineage(spark: SparkSession) -> None:
-    """Boosting stores its errors every ten rounds if there is a folder for it; without
-    one, each of hundreds of rounds would carry the plans of all before it."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_folder(spark, "boosting"))
+def fit_all(split: DataFrame, settings: TrainingSettings = TrainingSettings()) -> tuple[RiskModel, DataFrame]:
+    """The model of the train part, and the margins (fold, label, margin) that the models
+    of the other folds give each train row: all of them grow in the same jobs."""
+    (trees, *_), unseen = grow(train_part(split), MODEL_FEATURES, settings.folds, settings.growth())
+    return RiskModel([trees]), unseen
+
+
+def fit(split: DataFrame, settings: TrainingSettings = TrainingSettings()) -> RiskModel:
+    (trees,), _ = grow(train_part(split), MODEL_FEATURES, 0, settings.growth())
+    return RiskModel([trees])
+
+
+def fold_report(unseen: DataFrame, settings: TrainingSettings = TrainingSettings()) -> DataFrame:
+    """Mean, deviation and Gini of the folds' AUC."""
+    probability = _probability(F.col("margin")).alias("probability")
+    counts = K.score_counts(unseen.select("fold", "label", probability), "probability", F.col("label") == 1, by=["fold"])
+    per_fold = K.auc_gini(counts, ["fold"])
+    mean = F.avg("auc")
+    return per_fold.agg(
+        F.lit(settings.folds).alias("folds"),
+        mean.alias("cv_mean_auc"),
+        F.stddev_pop("auc").alias("cv_std_auc"),
+        (2 * mean - 1).alias("cv_gini"),
+    )
 
 
 def cross_validate(split: DataFrame, settings: TrainingSettings = TrainingSettings()) -> DataFrame:
     """Mean, deviation and Gini of the AUC over the folds of the train part."""
-    search = CrossValidator(
-        estimator=classifier(settings),
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="label"),
-        numFolds=settings.folds,
-        foldCol="fold",
-        parallelism=settings.fold_parallelism,
-        seed=settings.seed,
-    )
-    _cut_lineage(split.sparkSession)
-    fitted = search.fit(train_part(split))
-    mean, deviation = float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])
-    return split.sparkSession.createDataFrame(
-        [(settings.folds, mean, deviation, 2 * mean - 1)],
-        "folds int, cv_mean_auc double, cv_std_auc double, cv_gini double",
-    )
+    return fold_report(fit_all(split, settings)[1], settings)
+
+
+def _probability(margin: Column) -> Column:
+    return 1 / (1 + F.exp(-margin))
+
 
+def _margins(trees: Trees, keep: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        margin = pa.array(trees.margins(values(batch, trees.names)))
+        yield pa.RecordBatch.from_arrays([*map(batch.column, keep), margin], [*keep, "margin"])
 
-def fit(split: DataFrame, settings: TrainingSettings = TrainingSettings()) -> PipelineModel:
-    _cut_lineage(split.sparkSession)
-    return classifier(settings).fit(train_part(split))
 
+def with_margin(model: RiskModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep`` and the model's margin (log odds) of each row."""
+    needed = rows.select(*dict.fromkeys([*keep, *model.trees.names]))
+    schema = T.StructType([*[needed.schema[c] for c in keep], T.StructField("margin", T.DoubleType())])
+    return needed.mapInArrow(partial(_margins, model.trees, list(keep)), schema)
 
-def predict(model: PipelineModel, rows: DataFrame, keep: Sequence[str] = ("transaction_id", "label")) -> DataFrame:
-    probability = vector_to_array("probability")[1]
-    return model.transform(rows).select(
+
+def predict(model: RiskModel, rows: DataFrame, keep: Sequence[str] = ("transaction_id", "label")) -> DataFrame:
+    probability = _probability(F.col("margin"))
+    return with_margin(model, rows, keep).select(
         *keep, probability.alias("probability"), (probability >= 0.5).cast("int").alias("predicted")
     )
 
@@ -213,16 +266,16 @@ def evaluate(predictions: DataFrame) -> DataFrame:
     )
 
 
-# --- explanations ----------------------------------------------------------
+# --- importance ----------------------------------------------------------
 
 
 def permutation_importance(
-    model: PipelineModel, rows: DataFrame, rows_per_bucket: int = 100_000, seed: int = 42
+    model: RiskModel, rows: DataFrame, rows_per_bucket: int = 100_000, seed: int = 42
 ) -> DataFrame:
     """Fall of the AUC when one feature is shuffled among the rows.
 
-    This stands in for mean absolute Shapley values; it ranks features by what
-    the model loses without them and needs only scoring passes. Rows are put
+    It ranks features by what the model loses without them and needs only scoring
+    passes; ``attributions`` tells what they add to each row. Rows are put
     in random buckets of bounded size and random order; feature k takes the
     value of the row k + 1 places back. The first rows of a bucket keep their
     own value.
@@ -258,105 +311,36 @@ def permutation_importance(
     scored = predict(model, variants, ("feature", "label"))
     curves = K.auc_gini(K.score_counts(scored, "probability", F.col("label") == 1, by=["feature"]), ["feature"])
     per_variant = curves.groupBy().pivot("feature", ["none", *MODEL_FEATURES]).agg(F.first("auc"))
-    gains = _gains(model)
+    gains = model.trees.importances()
     cells = ", ".join(f"'{c}', none - `{c}`, {gains[c]!r}D, none" for c in MODEL_FEATURES)
     return per_variant.selectExpr(
         f"stack({len(MODEL_FEATURES)}, {cells}) as (feature, auc_drop, split_gain, baseline_auc)"
     ).orderBy(F.desc("auc_drop"), "feature")
 
 
-def _gains(model: PipelineModel) -> dict[str, float]:
-    """The model's own split gains, the known-markers added to their feature."""
-    columns = model.stages[1].getInputCols()
-    gains = dict.fromkeys(MODEL_FEATURES, 0.0)
-    for column, gain in zip(columns, model.stages[2].featureImportances.toArray()):
-        gains[column.removesuffix("_filled").removesuffix("_known")] += float(gain)
-    return gains
-
-
-def local_explanations(
-    model: PipelineModel, split: DataFrame, n: int = 3, samples: int = 500, seed: int = 42
-) -> DataFrame:
-    """A weighted linear model around each of the n riskiest test rows.
-
-    Each row is perturbed ``samples`` times (normal steps in units of the train
-    deviation; 0/1 features redrawn at their train rate), the copies are scored
-    and a linear model is fitted to them, near copies weighing more. Its
-    coefficients say which features push this row's probability up or down.
-    """
-    spark = split.sparkSession
-    train = train_part(split)
-    stats = train.agg(
-        *[F.coalesce(F.stddev_pop(c), F.lit(0.0)).alias(f"sd_{c}") for c in MODEL_FEATURES],
-        *[F.coalesce(F.avg(c), F.lit(0.0)).alias(f"mean_{c}") for c in MODEL_FEATURES],
-    ).first()
-    keep = ("transaction_id", "label", *MODEL_FEATURES)
-    riskiest = top_risks(predict(model, test_part(split), keep), n)
-    centers = riskiest.collect()  # n rows
-    top = spark.createDataFrame(centers, riskiest.schema)
-
-    step = F.concat_ws("/", F.col("transaction_id"), F.col("_sample").cast("string"))
-
-    def moved(c: str) -> tuple[Column, Column]:
-        """The perturbed value and its distance from the row in deviations."""
-        sd, mean = stats[f"sd_{c}"] or 1.0, stats[f"mean_{c}"]
-        if c in BINARY:
-            drawn = (uniform(step, c, seed) < mean).cast("double")
-            return drawn, (drawn != F.col(c)).cast("double")
-        z = normal(step, c, seed)
-        start = F.coalesce(F.col(c), F.lit(mean))
-        return start + z * sd, z
-
-    cloud = top.select(
-        "*", F.explode(F.sequence(F.lit(1), F.lit(samples))).alias("_sample")
-    ).select(
-        "transaction_id",
-        "label",
-        F.col("probability").alias("center"),
-        *[moved(c)[0].alias(c) for c in MODEL_FEATURES],
-        *[moved(c)[1].alias(f"step_{c}") for c in MODEL_FEATURES],
-    )
-    steps = [f"step_{c}" for c in MODEL_FEATURES]
-    scored = predict(model, cloud, ("transaction_id", "center", *steps)).withColumnRenamed(
-        "probability", "target"
-    )
-    width = 0.75 * math.sqrt(len(MODEL_FEATURES))
-    squared = sum((F.col(s) * F.col(s) for s in steps), F.lit(0.0))
-    weighted = VectorAssembler(inputCols=steps, outputCol="moves").transform(
-        scored.withColumn("closeness", F.exp(-squared / (width * width)))
-    ).persist()
-    surrogate = LinearRegression(
-        featuresCol="moves", labelCol="target", weightCol="closeness", regParam=1e-3, elasticNetParam=0.0
-    )
-    rows = []
-    try:
-        for rank, center in enumerate(centers, 1):
-            near = weighted.where(F.col("transaction_id") == center.transaction_id)
-            for name, weight in zip(MODEL_FEATURES, surrogate.fit(near).coefficients.toArray()):
-                rows.append((rank, center.transaction_id, center.probability, name, float(weight)))
-    finally:
-        weighted.unpersist()
-    return spark.createDataFrame(
-        rows, "rank int, transaction_id string, probability double, feature string, weight double"
-    )
-
-
 # --- storage ---------------------------------------------------------------
 
 
-def save(model: PipelineModel, path: str, rules: Rules = Rules(), settings: TrainingSettings = TrainingSettings()) -> None:
-    """The model with the facts needed to evaluate it elsewhere."""
-    model.write().overwrite().save(f"{path}/model")
-    spark = SparkSession.getActiveSession()
+def save(model: RiskModel, path: str, rules: Rules = Rules(), settings: TrainingSettings = TrainingSettings()) -> None:
+    """The model with the facts needed to evaluate it elsewhere, in one row of one file."""
     facts = json.dumps(
-        {"features": list(MODEL_FEATURES), "label_threshold": rules.alert_threshold, "settings": asdict(settings)}
+        {
+            "features": list(MODEL_FEATURES),
+            "label_threshold": rules.alert_threshold,
+            "settings": asdict(settings),
+            "cuts": model.cuts,
+        }
     )
-    write_json(spark.createDataFrame([(facts,)], "facts string"), f"{path}/facts")
+    spark = SparkSession.getActiveSession()
+    row = spark.createDataFrame([(facts, model.trees.to_json())], "facts string, trees string")
+    row.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def load(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
-    facts = json.loads(spark.read.schema("facts string").json(f"{path}/facts").first().facts)
-    return PipelineModel.load(f"{path}/model"), facts
+def load(spark: SparkSession, path: str) -> tuple[RiskModel, dict]:
+    row = spark.read.schema("facts string, trees string").parquet(path).first()
+    facts = json.loads(row.facts)
+    cuts = None if facts["cuts"] is None else {int(label): places for label, places in facts["cuts"].items()}
+    return RiskModel([Trees.from_json(row.trees)], cuts), facts
 
 
 def reload_and_evaluate(scored: DataFrame, path: str) -> DataFrame:
@@ -366,7 +350,7 @@ def reload_and_evaluate(scored: DataFrame, path: str) -> DataFrame:
         raise ValueError("the stored model expects other features")
     settings = TrainingSettings(**facts["settings"])
     inputs = model_inputs(scored, Rules(alert_threshold=facts["label_threshold"]))
-    return evaluate(predict(model, test_part(with_split(inputs, settings))))
+    return evaluate(predict(model, test_part(with_split(inputs, settings, model.cuts))))
 
 
 def run_details(settings: TrainingSettings, rules: Rules, metrics: dict) -> dict:

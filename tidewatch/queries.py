@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from typing import NamedTuple
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +15,10 @@ from tidewatch.operators import quality as Q
 from tidewatch.operators import ranking as K
 from tidewatch.operators.history import with_history
 from tidewatch.operators.rules import LEGS, features, score_transactions, with_listed_legs
+from tidewatch.plans import attributions as A
 from tidewatch.plans import detection as D
 from tidewatch.plans import reports as R
+from tidewatch.plans import surrogate as L
 from tidewatch.plans import training as M
 from tidewatch.schema import RAW_COLUMNS
 from tidewatch.session import work_folder
@@ -252,54 +254,116 @@ def _score_counts(scored: DataFrame) -> DataFrame:
 
 # --- model ------------------------------------------------------------------
 
-_FITTED: dict[tuple[str, str], tuple[str, PipelineModel]] = {}
+class _Fit(NamedTuple):
+    """What one fit of all models left: the stored feature table, the model, its stored
+    copy, and the stored margins of rows under the models of the other folds."""
 
+    inputs: DataFrame
+    model: M.RiskModel
+    path: str
+    unseen: DataFrame
 
-def _feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model inputs with their split, stored once: boosting reads them often,
+
+_FITTED: dict[tuple, _Fit] = {}
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Time and size of the input files; changed data are fitted anew."""
+    files_ = adapters.table(spark, sf_dir, "events").select("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size")
+    return tuple(files_.distinct().agg(F.max("file_modification_time"), F.sum("file_size"), F.count(F.lit(1))).first())
+
+
+def _split_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, M.Cuts]:
+    """Model inputs, stored once, and the cuts of their split: boosting reads them often,
     and a lost executor then costs a re-read and not the windows again."""
-    return spark.read.parquet(_fitted(spark, sf_dir)[0])
+    path = work_folder(spark, "model-inputs")
+    tables.write_parquet(M.model_inputs(score_transactions(EVENTS(spark, sf_dir), RULES), RULES), path)
+    inputs = spark.read.parquet(path)
+    return inputs, M.split_cuts(inputs, SETTINGS)
 
 
-def _fitted(spark: SparkSession, sf_dir: str) -> tuple[str, PipelineModel]:
-    """Feature table and model of one data set, kept for the session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _fitted(spark: SparkSession, sf_dir: str) -> _Fit:
+    """All models of one state of a data set, kept for the session."""
+    key = (spark.sparkContext.applicationId, sf_dir, _stamp(spark, sf_dir))
     if key not in _FITTED:
-        path = work_folder(spark, "model-inputs")
-        scored = score_transactions(EVENTS(spark, sf_dir), RULES)
-        tables.write_parquet(M.with_split(M.model_inputs(scored, RULES), SETTINGS), path)
-        _FITTED[key] = (path, M.fit(spark.read.parquet(path), SETTINGS))
+        inputs, cuts = _split_table(spark, sf_dir)
+        split = M.with_split(inputs, SETTINGS, cuts)
+        model, unseen = M.fit_all(split, SETTINGS)
+        model.cuts = cuts
+        path = work_folder(spark, "model")
+        M.save(model, path, RULES, SETTINGS)
+        _FITTED[key] = _Fit(split, model, path, unseen)
     return _FITTED[key]
 
 
+def _feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fitted(spark, sf_dir).inputs
+
+
+def _test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.test_part(_feature_table(spark, sf_dir))
+
+
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, model = _fitted(spark, sf_dir)
-    return M.predict(model, M.test_part(spark.read.parquet(path)))
+    return M.predict(_fitted(spark, sf_dir).model, _test_rows(spark, sf_dir))
 
 
-def _split_counts(scored: DataFrame) -> DataFrame:
-    return M.split_counts(M.with_split(M.model_inputs(scored, RULES), SETTINGS))
+def _split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs, cuts = _split_table(spark, sf_dir)
+    return M.split_counts(M.with_split(inputs, SETTINGS, cuts))
+
+
+def _fold_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs, cuts = _split_table(spark, sf_dir)
+    return M.train_part(M.with_split(inputs, SETTINGS, cuts)).groupBy("fold", "label").count()
 
 
 def _cross_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.cross_validate(_feature_table(spark, sf_dir), SETTINGS)
+    return M.fold_report(_fitted(spark, sf_dir).unseen, SETTINGS)
 
 
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, model = _fitted(spark, sf_dir)
-    return M.permutation_importance(model, M.test_part(spark.read.parquet(path)))
+    return M.permutation_importance(_fitted(spark, sf_dir).model, _test_rows(spark, sf_dir))
+
+
+def _attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.attribution_rows(_fitted(spark, sf_dir).model, _test_rows(spark, sf_dir))
+
+
+def _mean_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.mean_attributions(_fitted(spark, sf_dir).model, _test_rows(spark, sf_dir))
+
+
+def _attribution_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each test row's base and contributions add up to its margin."""
+    whole = F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+    return A.attributions(_fitted(spark, sf_dir).model, _test_rows(spark, sf_dir)).select(
+        "transaction_id",
+        (F.abs(whole - F.col("margin")) < 1e-9).alias("adds_up"),
+        F.size("contributions").alias("features"),
+    )
 
 
 def _explained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, model = _fitted(spark, sf_dir)
-    return M.local_explanations(model, spark.read.parquet(path))
+    return L.local_explanations(_fitted(spark, sf_dir).model, _feature_table(spark, sf_dir))
 
 
 def _reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Save, load and evaluate on rows scored afresh."""
-    path = work_folder(spark, "model")
-    M.save(_fitted(spark, sf_dir)[1], path, RULES, SETTINGS)
-    return M.reload_and_evaluate(score_transactions(EVENTS(spark, sf_dir), RULES), path)
+    """Load the stored model and evaluate it on rows scored afresh."""
+    return M.reload_and_evaluate(score_transactions(EVENTS(spark, sf_dir), RULES), _fitted(spark, sf_dir).path)
+
+
+def _model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    guess = F.col("predicted") == 1
+    return R.classification_report(_predictions(spark, sf_dir).select((F.col("label") == 1).alias("label"), guess.alias("predicted")))
+
+
+def _model_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.roc_points(K.score_counts(_predictions(spark, sf_dir), "probability", F.col("label") == 1))
+
+
+def _model_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.histogram(_predictions(spark, sf_dir), "probability", by=["predicted"])
 
 
 def _scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,6 +386,9 @@ def _model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, r = m["precision"], m["recall"]
     explained = _explained(spark, sf_dir).groupBy("rank").count().collect()
     importance = _importance(spark, sf_dir)
+    n_test = m["n_test"]
+    last = _model_curve(spark, sf_dir).agg(F.max("fpr").alias("fpr"), F.max("tpr").alias("tpr")).first()
+    report = {r["class"]: r.support for r in _model_report(spark, sf_dir).collect()}
     checks = {
         "auc_is_high": m["test_auc"] > 0.9,
         "gini_from_auc": near(m["test_gini"], 2 * m["test_auc"] - 1),
@@ -331,6 +398,10 @@ def _model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "importance_of_every_feature": importance.select("feature").distinct().count() == len(MODEL_FEATURES),
         "three_rows_explained_by_every_feature": sorted(x["count"] for x in explained) == [len(MODEL_FEATURES)] * 3,
         "cross_validated_auc_is_high": _cross_validated(spark, sf_dir).first().cv_mean_auc > 0.9,
+        "attribution_of_every_feature": _mean_attributions(spark, sf_dir).count() == len(MODEL_FEATURES),
+        "report_covers_test_rows": report["macro avg"] == n_test and report["High Risk"] == m["tp"] + m["fn"],
+        "curve_ends_at_one": near(last.fpr, 1.0) and near(last.tpr, 1.0),
+        "histogram_covers_test_rows": _model_histogram(spark, sf_dir).agg(F.sum("count")).first()[0] == n_test,
     }
     return spark.createDataFrame([(name, bool(ok)) for name, ok in checks.items()], "check_name string, ok boolean")
 
@@ -339,7 +410,8 @@ def model_queries() -> dict[str, Query]:
     return {
         "ml_features": _scored(lambda s: M.model_inputs(s, RULES)),
         "ml_label_balance": _scored(lambda s: M.label_balance(M.model_inputs(s, RULES))),
-        "ml_split_counts": _scored(_split_counts),
+        "ml_split_counts": _split_counts,
+        "ml_fold_counts": _fold_counts,
         "ml_train_score": _predictions,
         "ml_metrics": lambda spark, sf_dir: M.evaluate(_predictions(spark, sf_dir)),
         "top3_risk": lambda spark, sf_dir: M.top_risks(_predictions(spark, sf_dir)),
@@ -347,6 +419,12 @@ def model_queries() -> dict[str, Query]:
         "ml_feature_importance": _importance,
         "ml_local_explanations": _explained,
         "ml_reload_evaluate": _reloaded,
+        "ml_shap": _attributed,
+        "ml_shap_importance": _mean_attributions,
+        "ml_shap_checks": _attribution_checks,
+        "ml_classification_report": _model_report,
+        "ml_roc_curve": _model_curve,
+        "ml_score_histogram": _model_histogram,
         "ml_scored_rows": _scored_rows,
         "ml_checks": _model_checks,
     }
