@@ -548,6 +548,10 @@ select transaction_id, true as adds_up, 10 as features from parted where part =
     sql["stream_source_json"] = f"with txn as ({ev}) select {RAW} from txn"
     sql["stream_scored_append"] = f"{score(ev, 'gap_s', 'risky_3vl')} select {SCORED_COLUMNS} from scored"
     sql["stream_scored_history"] = sql["stream_scored_append"]
+    sql["stream_batch_summaries"] = f"""{score(ev, 'gap_s', 'risky_3vl')}
+select case when day("timestamp") <= 10 then 0::bigint when day("timestamp") <= 20 then 1 else 2 end as batch_id,
+  count(*) as processed, count(*) filter (where risk_score >= 25) as alerts
+from scored group by 1"""
     sql["stream_rejects"] = f"""with txn as ({ev}),
 kinds as (
   select case cast(substr(transaction_id, 4) as bigint) % 50

@@ -500,14 +500,25 @@ def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches in the order of time, each going on from what is stored."""
+#: Days of the month of the three deliveries.
+_DELIVERIES = ((1, 10), (11, 20), (21, 31))
+
+
+def _delivered(spark: SparkSession, sf_dir: str, scorer: consumer.BatchScorer) -> None:
+    """Messages in the order of time, in three deliveries. The stream is stopped after each and
+    started again from its checkpoint, as one batch a delivery."""
     sent = messages.encode(EVENTS(spark, sf_dir))
     day = F.regexp_extract("value", r'"timestamp":"\d+-\d+-(\d+)', 1).cast("int")
+    folder, checkpoint = work_folder(spark, "messages"), work_folder(spark, "checkpoint")
+    for days in _DELIVERIES:
+        sent.where(day.between(*days)).select("value").write.mode("append").text(folder)
+        consumer.start(consumer.json_lines_source(spark, folder), scorer, checkpoint).awaitTermination()
+
+
+def _stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches, each going on from what is stored."""
     out = work_folder(spark, "stream-scored")
-    scorer = consumer.BatchScorer(out, work_folder(spark, "rejects"), remember=True)
-    for batch_id, days in enumerate(((1, 10), (11, 20), (21, 31))):
-        scorer(messages.examined(sent.where(day.between(*days))), batch_id)
+    _delivered(spark, sf_dir, consumer.BatchScorer(out, work_folder(spark, "rejects"), remember=True))
     return (
         consumer.scored_table(spark, out)
         .drop("batch_id")
@@ -515,6 +526,16 @@ def _stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stream_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of the three batches counted while it was written."""
+    summaries = work_folder(spark, "summaries")
+    scorer = consumer.BatchScorer(
+        work_folder(spark, "stream-scored"), work_folder(spark, "rejects"), summaries=summaries, remember=True
+    )
+    _delivered(spark, sf_dir, scorer)
+    return spark.read.parquet(summaries).select(F.col("batch_id").cast("long"), "processed", "alerts")
+
+
 # --- generated from the tables' ids ----------------------------------------
 
 
@@ -643,5 +664,6 @@ def relational_queries() -> dict[str, Query]:
         "stream_scored_append": _stream_scored,
         "stream_rejects": _stream_rejects,
         "stream_scored_history": _stream_history,
+        "stream_batch_summaries": _stream_summaries,
         "run_log": _run_record,
     }
