@@ -488,6 +488,21 @@ from (select * from scored where risk_score >= 25 order by risk_score desc, amou
         "count(*) filter (where risk_score < 25) as violations from queue"
     )
 
+    sql["scan_nested_files"] = f"""with txn as ({ev})
+select transaction_id, amount, cast(dense_rank() over (order by currency, channel) as integer) as file_place,
+  row_number() over (partition by currency, channel order by transaction_id) - 1 as row_place
+from txn"""
+    # The width is the least 1, 2 or 5 times a power of ten that needs at most 40 bins.
+    sql["amount_histogram"] = f"""{score(ev)},
+ends as (select min(rolling_7d_amount) as lo, max(rolling_7d_amount) as hi from scored),
+steps as (select lead * pow(10, power) as step from (values (1), (2), (5)) l(lead), range(-2, 12) r(power)),
+chosen as (
+  select min(step) as step from steps, ends where floor(hi / step) - floor(lo / step) < 40
+),
+binned as (select floor(rolling_7d_amount / step) as place, step, risk_tier from scored, chosen)
+select place * step as low, (place + 1) * step as high, risk_tier, count(*) as "count"
+from binned group by place, step, risk_tier"""
+
     # rank metrics
     sql["auc_gini"] = f"""{score(ev)}{RANKED},
 a as (select sum(cast(neg as double) * (2 * above_p + pos)) / (2.0 * max(p) * max(n)) as auc from ranked)

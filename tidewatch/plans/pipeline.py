@@ -10,14 +10,14 @@ from pyspark.sql.types import StructType
 
 from tidewatch.config import Paths, Rules, Scale
 from tidewatch.operators import ranking as K
-from tidewatch.operators.quality import enforce_gate
+from tidewatch.operators.quality import QualityError, enforce_gate
 from tidewatch.operators.rules import score_transactions
 from tidewatch.plans import attributions as A
 from tidewatch.plans import reports
 from tidewatch.plans import surrogate as L
 from tidewatch.plans import training as M
 from tidewatch.session import fit_session, work_folder
-from tidewatch.sinks import run_log, tables
+from tidewatch.sinks import run_log, tables, versions
 from tidewatch.sources import files, generator, reference_set
 
 
@@ -26,14 +26,18 @@ def ingest(
 ) -> DataFrame:
     """Check transactions (generated unless given) and store them.
 
-    The rows are written first and the gate reads the written files, so the
-    source is computed once; a failing gate leaves no data under ``paths.raw``.
+    The rows are written once, the gate reads the written files, and only then they
+    take the place of the earlier ones: a failing gate leaves the table as it was, and
+    readers see the old rows or the new ones.
     """
     txn = source if source is not None else generator.synthesize(generator.row_ids(spark, n), seed)
-    staged = work_folder(spark, "ingest")
-    tables.write_parquet(tables.typed(txn, required=False), staged)
-    checked = enforce_gate(files.read_transactions(spark, staged))
-    tables.write_parquet(checked, paths.raw)
+    place = versions.stage(tables.typed(txn, required=False), paths.raw)
+    try:
+        enforce_gate(files.read_transactions(spark, f"{paths.raw}/data/{place}"))
+    except QualityError:
+        versions.discard(spark, paths.raw, place)
+        raise
+    versions.publish(spark, paths.raw, place)
     return files.read_transactions(spark, paths.raw)
 
 
@@ -46,15 +50,17 @@ def detect(
 ) -> dict:
     """Score the stored transactions; write scored rows, profiles and a run record.
 
-    The windows run once: profiles and counts read the written table.
+    The windows run once: profiles and counts read the written table. Readers see
+    each table's old rows until its new ones are complete; ``purge`` removes versions
+    that are no longer read.
     """
     codes = reference_set.live_codes(spark, paths.reference_set)
     txn = files.read_transactions(spark, paths.raw)
     fit_session(txn, scale)
-    tables.write_parquet(score_transactions(txn, rules, scale, codes=codes), paths.scored)
+    versions.replace(score_transactions(txn, rules, scale, codes=codes), paths.scored)
     scored = files.read_parquet(spark, paths.scored)
     profile = reports.customer_risk_profile(scored, rules, ordered=False)
-    tables.write_parquet(profile, paths.customer_risk)
+    versions.replace(profile, paths.customer_risk)
     run_id = run_id or datetime.now(timezone.utc).strftime("run_%Y%m%d_%H%M%S")
     counts = reports.alert_rate(scored, rules).select(
         F.col("total").alias("record_count"), F.col("alerts").alias("alert_count")
@@ -63,6 +69,13 @@ def detect(
     return run_log.find_run(spark, paths.run_log, run_id)
 
 
+def purge(spark: SparkSession, paths: Paths, keep: int = 2) -> dict[str, int]:
+    """Delete older versions of the stored tables and expired run records; how many went of each."""
+    tables_ = {name: getattr(paths, name) for name in ("raw", "scored", "customer_risk", "reference_set")}
+    gone = {name: versions.purge(spark, path, keep) for name, path in tables_.items()}
+    return {**gone, "run_log": run_log.purge_runs(spark, paths.run_log)}
+
+
 def export(spark: SparkSession, paths: Paths, rules: Rules = Rules(), files_out: int | None = None) -> dict:
     """Write the alert queue and the customer profiles; returns the alert rate.
 

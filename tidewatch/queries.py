@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.config import MODEL_FEATURES, Rules, Scale
@@ -146,6 +146,19 @@ def _detected_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.source_table(spark, "alert_queue", name)
 
 
+def _recursive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in nested folders: each row with its file's place among the sorted paths and its own place in the file."""
+    root = work_folder(spark, "nested")
+    events = EVENTS(spark, sf_dir).select("transaction_id", "amount", "currency", "channel")
+    nested = events.withColumns({"c1": F.col("currency"), "c2": F.col("channel")})
+    dealt = nested.repartition("c1", "c2").sortWithinPartitions("c1", "c2", "transaction_id")
+    dealt.write.partitionBy("c1", "c2").parquet(root)
+    rows = files.read_in_order(spark, root)
+    names = rows.select("file").distinct()
+    ranked = names.select("file", F.row_number().over(Window.orderBy("file")).alias("file_place"))  # one row a file
+    return rows.join(ranked, "file").select("transaction_id", "amount", "file_place", F.col("row").alias("row_place"))
+
+
 def _partitioned_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "alert-mart")
     tables.write_by_day(D.mart_alert_queue(EVENTS(spark, sf_dir), RULES), path, "transaction_timestamp")
@@ -568,6 +581,7 @@ def relational_queries() -> dict[str, Query]:
         # scans, sinks, staging
         "scan_transactions": _on(ALL_EVENTS, lambda t: t.select(*RAW_COLUMNS)),
         "scan_scored": _scored_rescan,
+        "scan_nested_files": _recursive_scan,
         "sink_parquet_roundtrip": _alerts_roundtrip,
         "load_typed_table": _typed_table,
         "load_detected_table": _detected_table,
@@ -638,6 +652,7 @@ def relational_queries() -> dict[str, Query]:
         "monthly_trend_top": _scored(lambda s: R.monthly_trend(s).limit(12), ORDERS),
         "daily_alerts": _scored(R.daily_alerts),
         "score_histogram": _scored(R.score_histogram),
+        "amount_histogram": _scored(lambda s: R.histogram(s, "rolling_7d_amount", by=["risk_tier"])),
         "overview_kpis": _scored(R.overview_kpis),
         "high_tier_top10": _scored(R.high_tier_top),
         "top_flagged": _scored(R.top_flagged),

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.sinks.versions import delete
+
 TTL_SECONDS = 86_400
 _SCHEMA = (
     "run_id string, record_count long, alert_count long, status string, "
@@ -38,6 +40,25 @@ def live_runs(spark: SparkSession, path: str) -> DataFrame:
     return runs.where(F.col("expires_at") > F.current_timestamp())
 
 
+def purge_runs(spark: SparkSession, path: str) -> int:
+    """Delete the files whose every record has expired, but the newest; returns how many went.
+
+    A record is a file of its own and never changes, so readers see no other difference.
+    """
+    try:
+        runs = spark.read.schema(_SCHEMA).parquet(path)
+    except AnalysisException:
+        return 0
+    by_file = runs.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.max("expires_at").alias("expires_at"), F.max("timestamp").alias("timestamp")
+    )
+    newest = by_file.agg(F.max_by("file", "timestamp")).first()[0]
+    gone = by_file.where((F.col("expires_at") <= F.current_timestamp()) & (F.col("file") != newest)).collect()
+    for row in gone:  # one short record a run
+        delete(spark, row.file)
+    return len(gone)
+
+
 def find_run(spark: SparkSession, path: str, run_id: str) -> dict:
     """All fields of the newest record of a run, or an empty dict."""
     try:

@@ -6,9 +6,11 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewatch.schema import TRANSACTIONS
+from tidewatch.sinks import versions
 
 
 def read_parquet(
@@ -19,9 +21,12 @@ def read_parquet(
     ``recursive`` takes all files below the folder instead, whatever the names
     of the folders between.
 
+    A table that is replaced in versions (``sinks.versions``) is read as last published.
+
     Raises FileNotFoundError when there is nothing to read. Without ``schema``
     the types come from the file footers.
     """
+    path = versions.resolve(spark, path) or path
     reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -63,6 +68,22 @@ def transactions_from_rows(spark: SparkSession, rows: Iterable) -> DataFrame:
     return spark.createDataFrame(list(rows), TRANSACTIONS)
 
 
+def read_in_order(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """All rows with their place: ``file``, the path of their file, and ``row``, their number in it.
+
+    Ordering by (``file``, ``row``) gives the rows as reading the sorted files one after the other
+    does. The places come with the rows from the scan; no listing is gathered here, and
+    nothing is sorted until a caller asks for it.
+    """
+    found = read_parquet(spark, path, recursive=recursive)
+    taken = {c.lower() for c in found.columns}
+    if taken & {"file", "row"}:
+        raise ValueError("the files have columns named file or row")
+    return found.select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+
+
 def source_table(spark: SparkSession, name: str, database: str | None = None) -> DataFrame:
     """A declared catalog table or view."""
     return spark.table(f"`{database}`.`{name}`" if database else f"`{name}`")
