@@ -488,6 +488,9 @@ from (select * from scored where risk_score >= 25 order by risk_score desc, amou
         "count(*) filter (where risk_score < 25) as violations from queue"
     )
 
+    parts = [sql[f"test_{kind}"].removeprefix(models) for kind in ("not_null", "unique", "accepted_values", "alert_min_score")]
+    sql["test_all_models"] = models + " union all ".join(parts)
+
     sql["scan_nested_files"] = f"""with txn as ({ev})
 select transaction_id, amount, cast(dense_rank() over (order by currency, channel) as integer) as file_place,
   row_number() over (partition by currency, channel order by transaction_id) - 1 as row_place

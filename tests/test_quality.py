@@ -66,3 +66,37 @@ def test_data_tests_report_and_raise(frame):
 def test_minimum_score(spark):
     alerts = spark.createDataFrame([(25,), (24,)], "risk_score int")
     assert Q.minimum_score(alerts, 25).first().violations == 1
+
+
+def test_compiled_tests_equal_the_single_ones(spark):
+    rows = [(1, "a", 5), (1, "b", None), (2, None, 30), (None, "c", 10), (3, "a", 40), (3, "c", 40), (None, "c", 20)]
+    model = spark.createDataFrame(rows, "id int, tier string, score int").repartition(3)
+    tests = [
+        Q.DataTest("n", "not_null", "id"),
+        Q.DataTest("u", "unique", "id"),
+        Q.DataTest("u2", "unique", "tier"),
+        Q.DataTest("a", "accepted", "tier", ("a", "b")),
+        Q.DataTest("l", "least", "score", (25,)),
+    ]
+    single = Q.together(
+        [
+            Q.not_null(model, "m", ("id",)),
+            Q.unique(model, "m", "id"),
+            Q.unique(model, "m", "tier"),
+            Q.accepted_values(model, "m", "tier", ("a", "b")),
+        ]
+    )
+    want = [r.violations for r in single.collect()] + [3]
+    assert [tuple(r) for r in Q.compiled(model, tests).collect()] == list(zip("n u u2 a l".split(), want))
+    assert [r.violations for r in Q.compiled(model.limit(0), tests).collect()] == [0] * 5
+    with pytest.raises(ValueError):
+        Q.DataTest("x", "odd", "id").finding()
+
+
+def test_compiled_tests_scan_a_model_once(spark, sf_dir):
+    from tidewatch.queries import TESTS
+
+    stored = spark.read.parquet(f"{sf_dir}/events.parquet")
+    named = stored.selectExpr("cast(event_id as string) transaction_id", "cast(user_id as string) customer_id", "value amount", "event_type channel")
+    plan = Q.compiled(named, TESTS["source"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import CRITICAL_COLUMNS
@@ -105,6 +106,56 @@ def minimum_score(alerts: DataFrame, threshold: int) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class DataTest:
+    """A declared test of one column. ``kind``: not_null; unique; accepted (of ``values``);
+    least (``values`` holds the one bound). ``name`` is the test's in the results."""
+
+    name: str
+    kind: str
+    column: str
+    values: tuple = ()
+
+    def finding(self) -> Column:
+        """What a row adds to the test: a value to be counted, or null."""
+        value = F.col(self.column)
+        text = value.cast("string")
+        if self.kind == "not_null":
+            return F.when(value.isNull(), F.lit(""))
+        if self.kind == "unique":
+            return text
+        if self.kind == "accepted":
+            return F.when(~value.isin(*self.values), text)
+        if self.kind == "least":
+            return F.when(value < self.values[0], F.lit(""))
+        raise ValueError(f"unknown kind of test {self.kind!r}")
+
+
+def compiled(model: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
+    """All tests of a model from one scan and one shuffle: test_name, violations.
+
+    Each row unfolds to what it adds to the tests (for most tests nothing), which is counted by
+    test and value. Counts combine where the rows are read, so a value with very many rows
+    costs one row a task.
+    """
+    cells = [F.struct(F.lit(k).alias("test"), t.finding().alias("value")) for k, t in enumerate(tests)]
+    found = model.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    counted = found.groupBy("test", "value").agg(F.count(F.lit(1)).alias("n"))
+    wide = counted.agg(*[_of_test(t, k) for k, t in enumerate(tests)])
+    rows = ", ".join(f"'{t.name}', v{k}" for k, t in enumerate(tests))
+    return wide.selectExpr(f"stack({len(tests)}, {rows}) as (test_name, violations)")
+
+
+def _of_test(test: DataTest, k: int) -> Column:
+    """A test's violations from the number of rows of each value found."""
+    n = F.when(F.col("test") == k, F.col("n"))
+    if test.kind == "unique":
+        total = F.count_if(n > 1)
+    else:
+        total = F.count(n) if test.kind == "accepted" else F.coalesce(F.sum(n), F.lit(0))
+    return total.cast("long").alias(f"v{k}")
+
+
 def together(tests: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tests)
 

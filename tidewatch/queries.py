@@ -221,41 +221,43 @@ def _stored_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, path)
 
 
-def _test_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    txn, model = ALL_EVENTS(spark, sf_dir), _stored_model(spark, sf_dir)
-    return Q.together(
-        [
-            Q.not_null(txn, "source", _CORE, also=("staging",)),  # staging has the same columns
-            Q.not_null(D.alert_mart(model, RULES), "alert_queue", ("transaction_id", "risk_score")),
-            Q.not_null(D.customer_mart(model), "customer_profile", ("customer_id", "max_risk_score")),
-        ]
-    )
-
-
-def _test_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    txn, model = ALL_EVENTS(spark, sf_dir), _stored_model(spark, sf_dir)
-    return Q.together(
-        [
-            Q.unique(txn, "source", "transaction_id"),
-            Q.unique(D.staged(txn), "staging", "transaction_id"),
-            Q.unique(D.customer_mart(model), "customer_profile", "customer_id"),
-            # Fails on purpose: customers have many transactions.
-            Q.unique(txn, "raw_customer", "customer_id"),
-        ]
-    )
-
-
-def _test_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    txn, model = ALL_EVENTS(spark, sf_dir), _stored_model(spark, sf_dir)
-    levels = ("Critical", "High", "Medium", "Low")
-    return Q.together(
-        [
-            Q.accepted_values(D.alert_mart(model, RULES), "alert_queue", "risk_tier", ("HIGH", "MEDIUM")),
-            Q.accepted_values(D.customer_mart(model), "customer_profile", "risk_tier", levels),
-            # Fails on purpose: the table has further channels.
-            Q.accepted_values(txn, "raw_channel", "channel", ("click", "view")),
-        ]
-    )
+_LEVELS = ("Critical", "High", "Medium", "Low")
+#: The declared tests of each model. Staging has the rows and columns of the source.
+TESTS = {
+    "source": [
+        *[Q.DataTest(f"not_null_{m}_{c}", "not_null", c) for m in ("source", "staging") for c in _CORE],
+        *[Q.DataTest(f"unique_{m}_transaction_id", "unique", "transaction_id") for m in ("source", "staging")],
+        # Two that fail on purpose: customers have many transactions, and there are further channels.
+        Q.DataTest("unique_raw_customer_customer_id", "unique", "customer_id"),
+        Q.DataTest("accepted_values_raw_channel_channel", "accepted", "channel", ("click", "view")),
+    ],
+    "alert_queue": [
+        *[Q.DataTest(f"not_null_alert_queue_{c}", "not_null", c) for c in ("transaction_id", "risk_score")],
+        Q.DataTest("accepted_values_alert_queue_risk_tier", "accepted", "risk_tier", ("HIGH", "MEDIUM")),
+        Q.DataTest("alert_queue_min_score", "least", "risk_score", (RULES.alert_threshold,)),
+    ],
+    "customer_profile": [
+        *[Q.DataTest(f"not_null_customer_profile_{c}", "not_null", c) for c in ("customer_id", "max_risk_score")],
+        Q.DataTest("unique_customer_profile_customer_id", "unique", "customer_id"),
+        Q.DataTest("accepted_values_customer_profile_risk_tier", "accepted", "risk_tier", _LEVELS),
+    ],
+}
+
+
+def _data_tests(kinds: tuple[str, ...]) -> Query:
+    """The declared tests of some kinds, each model scanned once."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        stored = _stored_model(spark, sf_dir)
+        models = {
+            "source": ALL_EVENTS(spark, sf_dir),
+            "alert_queue": D.alert_mart(stored, RULES),
+            "customer_profile": D.customer_mart(stored),
+        }
+        wanted = {name: [t for t in tests if t.kind in kinds] for name, tests in TESTS.items()}
+        return Q.together([Q.compiled(models[name], tests) for name, tests in wanted.items() if tests])
+
+    return run
 
 
 # --- rank metrics ----------------------------------------------------------
@@ -662,9 +664,10 @@ def relational_queries() -> dict[str, Query]:
         "dq_invalid_amounts": _raw_amounts,
         "dq_duplicates": _repeated_users,
         "dq_gate": _on(ALL_EVENTS, Q.gate_report),
-        "test_not_null": _test_not_null,
-        "test_unique": _test_unique,
-        "test_accepted_values": _test_accepted_values,
+        "test_not_null": _data_tests(("not_null",)),
+        "test_unique": _data_tests(("unique",)),
+        "test_accepted_values": _data_tests(("accepted",)),
+        "test_all_models": _data_tests(("not_null", "unique", "accepted", "least")),
         "test_alert_min_score": _on(
             EVENTS, lambda t: Q.minimum_score(D.mart_alert_queue(t, RULES), RULES.alert_threshold)
         ),
