@@ -60,6 +60,27 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def pack(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """``df`` with its columns ``needed`` and all others in one struct, and the way back.
+
+    Whatever names a step uses in between, it cannot meet one of the table's own. The
+    way back takes the step's result and the names of its new columns: it gives the table's
+    columns as they were, without those that a new one replaces, and the new ones.
+    """
+    others = [c for c in df.columns if c not in needed]
+    held = F.struct(F.lit(0).alias(fresh(df, "_")), *[F.col(f"`{c}`") for c in others])
+    packed = df.select(*needed, *([held.alias("_packed")] if others else []))
+
+    def unpack(done: DataFrame, *new: str) -> DataFrame:
+        replaced = {c.lower() for c in new}
+        own = [c for c in df.columns if c.lower() not in replaced]
+        return done.select(
+            *[F.col(c) if c in needed else F.col("_packed").getField(c).alias(c) for c in own], *new
+        )
+
+    return packed, unpack
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewatch.llm.common import fold, fresh, map_arrow, table
+from tidewatch.llm.common import fold, fresh, map_arrow, pack, small, stored, table
 from tidewatch.llm.words import slices, text_bytes
 
 WINDOW = 256
@@ -26,12 +26,11 @@ class Training:
     """Bounds of the labelled sample, and how the network is fitted to it.
 
     At most ``documents`` for each language with at most ``windows`` windows
-    each, for at most ``languages`` languages (the most frequent).
+    each. Every language is learned; with more than four, ``steps`` grow in proportion.
     """
 
     documents: int = 400
     windows: int = 6
-    languages: int = 200
     embedding: int = 6
     filters: int = 12
     steps: int = 500
@@ -105,7 +104,8 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], how: Tr
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
     of_language = [np.flatnonzero(labels == k) for k in range(len(languages))]
-    for step in range(1, how.steps + 1):
+    steps = how.steps * max(4, len(languages)) // 4
+    for step in range(1, steps + 1):
         target = rng.integers(0, len(languages), how.batch)
         batch = windows[[rng.choice(of_language[t]) for t in target]].copy()
         for row in np.flatnonzero(rng.random(how.batch) < 1 / 3):
@@ -135,7 +135,7 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], how: Tr
             active.T @ error,
             error.sum(0),
         ]
-        rate = how.rate * min(1.0, 2 * (1 - step / (how.steps + 1)))
+        rate = how.rate * min(1.0, 2 * (1 - step / (steps + 1)))
         for p, g, a, b in zip(params, gradients, first, second):
             a += 0.1 * (g - a)
             b += 0.01 * (g * g - b)
@@ -170,10 +170,10 @@ def training_windows(labelled: DataFrame, how: Training) -> DataFrame:
     stay. Windows of a document are spread evenly over its length.
     """
     usable = labelled.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(how.languages)
-    counts = counts.select(F.col("lang").alias("_lang"), F.col("count").alias("_count"))
+    counts = stored(usable.groupBy("lang").agg(F.count("*").alias("_count")), "language-counts")
+    counts = counts.select(F.col("lang").alias("_lang"), "_count")
     share = F.lit(2.0 * how.documents) / F.col("_count") * 2.0**63
-    passed = usable.join(F.broadcast(counts), F.col("lang") == F.col("_lang")).where(
+    passed = usable.join(small(counts), F.col("lang") == F.col("_lang")).where(
         F.shiftright(_hash("pick"), 1).cast("double") + 2.0**62 <= share
     )
     first = Window.partitionBy("lang").orderBy(_hash("pick"), "doc_id")
@@ -220,7 +220,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
     order. Each row is judged alone, so repeated rows agree and an empty table
     stays empty.
     """
-    kept = docs.drop("lang_pred", "score")
+    kept, unpack = pack(docs, "text")
     letter = fresh(kept, "_letter")
     marked = kept.withColumn(letter, has_letter(F.col("text")))
     place = marked.columns.index("text")
@@ -254,7 +254,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
                     fields,
                 )
 
-    return map_arrow(marked, run, schema)
+    return unpack(map_arrow(marked, run, schema), "lang_pred", "score")
 
 
 def identify(docs: DataFrame, how: Training = Training(), held_out: int = 1, folds: int = 3) -> DataFrame:

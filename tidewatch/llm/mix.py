@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import WORD, stored, table
+from tidewatch.llm.common import fresh, WORD, stored, table
 
 #: Copies are counted in units of 2**-20, so that prefix sums are exact integers.
 UNIT = 1 << 20
@@ -90,7 +90,7 @@ def mix_copies(
     from null.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text", "source")]
-    rows = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias("_"), *others).alias("rest"))
+    rows = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias(fresh(docs, "_")), *others).alias("rest"))
     hashed = F.md5(F.concat_ws(" ", F.lit(seed), F.col("doc_id").cast("string")).cast("binary"))
     placed = (
         rows.withColumn("size", word_count(F.col("text")))
@@ -136,7 +136,7 @@ def mix_copies(
 def mix(docs: DataFrame, **parameters) -> DataFrame:
     """The mixed table: each row of ``docs`` as often as it is taken, same columns."""
     others = [c for c in docs.columns if c not in ("doc_id", "text", "source")]
-    packed = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias("_"), *others).alias("rest"))
+    packed = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias(fresh(docs, "_")), *others).alias("rest"))
     taken = mix_copies(packed, **parameters).where("copies > 0")
     repeated = taken.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
     return repeated.select(*[F.col(f"rest.`{c}`").alias(c) if c in others else F.col(c) for c in docs.columns])

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import SEPARATORS, table
+from tidewatch.llm.common import SEPARATORS, pack, table
 
 SYMBOLS = "[#*$%&|<>]"
 #: Frequent function words of the languages served; sentence-initial capitals are not counted.
@@ -56,7 +56,7 @@ def measure(docs: DataFrame, window: int = 8) -> DataFrame:
     a neighbour are put in order of place, and each covers the words up to the
     next one, ``window`` at most. Input columns of these names are replaced.
     """
-    bare = docs.drop(*MEASURES)
+    bare, unpack = pack(docs, "text")
     separators = F.lit(SEPARATORS)
     words = F.when(F.btrim("text", separators) == "", F.array().cast("array<string>")).otherwise(
         F.split(F.btrim("text", separators), r"[\x20\x09-\x0D]+")
@@ -113,7 +113,7 @@ def measure(docs: DataFrame, window: int = 8) -> DataFrame:
         "n_ellipsis_lines": F.size(F.filter("_lines", lambda x: x.rlike(r"(\.\.\.|…)\s*$"))),
         "n_repeat_words": F.coalesce(covered, F.lit(0)),
     }
-    return places.select(*bare.columns, *[c.cast("long").alias(n) for n, c in counts.items()])
+    return unpack(places.select(*bare.columns, *[c.cast("long").alias(n) for n, c in counts.items()]), *MEASURES)
 
 
 MEASURES = (

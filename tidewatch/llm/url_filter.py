@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import small, stored, table
+from tidewatch.llm.common import pack, small, stored, table
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: (verdict, host, path) of the registered query.
@@ -54,7 +54,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     rule fits. Repeated rows are judged alike; an empty table or an empty rule
     list gives no rule anywhere.
     """
-    kept = pages.drop("host", "path", "rule", "verdict")
+    kept, unpack = pack(pages, "url")
     host, path = host_and_path(F.col("url"))
     split = kept.select("*", host.alias("host"), path.alias("path"))
     digest = lambda text: F.sha2(text, 256)
@@ -96,13 +96,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     found = confirmed.groupBy("host", "path").agg(
         F.max_by(F.struct("rule", "rule_verdict"), order).alias("won")
     )
-    return split.join(found, ["host", "path"], "left").select(
+    judged = split.join(found, ["host", "path"], "left").select(
         *[F.col(c) for c in kept.columns],
         "host",
         "path",
         F.col("won.rule").alias("rule"),
         F.coalesce("won.rule_verdict", F.lit(default)).alias("verdict"),
     )
+    return unpack(judged, "host", "path", "rule", "verdict")
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
