@@ -174,3 +174,15 @@ def test_prose_copies(spark):
 def test_hash_mix_is_a_bijection():
     values = np.arange(1 << 16, dtype=np.uint64)
     assert len(np.unique(splitmix(values))) == len(values)
+
+
+def test_documents_without_ids_meet_by_their_sets(spark):
+    """Each such document is made again once, not once for every other one."""
+    rows = [(None, prose(k % 40, 60), "x") for k in range(120)] + [(k, prose(k, 60) + " more", "x") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, set_id string").repartition(3)
+    job = jj.JaccardJoin(docs, 4, jj.Threshold(percent=85))
+    ids = sorted({r.set_id for r in job.described.where("doc_id is null").collect()})
+    pairs = spark.createDataFrame([(a, b) for a, b in zip(ids, ids[1:])], "a long, b long")
+    assert job.made(pairs, jj.histogram, "test-made").count() == len(ids) == 40
+    out = jj.join_documents(docs)
+    assert out.count() == 160

@@ -48,6 +48,6 @@ def test_last_two_stages_mix(spark):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    assert {"pipeline"} | {f"op{k}_" for k in range(1, 11)} == {
+    assert {"pipeline"} | {f"op{k}_" for k in range(1, 14)} == {
         n if n == "pipeline" else n[: n.index("_") + 1] for n in names if n == "pipeline" or n.startswith("op") and n[2].isdigit()
     }

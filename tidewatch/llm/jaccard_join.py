@@ -105,9 +105,14 @@ def _wide(shingles: np.ndarray, starts: np.ndarray) -> pa.Array:
     return pa.array(out, pa.list_(pa.int64()))
 
 
-def _add_sketches(rows: pa.Table) -> pa.Table:
-    total = sum(unpack(x.as_py(), np.int32).astype(np.int64) for x in rows.column("counts"))
-    return pa.table({"part": rows.column("part")[:1], "counts": pa.array([pack(total)], pa.binary())})
+def _add_sketches(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of one part of all tasks' sketches, a batch at a time."""
+    total = np.zeros(SKETCH_PART, np.int64)
+    for batch in batches:
+        for x in batch.column("counts"):
+            total += unpack(x.as_py(), np.int32)
+    columns = [pa.array([key[0].as_py()], pa.int32()), pa.array([pack(total)], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, ["part", "counts"])
 
 
 def _sign(size: int, threshold: Threshold, sketch, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,10 +294,16 @@ class JaccardJoin:
     def made(self, pairs: DataFrame, pack_set: Callable, name: str) -> DataFrame:
         """Stored content of all sets in ``pairs`` (a, b), made again from one text each."""
         wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-        key = F.coalesce("doc_id", F.lit(-(2**63)))
         chosen = self.described.select("doc_id", "set_id").join(wanted, "set_id").groupBy("set_id")
-        chosen = small(stored(chosen.agg(F.min(key).alias("_key")), "jaccard-wanted"), 500_000)
-        texts = self.docs.withColumn("_key", key).join(chosen, "_key").select("text", "set_id")
+        chosen = stored(chosen.agg(F.min("doc_id").alias("_key")), "jaccard-wanted")
+        by_id = small(chosen.where("_key is not null"), 500_000)
+        texts = self.docs.join(by_id, F.col("doc_id") == F.col("_key")).select("text", "set_id")
+        # sets that only documents without an id have: those documents meet them by the set's name
+        nameless = self.docs.where("doc_id is null")
+        schema = StructType([*nameless.schema.fields, StructField("set_id", LongType())])
+        named = map_arrow(nameless, partial(_with_set_id, self.size, 1, ["doc_id", "text", "set_id"]), schema)
+        bare = small(chosen.where("_key is null").select("set_id"), 500_000)
+        texts = texts.unionAll(named.join(bare, "set_id", "left_semi").select("text", "set_id"))
         packed = map_arrow(texts, partial(_made, self.size, pack_set), CONTENT)
         return stored(packed.groupBy("set_id").agg(F.first("content").alias("content")), name)
 
