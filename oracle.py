@@ -629,7 +629,33 @@ def _generated() -> dict[str, str]:
   {{time}} as timestamp, {suspicious} as is_flagged_source
 from (select event_id as id, ts from events)"""
     start = f"timestamp '{G.YEAR_START}'"
+    # The log-normal variant with the open window: rows of the last seven days up to the row itself.
+    normal = f"sqrt(-2 * ln(1 - {_draw('amount/r')})) * cos(2 * pi() * {_draw('amount/a')})"
+    floor_, ceiling = G.LOG_BOUNDS
+    near_low, near_high = G.LOG_NEAR_LIMIT
+    spread = f"least(greatest(exp({G.LOG_MEAN} + {G.LOG_DEVIATION} * {normal}), {floor_}), {ceiling})"
+    capped = f"{near_low} + ({near_high} - {near_low}) * {_draw('near amount')}"
+    lognormal = f"""select {_code('TXN_', 'id', 6)} as transaction_id,
+  {_code('CUST_', _below(G.LOG_CUSTOMERS, 'customer'), 4)} as customer_id,
+  {start} + to_microseconds({_below(G.LOG_DAYS * 86_400 * 1_000_000, 'time')}) as timestamp,
+  {r2(f"case when {_draw('near')} < {G.LOG_NEAR_LIMIT_RATE} then {capped} else {spread} end")} as amount,
+  'EUR' as currency, {_pick_weighted(G.WEIGHTED_CHANNELS, 'channel')} as channel,
+  {_pick_weighted(G.WEIGHTED_COUNTRIES, 'from')} as originator_country,
+  {_pick_weighted(G.WEIGHTED_COUNTRIES, 'to')} as beneficiary_country
+from (select event_id as id from events)"""
+    in_window = "range between unbounded preceding and 604800000000 preceding"
+    closed = """    sum(d) over w7 as roll_d,
+    count(*) over w7 as rolling_7d_count,
+"""
+    opened = f"""    sum(d) over wc - coalesce(sum(d) over (partition by customer_id order by us {in_window}), 0) as roll_d,
+    count(*) over wc - count(*) over (partition by customer_id order by us {in_window}) as rolling_7d_count,
+"""
+    whole = score(lognormal, "gap_e").replace(closed, opened)
+    whole = whole.replace("select *, epoch_us(timestamp) // 1000000 as s,", "select *, epoch_us(timestamp) as us, epoch_us(timestamp) // 1000000 as s,")
     return {
+        "gen_transactions_lognormal": f"""{whole}
+select transaction_id, customer_id, timestamp, amount, currency, channel, originator_country, beneficiary_country,
+  {CALENDAR}, involves_high_risk_country, {HISTORY}, {FLAGS}, flag_count, risk_score, risk_tier from scored""",
         "gen_transactions": plain.format(time=f"{start} + to_seconds({_below(G.YEAR_DAYS * 86_400, 'time')})"),
         "gen_transactions_recent": plain.format(time=f"ts - to_seconds({_below(31, 'time')})"),
     }

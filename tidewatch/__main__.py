@@ -37,6 +37,8 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--create-database", action="store_true")
     countries = jobs.add_parser("countries", help="replace the stored high-risk country codes")
     countries.add_argument("codes", nargs="*", default=list(HIGH_RISK_COUNTRIES))
+    purge = jobs.add_parser("purge", help="delete older versions of stored tables and expired records")
+    purge.add_argument("--keep", type=int, default=2)
     stream = jobs.add_parser("stream", help="score messages from Kafka, or from text files")
     stream.add_argument("--folder", default=None)
     produce = jobs.add_parser("produce", help="send synthetic messages to Kafka, or to text files")
@@ -67,6 +69,8 @@ def run(argv: list[str] | None = None):
         )
     if args.job == "countries":
         return reference_set.replace_codes(spark, paths.reference_set, args.codes)
+    if args.job == "purge":
+        return pipeline.purge(spark, paths, args.keep)
     if args.job == "produce":
         txn = producer.synthetic_stream(spark, settings)
         checkpoint = f"{settings.checkpoint}/producer"

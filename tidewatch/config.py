@@ -7,6 +7,7 @@ plan-building functions take them as arguments and hold no other state.
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from types import MappingProxyType
 
@@ -61,6 +62,30 @@ FLAG_TITLES = MappingProxyType(
         "flag_rapid_succession": "Rapid Succession",
     }
 )
+# Interface names: the environment variables that users set, with their defaults, and the topic.
+PATH_VARIABLES = MappingProxyType(
+    {
+        "raw": ("AML_RAW_PATH", "data/raw/transactions"),
+        "scored": ("AML_SCORED_PATH", "data/processed/txn_scored"),
+        "customer_risk": ("AML_CUST_RISK_PATH", "data/processed/customer_risk"),
+        "alerts_out": ("AML_ALERT_OUT_PATH", "output/alert_queue"),
+        "customer_risk_out": ("AML_CUST_RISK_OUT_PATH", "output/customer_risk_profiles"),
+        "output_dir": ("AML_OUTPUT_DIR", "output"),
+        "run_log": ("AML_RUN_LOG_PATH", "output/run_log"),
+        "reference_set": ("AML_REFERENCE_SET_PATH", "data/reference/high_risk_countries"),
+    }
+)
+STREAM_VARIABLES = MappingProxyType(
+    {
+        "bootstrap_servers": ("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092"),
+        "output": ("STREAMING_ALERT_OUTPUT", "output/streaming_alerts"),
+        "checkpoint": ("STREAMING_CHECKPOINT", "output/streaming_checkpoints"),
+        "trigger_interval": ("TRIGGER_INTERVAL", "10 seconds"),
+        "producer_interval": ("PRODUCER_INTERVAL", "0.5"),
+    }
+)
+THRESHOLD_VARIABLE = ("AML_ALERT_THRESHOLD", "25")
+TOPIC = "aml_transactions"
 # ---------------------------------------------------------------------------
 
 
@@ -111,46 +136,37 @@ class Scale:
     max_scan_tasks: int = 200_000
 
 
+def _setting(variables: Mapping[str, tuple[str, str]], name: str, kind: type = str):
+    """A field that takes its value from the environment when an object is made."""
+    return field(default_factory=lambda: kind(os.environ.get(*variables[name])))
+
+
 @dataclass(frozen=True)
 class Paths:
     """Where the batch jobs read and write; each falls back to a default."""
 
-    raw: str = field(default_factory=lambda: os.environ.get("AML_RAW_PATH", "data/raw/transactions"))
-    scored: str = field(default_factory=lambda: os.environ.get("AML_SCORED_PATH", "data/processed/txn_scored"))
-    customer_risk: str = field(
-        default_factory=lambda: os.environ.get("AML_CUST_RISK_PATH", "data/processed/customer_risk")
-    )
-    alerts_out: str = field(default_factory=lambda: os.environ.get("AML_ALERT_OUT_PATH", "output/alert_queue"))
-    customer_risk_out: str = field(
-        default_factory=lambda: os.environ.get("AML_CUST_RISK_OUT_PATH", "output/customer_risk_profiles")
-    )
-    output_dir: str = field(default_factory=lambda: os.environ.get("AML_OUTPUT_DIR", "output"))
-    run_log: str = field(default_factory=lambda: os.environ.get("AML_RUN_LOG_PATH", "output/run_log"))
-    reference_set: str = field(
-        default_factory=lambda: os.environ.get("AML_REFERENCE_SET_PATH", "data/reference/high_risk_countries")
-    )
+    raw: str = _setting(PATH_VARIABLES, "raw")
+    scored: str = _setting(PATH_VARIABLES, "scored")
+    customer_risk: str = _setting(PATH_VARIABLES, "customer_risk")
+    alerts_out: str = _setting(PATH_VARIABLES, "alerts_out")
+    customer_risk_out: str = _setting(PATH_VARIABLES, "customer_risk_out")
+    output_dir: str = _setting(PATH_VARIABLES, "output_dir")
+    run_log: str = _setting(PATH_VARIABLES, "run_log")
+    reference_set: str = _setting(PATH_VARIABLES, "reference_set")
 
 
 @dataclass(frozen=True)
 class StreamSettings:
     """Stream consumer and producer settings."""
 
-    topic: str = "aml_transactions"
-    bootstrap_servers: str = field(
-        default_factory=lambda: os.environ.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092")
-    )
-    output: str = field(
-        default_factory=lambda: os.environ.get("STREAMING_ALERT_OUTPUT", "output/streaming_alerts")
-    )
-    checkpoint: str = field(
-        default_factory=lambda: os.environ.get("STREAMING_CHECKPOINT", "output/streaming_checkpoints")
-    )
-    trigger_interval: str = field(default_factory=lambda: os.environ.get("TRIGGER_INTERVAL", "10 seconds"))
-    producer_interval: float = field(
-        default_factory=lambda: float(os.environ.get("PRODUCER_INTERVAL", "0.5"))
-    )
+    topic: str = TOPIC
+    bootstrap_servers: str = _setting(STREAM_VARIABLES, "bootstrap_servers")
+    output: str = _setting(STREAM_VARIABLES, "output")
+    checkpoint: str = _setting(STREAM_VARIABLES, "checkpoint")
+    trigger_interval: str = _setting(STREAM_VARIABLES, "trigger_interval")
+    producer_interval: float = _setting(STREAM_VARIABLES, "producer_interval", float)
 
 
 def rules_from_env() -> Rules:
     """Default rules with the alert threshold taken from the environment."""
-    return Rules(alert_threshold=int(os.environ.get("AML_ALERT_THRESHOLD", "25")))
+    return Rules(alert_threshold=int(os.environ.get(*THRESHOLD_VARIABLE)))
