@@ -550,12 +550,18 @@ select cast(fold as integer) as fold, label, count(*) as "count" from folds grou
 select transaction_id, label, true as in_range, true as class_follows from parted where part = 'test'"""
     sql["ml_shap_checks"] = f"""{split}
 select transaction_id, true as adds_up, 10 as features from parted where part = 'test'"""
-    checks = (
-        "auc_is_high gini_from_auc f1_from_precision_and_recall cells_add_up reloaded_model_is_the_same "
-        "importance_of_every_feature three_rows_explained_by_every_feature cross_validated_auc_is_high "
-        "attribution_of_every_feature report_covers_test_rows curve_ends_at_one histogram_covers_test_rows"
-    ).split()
-    sql["ml_checks"] = " union all ".join(f"select '{name}' as check_name, true as ok" for name in checks)
+    checks = {
+        "ml_metrics_checks": "auc_is_high gini_from_auc f1_from_precision_and_recall cells_add_up",
+        "ml_reload_checks": "reloaded_model_is_the_same",
+        "ml_importance_checks": "importance_of_every_feature gains_add_up_to_one",
+        "ml_explanation_checks": "three_rows_explained_by_every_feature explained_rows_are_the_riskiest",
+        "ml_cv_checks": "cross_validated_auc_is_high cross_validated_gini_from_auc",
+        "": "attribution_of_every_feature report_covers_test_rows curve_ends_at_one histogram_covers_test_rows",
+    }
+    for key, names in [*checks.items(), ("ml_checks", " ".join(checks.values()))]:
+        if key:
+            rows = [f"select '{name}' as check_name, true as ok" for name in names.split()]
+            sql[key] = " union all ".join(rows)
 
     # stream and messages
     sql["decode_events_json"] = (

@@ -392,33 +392,71 @@ def _scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What must hold of any fitted model, one row a check."""
-    evaluated = M.evaluate(_predictions(spark, sf_dir))
-    again = _reloaded(spark, sf_dir)
-    m = evaluated.first().asDict()
-    near = lambda a, b: abs(a - b) < 1e-9
-    p, r = m["precision"], m["recall"]
-    explained = _explained(spark, sf_dir).groupBy("rank").count().collect()
-    importance = _importance(spark, sf_dir)
-    n_test = m["n_test"]
+def _near(a: float, b: float) -> bool:
+    return abs(a - b) < 1e-9
+
+
+def _metrics_checks(spark: SparkSession, sf_dir: str) -> dict[str, bool]:
+    m = M.evaluate(_predictions(spark, sf_dir)).first()
+    p, r = m.precision, m.recall
+    return {
+        "auc_is_high": m.test_auc > 0.9,
+        "gini_from_auc": _near(m.test_gini, 2 * m.test_auc - 1),
+        "f1_from_precision_and_recall": _near(m.f1, 2 * p * r / (p + r) if p + r else 0.0),
+        "cells_add_up": m.tp + m.fp + m.tn + m.fn == m.n_test,
+    }
+
+
+def _reload_checks(spark: SparkSession, sf_dir: str) -> dict[str, bool]:
+    evaluated, again = M.evaluate(_predictions(spark, sf_dir)), _reloaded(spark, sf_dir)
+    return {"reloaded_model_is_the_same": tuple(again.first()) == tuple(evaluated.first())}
+
+
+def _importance_checks(spark: SparkSession, sf_dir: str) -> dict[str, bool]:
+    rows = _importance(spark, sf_dir).collect()
+    return {
+        "importance_of_every_feature": {r.feature for r in rows} == set(MODEL_FEATURES),
+        "gains_add_up_to_one": _near(sum(r.split_gain for r in rows), 1.0),
+    }
+
+
+def _explanation_checks(spark: SparkSession, sf_dir: str) -> dict[str, bool]:
+    explained = _explained(spark, sf_dir).collect()
+    first = {r.transaction_id: r.probability for r in M.top_risks(_predictions(spark, sf_dir)).collect()}
+    return {
+        "three_rows_explained_by_every_feature": sorted(r.rank for r in explained) == sorted([1, 2, 3] * len(MODEL_FEATURES)),
+        "explained_rows_are_the_riskiest": {r.transaction_id: r.probability for r in explained} == first,
+    }
+
+
+def _fold_checks(spark: SparkSession, sf_dir: str) -> dict[str, bool]:
+    row = _cross_validated(spark, sf_dir).first()
+    return {
+        "cross_validated_auc_is_high": row.cv_mean_auc > 0.9,
+        "cross_validated_gini_from_auc": _near(row.cv_gini, 2 * row.cv_mean_auc - 1),
+    }
+
+
+def _report_checks(spark: SparkSession, sf_dir: str) -> dict[str, bool]:
+    m = M.evaluate(_predictions(spark, sf_dir)).first()
     last = _model_curve(spark, sf_dir).agg(F.max("fpr").alias("fpr"), F.max("tpr").alias("tpr")).first()
     report = {r["class"]: r.support for r in _model_report(spark, sf_dir).collect()}
-    checks = {
-        "auc_is_high": m["test_auc"] > 0.9,
-        "gini_from_auc": near(m["test_gini"], 2 * m["test_auc"] - 1),
-        "f1_from_precision_and_recall": near(m["f1"], 2 * p * r / (p + r) if p + r else 0.0),
-        "cells_add_up": m["tp"] + m["fp"] + m["tn"] + m["fn"] == m["n_test"],
-        "reloaded_model_is_the_same": tuple(again.first()) == tuple(evaluated.first()),
-        "importance_of_every_feature": importance.select("feature").distinct().count() == len(MODEL_FEATURES),
-        "three_rows_explained_by_every_feature": sorted(x["count"] for x in explained) == [len(MODEL_FEATURES)] * 3,
-        "cross_validated_auc_is_high": _cross_validated(spark, sf_dir).first().cv_mean_auc > 0.9,
+    return {
         "attribution_of_every_feature": _mean_attributions(spark, sf_dir).count() == len(MODEL_FEATURES),
-        "report_covers_test_rows": report["macro avg"] == n_test and report["High Risk"] == m["tp"] + m["fn"],
-        "curve_ends_at_one": near(last.fpr, 1.0) and near(last.tpr, 1.0),
-        "histogram_covers_test_rows": _model_histogram(spark, sf_dir).agg(F.sum("count")).first()[0] == n_test,
+        "report_covers_test_rows": report["macro avg"] == m.n_test and report["High Risk"] == m.tp + m.fn,
+        "curve_ends_at_one": _near(last.fpr, 1.0) and _near(last.tpr, 1.0),
+        "histogram_covers_test_rows": _model_histogram(spark, sf_dir).agg(F.sum("count")).first()[0] == m.n_test,
     }
-    return spark.createDataFrame([(name, bool(ok)) for name, ok in checks.items()], "check_name string, ok boolean")
+
+
+def _checks(*groups: Callable[[SparkSession, str], dict[str, bool]]) -> Query:
+    """What must hold of any fitted model, one row a check, from the stored results of the fit."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = {name: bool(ok) for group in groups for name, ok in group(spark, sf_dir).items()}
+        return spark.createDataFrame(list(found.items()), "check_name string, ok boolean")
+
+    return run
 
 
 def model_queries() -> dict[str, Query]:
@@ -441,7 +479,14 @@ def model_queries() -> dict[str, Query]:
         "ml_roc_curve": _model_curve,
         "ml_score_histogram": _model_histogram,
         "ml_scored_rows": _scored_rows,
-        "ml_checks": _model_checks,
+        "ml_metrics_checks": _checks(_metrics_checks),
+        "ml_reload_checks": _checks(_reload_checks),
+        "ml_importance_checks": _checks(_importance_checks),
+        "ml_explanation_checks": _checks(_explanation_checks),
+        "ml_cv_checks": _checks(_fold_checks),
+        "ml_checks": _checks(
+            _metrics_checks, _reload_checks, _importance_checks, _explanation_checks, _fold_checks, _report_checks
+        ),
     }
 
 
