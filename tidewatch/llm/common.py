@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import partial
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,7 +100,13 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def _tidily(function: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``function``, after which the worker gives back memory that Arrow keeps: workers serve many stages."""
+    yield from function(batches)
+    pa.default_memory_pool().release_unused()
+
+
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` with this package at hand in the tasks."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(partial(_tidily, function), schema)

@@ -172,3 +172,44 @@ def judge(docs: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS, least
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge(docs).select("doc_id", *MEASURES, "base_failed", "kept")
+
+
+OP5_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+),
+runs AS (
+  SELECT r, k, array_to_string(w[k : k + 7], ' ') AS run
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS k FROM doc WHERE len(w) >= 8)
+),
+again AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, run) AS n FROM runs) WHERE n > 1),
+covered AS (
+  SELECT r, count(DISTINCT pos) AS n FROM (SELECT r, unnest(range(k, k + 8)) AS pos FROM again) GROUP BY r
+),
+measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(list_filter(w, lambda x: x IN (
+      'the', 'of', 'and', 'to', 'in', 'a', 'is', 'that', 'for', 'it', 'as', 'was', 'with', 'be', 'by', 'on',
+      'der', 'die', 'und', 'den', 'von', 'zu', 'das', 'mit', 'sich', 'des', 'auf', 'ist', 'im', 'eine',
+      'de', 'la', 'le', 'et', 'les', 'en', 'un', 'du', 'une', 'que', 'est', 'pour', 'qui', 'dans',
+      'el', 'y', 'los', 'se', 'del', 'las', 'por', 'con', 'no', 'una'))) AS BIGINT) AS n_stop_words,
+    CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    CAST(len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•]'))) AS BIGINT) AS n_bullet_lines,
+    CAST(len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS BIGINT) AS n_ellipsis_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM doc LEFT JOIN covered USING (r)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  n_words >= 20 AND 100 * n_repeat_words <= 30 * n_words
+    AND coalesce(word_chars / nullif(n_words, 0) BETWEEN 2.0 AND 15.0, true)
+    AND coalesce(n_symbols / nullif(n_words, 0) <= 0.1, true)
+    AND coalesce(n_stop_words / nullif(n_words, 0) >= 0.02, true)
+    AND coalesce(n_dup_lines / nullif(n_lines, 0) <= 0.5, true)
+    AND coalesce(n_bullet_lines / nullif(n_lines, 0) <= 0.9, true)
+    AND coalesce(n_ellipsis_lines / nullif(n_lines, 0) <= 0.3, true) AS kept
+FROM measured
+"""

@@ -15,7 +15,7 @@ from tidewatch.llm.lm_scoring import op7_lm_scoring
 from tidewatch.llm.mix import OP1_SQL, op1_mix
 from tidewatch.llm.neighbours import op8_neighbours
 from tidewatch.llm.quality_model import op4_quality_model
-from tidewatch.llm.quality_rules import op5_quality_rules
+from tidewatch.llm.quality_rules import OP5_SQL, op5_quality_rules
 from tidewatch.llm.sentencepiece_codec import op3_sentencepiece
 from tidewatch.llm.url_filter import OP2_SQL, op2_url_filters
 from tidewatch.llm.warc import OP6_SQL, op6_warc
@@ -46,6 +46,7 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op1_mix": OP1_SQL,
         "op2_url_filters": OP2_SQL,
+        "op5_quality_rules": OP5_SQL,
         "op6_warc": OP6_SQL,
         "op11_decontaminate": OP11_SQL,
         "op12_hard_negatives": OP12_SQL,
