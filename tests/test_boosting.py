@@ -4,6 +4,7 @@ import math
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,6 +128,42 @@ def test_stored_trees_are_the_same(spark):
     assert (again.margins(x) == model.margins(x)).all() and again.getNumTrees == 6
 
 
+def test_below_the_root_half_the_nodes_are_added_up(spark, monkeypatch):
+    asked, summed = [], B._summed
+    monkeypatch.setattr(B, "_summed", lambda blocks, job, tasks: asked.append(job.slots) or summed(blocks, job, tasks))
+    models, _ = grown(spark, sample())
+    for slots in asked:
+        taken = (slots >= 0).sum(axis=1)
+        assert (taken == 1).all() if slots.shape[1] == 1 else (taken <= slots.shape[1] // 2).all()
+    assert any((m.feature[:, 1:] >= 0).any() for m in models)
+
+
+def test_sums_of_many_tasks_meet_in_a_tree(spark, monkeypatch):
+    few = [m.to_json() for m in grown(spark, sample())[0]]
+    monkeypatch.setattr(B, "_FEW_TASKS", 0)
+    assert [m.to_json() for m in grown(spark, sample())[0]] == few
+
+
+def test_margins_from_all_trees_so_far_are_those_of_each_round(spark, monkeypatch):
+    found = []
+    for refresh in (1, 4, 100):
+        monkeypatch.setattr(B, "_REFRESH", refresh)
+        models, unseen = grown(spark, sample())
+        found.append(([m.to_json() for m in models], sorted(map(tuple, unseen.collect()))))
+    assert found[0] == found[1] == found[2]
+
+
+def test_blocks_are_filled_from_small_batches(monkeypatch):
+    monkeypatch.setattr(B, "_CHUNK", 100)
+    whole = pa.RecordBatch.from_arrays([pa.array(range(1037))], ["k"])
+    parts = [whole.slice(k, 30) for k in range(0, 1037, 30)]
+    for batches in (parts, [whole], [whole.slice(0, 0), *parts]):
+        got = list(B.chunks(iter(batches)))
+        assert [b.num_rows for b in got] == [100] * 10 + [37]
+        assert pa.Table.from_batches(got).column("k").to_pylist() == list(range(1037))
+    assert list(B.chunks(iter([]))) == []
+
+
 @pytest.mark.parametrize("labels", [[0] * 30, [1] * 30, []])
 def test_nothing_to_learn(spark, labels):
     rows = [(f"T{k}", y, k % 2, None, 1.0, float(k), math.nan) for k, y in enumerate(labels)]
