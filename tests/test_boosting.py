@@ -220,6 +220,19 @@ def test_attributions_equal_all_subsets(spark):
     assert np.abs(base + got.sum(axis=1) - model.margins(x)).max() < 1e-12
 
 
+def test_rows_of_the_same_sides_share_their_attributions(spark):
+    (model,), _ = grown(spark, sample(), folds=0)
+    sides = np.random.default_rng(1).random((70, 400)) < 0.5
+    sides[:, 200:] = sides[:, :200]
+    sides[69, 0] = ~sides[69, 200]
+    first, found = A._alike(sides)
+    assert len(first) == 201 and (sides[:, first][:, found] == sides).all()
+    rows = matrix(sample(40, 5))
+    tabled, _ = A.tabled_leaves(model)
+    once = A.contributions(model, tabled, rows)
+    assert (A.contributions(model, tabled, np.tile(rows, (3, 1))) == np.tile(once, (3, 1))).all()
+
+
 def test_attributions_of_rows(spark):
     rows = sample()
     (trees,), _ = grown(spark, rows, folds=0)
