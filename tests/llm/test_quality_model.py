@@ -107,3 +107,24 @@ def test_awkward_rows(docs, no_docs, spark):
     assert qm.classify(no_docs, labels).count() == 0
     nothing = qm.classify(docs, labels.where("false")).collect()
     assert all(r.kept == (r.n_tokens > 1) and r.log_perplexity is None for r in nothing)
+
+
+def test_every_trusted_document_trains_and_scores_by_exchange(spark, monkeypatch):
+    monkeypatch.setattr(qm, "BLOCK_TOKENS", 4000)
+    monkeypatch.setattr(qm, "SHARD_GRAMS", 3000)
+    monkeypatch.setattr(qm, "PART_BYTES", 100_000)
+    texts = [f"{prose(k, 20)} own{k} own{k}" for k in range(2300)] + [f"{prose(9, 5400)} lengthy lengthy"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    scorer = qm.Scorer(qm.fit(frame))
+    assert len(scorer.model.words) == len(kneser_ney(texts)[0] | {"?"})  # those of each document, and of the long one
+    asked = [(k, prose(7000 + k, 30)) for k in range(40)] + [(90, None), (91, " "), (None, "zz of"), (None, "zz of")]
+    asked = spark.createDataFrame(asked, "doc_id long, text string").union(frame.where("doc_id > 2200"))
+    got = asked.select("*", *qm._names()).join(qm.perplexities(asked, frame), ["_first", "_second"]).collect()
+    assert len(got) == asked.count()
+    for r in got:
+        tokens, stops = qm._tokens(pa.array([r.text], pa.string()))
+        assert r.n_tokens == len(tokens)
+        if r.n_tokens == 1:
+            assert r.log_perplexity is None
+        else:
+            assert r.log_perplexity == pytest.approx(-scorer.log_probabilities(tokens, stops).mean(), rel=1e-5)

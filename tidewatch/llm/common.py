@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import zipfile
@@ -101,9 +102,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def _tidily(function: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``function``, after which the worker gives back memory that Arrow keeps: workers serve many stages."""
+    """``function``, after which the worker gives back memory that Arrow and the C library keep: workers serve many stages."""
     yield from function(batches)
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
 
 
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
