@@ -23,7 +23,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +32,8 @@ from tidewatch.llm.lm_scoring import pack as to_bytes
 from tidewatch.llm.lm_scoring import pack_sorted, unpack_sorted
 from tidewatch.llm.lm_scoring import unpack as from_bytes
 from tidewatch.llm.words import U64, HashIndex, slices, splitmix, text_bytes, word_hashes
+from tidewatch.session import work_folder
+from tidewatch.sinks.versions import delete
 
 BEGIN, END, RARE = splitmix(np.array([11, 12, 13], U64))
 _MIX = U64(0x9E3779B97F4A7C15)
@@ -178,10 +180,14 @@ def _added(bits: int, part: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_count_rows(list(_dealt(*(np.concatenate(x) for x in zip(*parts)), bits)))])
 
 
-def _summed(counts: DataFrame, bits: int) -> DataFrame:
-    """The shards' counts, kept on the executors' disks until the model is made of them."""
-    summed = counts.groupBy("shard").applyInArrow(lambda part: _added(bits, part), COUNTS)
-    return summed.persist(StorageLevel.DISK_ONLY)
+def _summed(counts: DataFrame, bits: int, tasks: int, path: str, halves: int = 1) -> DataFrame:
+    """The shards' counts, written to ``path``: one part of the shards after the other."""
+    spark = counts.sparkSession
+    for half in range(halves):
+        mine = counts.where(F.col("shard") % halves == half).repartition(tasks, "shard").groupBy("shard")
+        summed = mine.applyInArrow(lambda part: _added(bits, part), COUNTS)
+        summed.write.mode("append").option("compression", "zstd").parquet(path)
+    return spark.read.schema(COUNTS).parquet(path)
 
 
 def _from_counts_of_counts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
@@ -336,14 +342,13 @@ def _tables(trusted: DataFrame, bits: int = 1) -> Tables | None:
     tasks = width(spark, row.tokens, SHARD_GRAMS)
     known = words.where(own).select(F.col("w").alias("key"), F.lit(1.0).alias("p"), F.lit(1.0).alias("g"))
     classed = _classed(_packed(texts), _sharded(known, bits), bits, row.tokens)
-    dealt = map_arrow(classed, partial(_count_trigrams, bits), COUNTS).repartition(tasks, "shard")
-    trigrams = _summed(dealt, bits)
-    dealt = map_arrow(trigrams, partial(_count_bigrams, bits), COUNTS).repartition(tasks, "shard")
-    bigrams = _summed(dealt, bits)
+    folder = work_folder(spark, "kn-counts")
+    trigrams = _summed(map_arrow(classed, partial(_count_trigrams, bits), COUNTS), bits, tasks, f"{folder}/trigrams", 2)
+    bigrams = _summed(map_arrow(trigrams, partial(_count_bigrams, bits), COUNTS), bits, tasks, f"{folder}/bigrams")
     d3, d2 = _discounts(trigrams), _discounts(bigrams)
     triples = stored(map_arrow(trigrams, partial(_triples, d3), SHARD), "kn-triples")
     contexts = stored(map_arrow(trigrams, partial(_left_by_pairs, d3), SHARD), "kn-contexts")
-    trigrams.unpersist()
+    delete(spark, f"{folder}/trigrams")  # the corpus's n-grams are many: each table goes when the next is made
     unigrams = stored(
         map_arrow(bigrams, _count_unigrams, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "kn-unigrams"
     )
@@ -368,7 +373,7 @@ def _tables(trusted: DataFrame, bits: int = 1) -> Tables | None:
         .applyInArrow(_pairs, SHARD)
     )
     shards = stored(_sharded(singles, bits).union(pairs), "kn-model").union(triples)
-    bigrams.unpersist()
+    delete(spark, folder)
     return Tables(shards, bits, max(1, row.types - row.own))
 
 
@@ -690,9 +695,8 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     """
     spark = docs.sparkSession
     docs, unpack = pack(docs, "doc_id", "text", "lang")
-    trusted_ids = (
-        labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("_trusted")).distinct()
-    )
+    trusted_ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("_trusted"))
+    trusted_ids = small(stored(trusted_ids.distinct(), "kn-trusted"), 1_000_000)  # else all texts are shuffled
     trusted = docs.select("doc_id", "text", "lang").join(trusted_ids, F.col("doc_id") == F.col("_trusted"), "left_semi")
     trains = F.xxhash64(F.lit("half"), F.col("doc_id"), F.col("text")) % 2 == 0
     with _tidy(spark):
