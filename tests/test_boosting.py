@@ -153,6 +153,51 @@ def test_margins_from_all_trees_so_far_are_those_of_each_round(spark, monkeypatc
     assert found[0] == found[1] == found[2]
 
 
+def test_margins_are_made_again_from_the_last_rounds_only(spark, monkeypatch):
+    steps, partial = [], B.partial
+
+    def noted(function, *args):
+        if function is B._advance:
+            steps.append(len(args[0]))
+        return partial(function, *args)
+
+    monkeypatch.setattr(B, "partial", noted)
+    monkeypatch.setattr(B, "_REFRESH", 2)
+    grown(spark, sample(), growth=B.Growth(rounds=7, depth=2))
+    assert steps == [1, 2, 1, 2, 1, 2, 1]
+
+
+def test_features_of_few_bins_are_added_up_together():
+    counts = [256, 3, 3, 40, 3, 17, 256]
+    assert B.packs([0, 1, 3, 4, 5, 6], counts) == [[1, 4, 5], [3], [0], [6]]
+    rng = np.random.default_rng(5)
+    n = 3000
+    bins = np.array([rng.integers(0, c - 1, n) for c in counts], np.uint8)
+    bins[rng.random(bins.shape) < 0.1] = B.MISSING
+    fold = np.sort(rng.integers(0, 2, n)).astype(np.int8)
+    label = rng.integers(0, 2, n).astype(np.uint8)
+    block = B.Block(rng.integers(0, 1 << 62, n).astype(np.uint64), label, fold, bins, rng.normal(size=(3, n)))
+    growth, features = B.Growth(), [0, 1, 3, 4, 5, 6]
+    trees = [B.Growing(np.array([f]), np.array([1]), np.array([left])) for f, left in ((1, True), (5, False), (3, True))]
+    taken = B._drawn_mixed(block.key, 4, growth)
+    for level, slots in ((0, [[0], [1], [2]]), (1, [[-1, 0], [1, -1], [-1, 2]])):
+        slots = np.array(slots, np.int16)
+        (got,) = B.Level(growth, 4, level, features, counts, trees, slots, 30).sums(iter([block]))
+        for m, tree in enumerate(trees):
+            f = tree.feature[0]
+            right = np.where(bins[f] == B.MISSING, not tree.left[0], bins[f] > 1).astype(int)
+            own = taken & (fold != m - 1) & (slots[m][right * level] >= 0)
+            p = 1 / (1 + np.exp(-block.margins[m][own]))
+            begin = 0
+            for g in features:
+                place = np.where(bins[g][own] == B.MISSING, counts[g] - 1, bins[g][own])
+                for found, weights in zip(got, (p - label[own], np.maximum(p * (1 - p), 1e-16))):
+                    want = np.zeros(counts[g], np.int64)
+                    np.add.at(want, place, np.rint(weights * 2**30).astype(np.int64))
+                    assert (found[m, begin : begin + counts[g]] == want).all()
+                begin += counts[g]
+
+
 def test_blocks_are_filled_from_small_batches(monkeypatch):
     monkeypatch.setattr(B, "_CHUNK", 100)
     whole = pa.RecordBatch.from_arrays([pa.array(range(1037))], ["k"])
