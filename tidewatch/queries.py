@@ -506,8 +506,9 @@ def _messages_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sent(txn: DataFrame) -> DataFrame:
     """Transactions as messages, made by all cores: few tasks read a small file, which
-    takes far less time than making messages of its rows."""
-    return messages.encode(txn.repartition(txn.sparkSession.sparkContext.defaultParallelism))
+    takes far less time than making messages of its rows. Dealt by id: to deal rows
+    in turn, Spark sorts them first."""
+    return messages.encode(txn.repartition(txn.sparkSession.sparkContext.defaultParallelism, "transaction_id"))
 
 
 def _as_message_files(spark: SparkSession, sf_dir: str) -> str:

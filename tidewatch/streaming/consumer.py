@@ -21,7 +21,7 @@ from tidewatch.config import Rules, Scale, StreamSettings
 from tidewatch.functions import scalars as S
 from tidewatch.operators.rules import features, flagged, score_transactions, scored
 from tidewatch.plans.reports import is_alert
-from tidewatch.session import fit_session
+from tidewatch.session import all_cores, fit_session
 from tidewatch.streaming.memory import Memory
 from tidewatch.streaming.messages import examined
 
@@ -78,8 +78,12 @@ class BatchScorer:
         return Memory(f"{self.output.rstrip('/')}-memory", self.output, self.rules.lookback_seconds)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with all_cores(batch.sparkSession):
+            self._batch(batch, batch_id)
+
+    def _batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        held = without_read_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # Counting fills the cache and gives the planner the real size, so a
             # small batch is windowed in one shuffle.
@@ -173,6 +177,11 @@ class BatchScorer:
             self.on_summary(batch_id, processed, alerts)
 
 
+def without_read_messages(batch: DataFrame) -> DataFrame:
+    """The batch with the text of those messages only that go to the rejects."""
+    return batch.withColumn("message", F.when(F.col("reject_reason").isNotNull(), F.col("message")))
+
+
 def score_with_totals(
     batch: DataFrame, recent: DataFrame | None, totals: DataFrame, rules: Rules = Rules(), scale: Scale = Scale()
 ) -> DataFrame:
