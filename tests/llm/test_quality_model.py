@@ -1,5 +1,7 @@
 import math
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -7,6 +9,7 @@ import pytest
 
 from llm_samples import prose
 from tidewatch.llm import quality_model as qm
+from tidewatch.llm import words as words_module
 
 
 def corpus(spark, n=60):
@@ -128,3 +131,53 @@ def test_every_trusted_document_trains_and_scores_by_exchange(spark, monkeypatch
             assert r.log_perplexity is None
         else:
             assert r.log_perplexity == pytest.approx(-scorer.log_probabilities(tokens, stops).mean(), rel=1e-5)
+
+
+def test_words_are_counted_in_slices_of_a_batch():
+    """A batch of long texts: no array of the size of all its bytes, as of 2**25 powers for 20 MB."""
+    words_module._powers.cache_clear()
+    texts = pa.array([f"{prose(k % 7, 3000)} own{k}" for k in range(600)])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    assert len(qm.text_bytes(texts)[0]) > 4 * words_module.SLICE_BYTES
+    tracemalloc.start()
+    found = Counter()
+    for out in qm._count_words(iter([batch])):
+        for w, c in zip(out.column("w").to_pylist(), out.column("c").to_pylist()):
+            found[w] += c
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    words, counts = np.unique(qm._tokens(texts)[0].view(np.int64), return_counts=True)
+    assert found == dict(zip(words.tolist(), counts.tolist()))
+    assert peak < 150 << 20
+
+
+def test_grams_ask_for_every_context(monkeypatch):
+    """Pairs and one pair of begin marks hold all contexts; each token finds its own among them."""
+    monkeypatch.setattr(qm.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    texts = ["a b a b a", "", "b", None, "a b a c"]
+    numbers = pa.array(range(len(texts)), pa.int64())
+    (block,) = qm._blocks(iter([pa.RecordBatch.from_arrays([numbers, numbers, pa.array(texts)], ["a", "b", "text"])]))
+    (row,) = block.to_pylist()
+    tokens, stops = qm._tokens(pa.array(texts))
+    one, two = qm._histories(tokens, stops)
+    pair, triple = qm._grams(row)
+    assert pair[:-1].tolist() == qm._pair(one, tokens).tolist()
+    contexts = qm._pair(two, one)
+    heads = np.concatenate([[0], stops[:-1]])
+    assert pair[qm._before(heads, len(tokens))].tolist() == contexts.tolist()
+    assert triple.tolist() == qm._triple(contexts, pair[:-1]).tolist()
+    asked = {b.column("kind")[0].as_py(): np.concatenate([qm.unpack_sorted(k) for k in b.column("keys").to_pylist()])
+             for b in qm._ask_grams(3, iter([block]))}
+    assert asked[qm.PAIRS].tolist() == sorted(set(pair.tolist())) and asked[qm.TRIPLES].tolist() == sorted(set(triple.tolist()))
+
+
+def test_model_is_not_moved_for_each_part_and_leaves_no_table(spark):
+    texts = spark.createDataFrame([(k, prose(k, 40)) for k in range(25)], "doc_id long, text string")
+    made = qm._tables(texts, 2, 4)
+    asked, blocks = spark.createDataFrame([], qm.ASKED), spark.createDataFrame([], qm.CLASSED)
+    met = qm._exchanged(blocks, asked, made.grams, 4).applyInArrow(lambda left, right: right, qm.ANSWER)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange ") == 3  # what is asked, the answers, the blocks
+    made.drop()
+    assert qm.perplexities(texts, texts).count() == 25
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("kn_grams")]

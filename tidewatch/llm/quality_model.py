@@ -16,6 +16,7 @@ each block that has it, and no table is ever in one place.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -78,6 +79,10 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return splitmix(left * _MIX + right)
 
 
+#: The context of a text's first token.
+_START = _pair(np.array([BEGIN]), np.array([BEGIN]))
+
+
 def _triple(context: np.ndarray, pair: np.ndarray) -> np.ndarray:
     own = U64(64 - _SHARED_BITS)
     return (context >> own << own) | (_pair(context, pair) >> U64(_SHARED_BITS))
@@ -110,11 +115,34 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
+def _sorted_distinct(keys: np.ndarray) -> np.ndarray:
+    """``np.unique`` of hashes: sorting takes a third of the time of numpy's hash table."""
+    keys = np.sort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new]
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            words, counts = np.unique(_tokens(batch.column(0))[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([_signed(words), pa.array(counts)], ["w", "c"])
+    """Words and their counts, of some tokens at a time; batches of any size are read in slices."""
+    waiting, amount = [], 0
+
+    def counted() -> pa.RecordBatch:
+        nonlocal amount
+        words, counts = np.unique(np.concatenate(waiting), return_counts=True)
+        waiting.clear()
+        amount = 0
+        return pa.RecordBatch.from_arrays([_signed(words), pa.array(counts)], ["w", "c"])
+
+    for whole in batches:
+        _, bounds = text_bytes(whole.column(0))
+        for start, end in slices(bounds):
+            waiting.append(_tokens(whole.column(0).slice(start, end - start))[0])
+            amount += len(waiting[-1])
+            if amount >= BLOCK_TOKENS:
+                yield counted()
+    if waiting:
+        yield counted()
 
 
 def _dealt(context: np.ndarray, last: np.ndarray, word: np.ndarray, count: np.ndarray, bits: int) -> Iterator[tuple]:
@@ -128,11 +156,15 @@ def _dealt(context: np.ndarray, last: np.ndarray, word: np.ndarray, count: np.nd
     context, last, word = context[first], last[first], word[first]
     edges = np.arange(1, 1 << bits).astype(U64) << U64(64 - bits)
     cuts = np.concatenate([[0], np.searchsorted(context, edges), [len(context)]])
+    new = np.ones(len(context), bool)
+    new[1:] = context[1:] != context[:-1]
+    heads = np.flatnonzero(new)  # a shard begins with a new context
+    known, last, followers = context[heads], last[heads], np.diff(heads, append=len(context))
+    owned = np.searchsorted(heads, cuts)
     for k in np.flatnonzero(np.diff(cuts)):
-        here = slice(cuts[k], cuts[k + 1])
-        known, at, followers = np.unique(context[here], return_index=True, return_counts=True)
-        held = [pack_sorted(known), to_bytes(last[here][at]), to_bytes(followers), to_bytes(word[here]), to_bytes(count[here])]
-        yield int(k), *held, np.bincount(count[here][count[here] < 5], minlength=5)[1:].tolist()
+        here, own = slice(cuts[k], cuts[k + 1]), slice(owned[k], owned[k + 1])
+        held = [pack_sorted(known[own]), to_bytes(last[own]), to_bytes(followers[own]), to_bytes(word[here]), to_bytes(count[here])]
+        yield int(k), *held, np.bincount(np.minimum(count[here], 5), minlength=6)[1:5].tolist()
 
 
 def _count_rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -160,11 +192,10 @@ def _count_trigrams(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 
 def _count_bigrams(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word pairs with the number of different words in front; begin marks have none and count occurrences."""
-    start = _pair(np.array([BEGIN]), np.array([BEGIN]))
     for batch in batches:
         for row in batch.to_pylist():
             context, last, words, counts = _counts(row)
-            yield _count_rows(list(_dealt(last, last, words, np.where(context == start, counts, 1), bits)))
+            yield _count_rows(list(_dealt(last, last, words, np.where(context == _START, counts, 1), bits)))
 
 
 def _count_unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,12 +296,32 @@ class Tables:
 
     ``p`` is a trigram's or word pair's share in its context, a word's probability, and 0 for what
     is a context only; ``g`` what it leaves to lower orders as a context, 1 for what is none.
+    Pairs and trigrams are the table ``name``, bucketed by kind and shard: every part of the
+    texts meets it where it lies, without a shuffle of the model. ``drop`` it when all is scored.
     """
 
-    shards: DataFrame
+    words: DataFrame
+    name: str
+    folder: str
     bits: int
     rare_types: int
 
+    @property
+    def grams(self) -> DataFrame:
+        return self.words.sparkSession.table(self.name)
+
+    def drop(self) -> None:
+        spark = self.words.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        delete(spark, self.folder)
+
+
+def _bucketed(shards: DataFrame, tasks: int, name: str, folder: str) -> None:
+    """Append ``shards`` to a table that is bucketed as an exchange to ``tasks`` deals them."""
+    writer = shards.repartition(tasks, "kind", "shard").write.mode("append").format("parquet")
+    writer = writer.option("compression", "zstd").option("path", folder).bucketBy(tasks, "kind", "shard")
+    writer.saveAsTable(name)
+
 
 def _triples(discounts: list[float], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -312,7 +363,7 @@ def _pairs(_key, shares: pa.Table, contexts: pa.Table) -> pa.Table:
     known, left = np.zeros(0, U64), np.zeros(0)
     for row in contexts.to_pylist():
         known, _, left = _held(row)
-    every = np.union1d(key, known)
+    every = _sorted_distinct(np.concatenate([key, known]))
     p, g = np.zeros(len(every)), np.ones(len(every))
     p[np.searchsorted(every, key)] = share
     g[np.searchsorted(every, known)] = left
@@ -320,7 +371,7 @@ def _pairs(_key, shares: pa.Table, contexts: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_shard_row(PAIRS, number, every, p, g)])
 
 
-def _tables(trusted: DataFrame, bits: int = 1) -> Tables | None:
+def _tables(trusted: DataFrame, bits: int = 1, buckets: int = 1) -> Tables | None:
     """The model of all ``trusted`` (doc_id, text), in 2**``bits`` shards or more; None without text.
 
     Words met once form one class, which later also stands for unknown words;
@@ -346,8 +397,10 @@ def _tables(trusted: DataFrame, bits: int = 1) -> Tables | None:
     trigrams = _summed(map_arrow(classed, partial(_count_trigrams, bits), COUNTS), bits, tasks, f"{folder}/trigrams", 2)
     bigrams = _summed(map_arrow(trigrams, partial(_count_bigrams, bits), COUNTS), bits, tasks, f"{folder}/bigrams")
     d3, d2 = _discounts(trigrams), _discounts(bigrams)
-    triples = stored(map_arrow(trigrams, partial(_triples, d3), SHARD), "kn-triples")
-    contexts = stored(map_arrow(trigrams, partial(_left_by_pairs, d3), SHARD), "kn-contexts")
+    name, model = f"kn_grams_{uuid.uuid4().hex}", work_folder(spark, "kn-grams")
+    _bucketed(map_arrow(trigrams, partial(_triples, d3), SHARD), buckets, name, model)
+    map_arrow(trigrams, partial(_left_by_pairs, d3), SHARD).write.option("compression", "zstd").parquet(f"{folder}/contexts")
+    contexts = spark.read.schema(SHARD).parquet(f"{folder}/contexts")
     delete(spark, f"{folder}/trigrams")  # the corpus's n-grams are many: each table goes when the next is made
     unigrams = stored(
         map_arrow(bigrams, _count_unigrams, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "kn-unigrams"
@@ -372,9 +425,10 @@ def _tables(trusted: DataFrame, bits: int = 1) -> Tables | None:
         .cogroup(contexts.repartition(tasks, "shard").groupBy("shard"))
         .applyInArrow(_pairs, SHARD)
     )
-    shards = stored(_sharded(singles, bits).union(pairs), "kn-model").union(triples)
+    _bucketed(pairs, buckets, name, model)
+    singles = stored(_sharded(singles, bits), "kn-singles")
     delete(spark, folder)
-    return Tables(shards, bits, max(1, row.types - row.own))
+    return Tables(singles, name, model, bits, max(1, row.types - row.own))
 
 
 def fit(trusted: DataFrame) -> Model | None:
@@ -386,7 +440,8 @@ def fit(trusted: DataFrame) -> Model | None:
     made = _tables(trusted)
     if made is None:
         return None
-    rows = [r.asDict() for r in made.shards.collect()]
+    rows = [r.asDict() for r in made.words.union(made.grams.select(made.words.columns)).collect()]
+    made.drop()
 
     def arrays(kind: int) -> tuple[np.ndarray, ...]:
         held = [_held(r) for r in rows if r["kind"] == kind]
@@ -515,16 +570,27 @@ def _ask(kind: int, keys: np.ndarray, block: int, bits: int, p: np.ndarray | Non
 
 def _singles(words: np.ndarray) -> np.ndarray:
     """A block's words and the two marks that its n-grams may hold besides."""
-    return np.union1d(words, np.array([BEGIN, RARE], U64))
+    return _sorted_distinct(np.append(words, [BEGIN, RARE]))
 
 
 def _grams(row: dict) -> list[np.ndarray]:
-    """Hashes of a classed block's tokens: as pairs with the token before, the pairs before, trigrams."""
+    """Hashes of a classed block's tokens: as pairs with the token before, and one pair of begin marks behind
+    them; trigrams. A token's context is the pair of the token before, or at a text's start that of begin marks."""
     sizes, tokens, words = _read(row)
     classes = words[tokens]
-    one, two = _histories(classes, np.cumsum(sizes))
-    pair, context = _pair(one, classes), _pair(two, one)
-    return [pair, context, _triple(context, pair)]
+    heads = np.cumsum(sizes) - sizes
+    one = np.empty_like(classes)
+    one[1:] = classes[:-1]
+    one[heads] = BEGIN
+    pair = np.append(_pair(one, classes), _START)
+    return [pair, _triple(pair[_before(heads, len(classes))], pair[:-1])]
+
+
+def _before(heads: np.ndarray, size: int) -> np.ndarray:
+    """For each token the place of its context among the pairs of ``_grams``."""
+    before = np.arange(-1, size - 1)
+    before[heads] = size
+    return before
 
 
 def _ask_words(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -536,9 +602,8 @@ def _ask_words(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 def _ask_grams(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            pair, context, triple = _grams(row)
-            yield _ask(PAIRS, np.union1d(pair, context), row["block"], bits)
-            yield _ask(TRIPLES, np.unique(triple), row["block"], bits)
+            for kind, grams in zip((PAIRS, TRIPLES), _grams(row)):
+                yield _ask(kind, _sorted_distinct(grams), row["block"], bits)
 
 
 def _answer(_key, asked: pa.Table, held: pa.Table) -> pa.Table:
@@ -589,18 +654,15 @@ def _score(rare_types: int, _key, blocks: pa.Table, answers: pa.Table) -> pa.Tab
     (row,) = blocks.to_pylist()
     sizes, tokens, words = _read(row)
     p1, g1 = from_bytes(row["p"], np.float32), from_bytes(row["g"], np.float32)
-    pair, context, triple = _grams(row)
     p2, g2 = _answered(answers, PAIRS)
     p3, _ = _answered(answers, TRIPLES)
-    pairs = np.union1d(pair, context)
-    stops = np.cumsum(sizes)
-    begin = stops - sizes
+    pair, triple = (np.unique(grams, return_inverse=True)[1] for grams in _grams(row))
+    begin = np.cumsum(sizes) - sizes
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[begin] = np.searchsorted(words, BEGIN)
-    at = np.searchsorted(pairs, pair)
-    p = p2[at] + g1[before] * p1[tokens].astype(np.float64)
-    p = p3[np.unique(triple, return_inverse=True)[1]] + g2[np.searchsorted(pairs, context)] * p
+    p = p2[pair[:-1]] + g1[before] * p1[tokens].astype(np.float64)
+    p = p3[triple] + g2[pair[_before(begin, len(tokens))]] * p
     rare = tokens == np.searchsorted(words, RARE)
     score = np.log10(p) - np.where(rare, np.log10(rare_types), 0.0)
     mean = -np.add.reduceat(score, begin) / sizes
@@ -615,11 +677,11 @@ def _score(rare_types: int, _key, blocks: pa.Table, answers: pa.Table) -> pa.Tab
 
 
 def _exchanged(blocks: DataFrame, asked: DataFrame, shards: DataFrame, tasks: int):
-    """Blocks beside the answers to what they ask."""
+    """Blocks beside the answers to what they ask; ``shards`` are moved unless they are bucketed by as many tasks."""
     answers = (
         asked.repartition(tasks, "kind", "shard")
         .groupBy("kind", "shard")
-        .cogroup(shards.repartition(tasks, "kind", "shard").groupBy("kind", "shard"))
+        .cogroup(shards.groupBy("kind", "shard"))
         .applyInArrow(_answer, ANSWER)
     )
     return blocks.groupBy("block").cogroup(answers.repartition(tasks, "block").groupBy("block"))
@@ -629,7 +691,7 @@ def _classed(blocks: DataFrame, shards: DataFrame, bits: int, tokens: float) ->
     tasks = width(blocks.sparkSession, tokens, BLOCK_TOKENS)
     dealt = blocks.repartition(tasks, "block")
     asked = map_arrow(dealt, partial(_ask_words, bits), ASKED)
-    return _exchanged(dealt, asked, shards.where(F.col("kind") == WORDS), tasks).applyInArrow(_class, CLASSED)
+    return _exchanged(dealt, asked, shards, tasks).applyInArrow(_class, CLASSED)
 
 
 @contextmanager
@@ -655,21 +717,25 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = min(PARTS, max(1, math.ceil(size / PART_BYTES)))
     tokens = size / parts / 6
-    model = _tables(trusted, _bits(tokens))
+    tasks = width(spark, tokens, BLOCK_TOKENS)
+    model = _tables(trusted, _bits(tokens), tasks)
     if model is None:
         sizes = map_arrow(_packed(docs), _sizes, "_first long, _second long, n_tokens long")
         return sizes.dropDuplicates(["_first", "_second"]).withColumn("log_perplexity", F.lit(None).cast("double"))
-    tasks = width(spark, tokens, BLOCK_TOKENS)
     scores = None
-    for k in range(parts):
-        part = docs.where(F.pmod(_names()[1], F.lit(parts)) == k) if parts > 1 else docs
-        classed = _classed(_packed(part), model.shards, model.bits, tokens).repartition(tasks, "block")
-        asked = map_arrow(classed, partial(_ask_grams, model.bits), ASKED)
-        made = _exchanged(classed, asked, model.shards.where(F.col("kind") != WORDS), tasks).applyInArrow(
-            partial(_score, model.rare_types), "_first long, _second long, n_tokens long, log_perplexity double"
-        )
-        made = stored(made, "kn-scores")
-        scores = made if scores is None else scores.union(made)
+    own = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(parts))
+    try:
+        for k in range(parts):
+            part = docs.where(own == k) if parts > 1 else docs
+            classed = _classed(_packed(part), model.words, model.bits, tokens).repartition(tasks, "block")
+            asked = map_arrow(classed, partial(_ask_grams, model.bits), ASKED)
+            made = _exchanged(classed, asked, model.grams, tasks).applyInArrow(
+                partial(_score, model.rare_types), "_first long, _second long, n_tokens long, log_perplexity double"
+            )
+            made = stored(made, "kn-scores")
+            scores = made if scores is None else scores.union(made)
+    finally:
+        model.drop()
     return scores.dropDuplicates(["_first", "_second"])
 
 
