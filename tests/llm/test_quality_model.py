@@ -133,15 +133,17 @@ def test_every_trusted_document_trains_and_scores_by_exchange(spark, monkeypatch
             assert r.log_perplexity == pytest.approx(-scorer.log_probabilities(tokens, stops).mean(), rel=1e-5)
 
 
-def test_words_are_counted_in_slices_of_a_batch():
+def test_words_are_counted_in_slices_of_a_batch(monkeypatch):
     """A batch of long texts: no array of the size of all its bytes, as of 2**25 powers for 20 MB."""
     words_module._powers.cache_clear()
+    monkeypatch.setattr(qm.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
     texts = pa.array([f"{prose(k % 7, 3000)} own{k}" for k in range(600)])
-    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    numbers = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([numbers, numbers, texts], ["a", "b", "text"])
     assert len(qm.text_bytes(texts)[0]) > 4 * words_module.SLICE_BYTES
     tracemalloc.start()
     found = Counter()
-    for out in qm._count_words(iter([batch])):
+    for out in qm._count_words(qm._blocks(iter([batch]))):
         for w, c in zip(out.column("w").to_pylist(), out.column("c").to_pylist()):
             found[w] += c
     peak = tracemalloc.get_traced_memory()[1]

@@ -124,25 +124,11 @@ def _sorted_distinct(keys: np.ndarray) -> np.ndarray:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words and their counts, of some tokens at a time; batches of any size are read in slices."""
-    waiting, amount = [], 0
-
-    def counted() -> pa.RecordBatch:
-        nonlocal amount
-        words, counts = np.unique(np.concatenate(waiting), return_counts=True)
-        waiting.clear()
-        amount = 0
-        return pa.RecordBatch.from_arrays([_signed(words), pa.array(counts)], ["w", "c"])
-
-    for whole in batches:
-        _, bounds = text_bytes(whole.column(0))
-        for start, end in slices(bounds):
-            waiting.append(_tokens(whole.column(0).slice(start, end - start))[0])
-            amount += len(waiting[-1])
-            if amount >= BLOCK_TOKENS:
-                yield counted()
-    if waiting:
-        yield counted()
+    """The words of each block and their counts."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            _, tokens, words = _read(row)
+            yield pa.RecordBatch.from_arrays([_signed(words), pa.array(np.bincount(tokens))], ["w", "c"])
 
 
 def _dealt(context: np.ndarray, last: np.ndarray, word: np.ndarray, count: np.ndarray, bits: int) -> Iterator[tuple]:
@@ -181,13 +167,16 @@ def _counts(row: dict) -> tuple[np.ndarray, ...]:
     return np.repeat(context, followers), np.repeat(last, followers), from_bytes(row["words"], U64), from_bytes(row["counts"])
 
 
-def _count_trigrams(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_trigrams(bits: int, half: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Trigrams of the shards of even or odd number."""
     for batch in batches:
         for row in batch.to_pylist():
             sizes, tokens, words = _read(row)
             classes = words[tokens]
             one, two = _histories(classes, np.cumsum(sizes))
-            yield _count_rows(list(_dealt(_pair(two, one), one, classes, np.ones(len(classes), np.int64), bits)))
+            context = _pair(two, one)
+            own = np.flatnonzero(context >> U64(64 - bits) & U64(1) == U64(half))
+            yield _count_rows(list(_dealt(context[own], one[own], classes[own], np.ones(len(own), np.int64), bits)))
 
 
 def _count_bigrams(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,13 +200,11 @@ def _added(bits: int, part: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_count_rows(list(_dealt(*(np.concatenate(x) for x in zip(*parts)), bits)))])
 
 
-def _summed(counts: DataFrame, bits: int, tasks: int, path: str, halves: int = 1) -> DataFrame:
-    """The shards' counts, written to ``path``: one part of the shards after the other."""
+def _summed(counts: DataFrame, bits: int, tasks: int, path: str) -> DataFrame:
+    """The shards' counts, added to those at ``path``."""
     spark = counts.sparkSession
-    for half in range(halves):
-        mine = counts.where(F.col("shard") % halves == half).repartition(tasks, "shard").groupBy("shard")
-        summed = mine.applyInArrow(lambda part: _added(bits, part), COUNTS)
-        summed.write.mode("append").option("compression", "zstd").parquet(path)
+    summed = counts.repartition(tasks, "shard").groupBy("shard").applyInArrow(lambda part: _added(bits, part), COUNTS)
+    summed.write.mode("append").option("compression", "zstd").parquet(path)
     return spark.read.schema(COUNTS).parquet(path)
 
 
@@ -379,32 +366,36 @@ def _tables(trusted: DataFrame, bits: int = 1, buckets: int = 1) -> Tables | Non
     """
     spark = trusted.sparkSession
     ship(spark)
-    texts = trusted.where(F.col("text").isNotNull())
-    words = stored(
-        map_arrow(texts.select("text"), _count_words, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")),
-        "kn-words",
-    )
+    folder = work_folder(spark, "kn-counts")
+
+    def held(df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    blocks = held(_packed(trusted.where(F.col("text").isNotNull())), "blocks")
+    words = held(map_arrow(blocks, _count_words, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "words")
     end = int(END.view(np.int64))
     own = (F.col("c") > 1) | (F.col("w") == end)
     row = words.agg(F.count("*").alias("types"), F.sum("c").alias("tokens"), F.sum(own.cast("long")).alias("own")).first()
     if not row.types:
+        delete(spark, folder)
         return None
     bits = max(bits, _bits(row.tokens))
     tasks = width(spark, row.tokens, SHARD_GRAMS)
     known = words.where(own).select(F.col("w").alias("key"), F.lit(1.0).alias("p"), F.lit(1.0).alias("g"))
-    classed = _classed(_packed(texts), _sharded(known, bits), bits, row.tokens)
-    folder = work_folder(spark, "kn-counts")
-    trigrams = _summed(map_arrow(classed, partial(_count_trigrams, bits), COUNTS), bits, tasks, f"{folder}/trigrams", 2)
+    classed = held(_classed(blocks, _sharded(known, bits), bits, row.tokens), "classed")
+    delete(spark, f"{folder}/blocks")
+    for half in (0, 1):
+        counts = map_arrow(classed, partial(_count_trigrams, bits, half), COUNTS)
+        trigrams = _summed(counts, bits, tasks, f"{folder}/trigrams")
+    delete(spark, f"{folder}/classed")
     bigrams = _summed(map_arrow(trigrams, partial(_count_bigrams, bits), COUNTS), bits, tasks, f"{folder}/bigrams")
     d3, d2 = _discounts(trigrams), _discounts(bigrams)
     name, model = f"kn_grams_{uuid.uuid4().hex}", work_folder(spark, "kn-grams")
     _bucketed(map_arrow(trigrams, partial(_triples, d3), SHARD), buckets, name, model)
-    map_arrow(trigrams, partial(_left_by_pairs, d3), SHARD).write.option("compression", "zstd").parquet(f"{folder}/contexts")
-    contexts = spark.read.schema(SHARD).parquet(f"{folder}/contexts")
+    contexts = held(map_arrow(trigrams, partial(_left_by_pairs, d3), SHARD), "contexts")
     delete(spark, f"{folder}/trigrams")  # the corpus's n-grams are many: each table goes when the next is made
-    unigrams = stored(
-        map_arrow(bigrams, _count_unigrams, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "kn-unigrams"
-    )
+    unigrams = held(map_arrow(bigrams, _count_unigrams, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "unigrams")
     # words follow no context: every one has its discounted share, and an even part of what is left
     counts = [F.count(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]
     ones = unigrams.agg(F.count("*").alias("types"), F.sum("c").alias("total"), *counts).first()
