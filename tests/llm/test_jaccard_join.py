@@ -8,7 +8,7 @@ import pytest
 from llm_samples import prose
 from tidewatch.llm import jaccard_join as jj
 from tidewatch.llm.components import components
-from tidewatch.llm.set_signatures import PROBE, SKETCH, Threshold, bands, parity, scheme, signatures
+from tidewatch.llm.set_signatures import PROBE, SKETCH, Threshold, allocated, bands, parity, scheme, signatures
 from tidewatch.llm.words import splitmix
 
 
@@ -123,6 +123,33 @@ def test_pigeonhole():
             assert probes(0) & rows(1) and probes(1) & rows(0)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_empty_segments_are_spared(percent):
+    """Sets without a common element hardly meet, though many have segments of at most one element."""
+    rng = np.random.default_rng(7)
+    for size in (32, 100, 250, 400):
+        sets = [np.unique(rng.integers(0, 1 << 62, size + k % 9, dtype=np.uint64)) for k in range(600)]
+        starts = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+        row, sig, kind = signatures(np.concatenate(sets), starts, np.ones(SKETCH, np.int64), Threshold(percent))
+        _, bucket = np.unique(sig, return_inverse=True)
+        met = np.bincount(bucket)[bucket] * (kind >= PROBE)
+        assert met[met > 1].sum() < 200  # at 100 elements and more, 855 to 34 783 where they are not spared
+
+
+def test_pigeonhole_sum_of_each_set():
+    """What is left of v(i) + 1 is what the set's own size needs, whatever its segments hold."""
+    rng = np.random.default_rng(8)
+    begin = np.array([0, 5, 5, 12, 40])
+    deletions, spare = np.array([1, 0, 2, 3]), np.array([2, 0, 9, 6])
+    filled = rng.integers(0, 4, 40)
+    v = allocated(begin, deletions, spare, rng.integers(0, 9, 40), rng.integers(9, 20, 40), filled)
+    units = np.add.reduceat(np.append(v + 1, 0), begin[[0, 2, 3]])
+    assert units.tolist() == [5 + 1 - 2, 7 + 2 - 9, 28 + 3 - 6]
+    assert v.min() == -1 and (v[12 + 3 :] < 1).all() and (v[5:12] == -1).all()
+    last = v[12:][filled[12:] == 0]
+    assert (last == -1).sum() >= min(len(last), 6 // 2)
+
+
 def test_schemes_and_bands():
     threshold = Threshold()
     first = bands(threshold, 5000)
