@@ -209,6 +209,22 @@ def test_blocks_are_filled_from_small_batches(monkeypatch):
     assert list(B.chunks(iter([]))) == []
 
 
+def test_a_block_holds_as_many_rows_as_its_sums_stay_exact_for():
+    """65 536 rows, each with the largest derivatives that a sum in doubles can take."""
+    rows = 1 << 16
+    whole = pa.RecordBatch.from_arrays([pa.array(np.arange(rows + 5))], ["k"])
+    assert [b.num_rows for b in B.chunks(iter([whole]))] == [rows, 5]
+    label, fold = np.arange(rows) % 2, np.zeros(rows, np.int8)
+    block = B.Block(np.arange(rows, dtype=np.uint64), label.astype(np.uint8), fold, np.zeros((1, rows), np.uint8), np.full((2, rows), -40.0))
+    growth = B.Growth(row_share=1.0)
+    growing = [B.Growing(np.full(31, -1), np.zeros(31, int), np.ones(31, bool)) for _ in range(2)]
+    level = B.Level(growth, 0, 0, [0], [2], growing, np.array([[0], [1]], np.int16), 36)
+    (sums,) = level.sums(iter([block]))
+    gradient, second = level._derivatives(block.margins[0], block.label)
+    assert sums[:, 0, 0].tolist() == [sum(map(int, gradient)), sum(map(int, second))]
+    assert (sums[:, 1] == 0).all()  # the second model leaves fold 0 out
+
+
 @pytest.mark.parametrize("labels", [[0] * 30, [1] * 30, []])
 def test_nothing_to_learn(spark, labels):
     rows = [(f"T{k}", y, k % 2, None, 1.0, float(k), math.nan) for k, y in enumerate(labels)]
